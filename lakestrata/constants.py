@@ -152,7 +152,7 @@ LIVE_DATES_OK = "All dates parse correctly."
 LIVE_DATES_BAD = "%d row(s) have unparsable dates."
 LIVE_FUTURE_OK = "No future dates detected."
 LIVE_FUTURE_BAD = "%d row(s) have dates set in the future."
-LIVE_DEDUP = "%d duplicate row(s) removed (%.1f%% of Bronze). %s unique records remain."
+LIVE_DEDUP = "%d duplicate row(s) removed (%s%% of Bronze). %s unique records remain."
 
 # Commit history display and version audit.
 HISTORY_COLUMNS = [

@@ -16,22 +16,36 @@ def thousands(value: Column | str) -> Column:
     return F.format_number(column(value), 0)
 
 
+def decimals(value: Column, pattern: str) -> Column:
+    """Number under a decimal pattern, rounded half-even on its exact value."""
+    return F.call_function("format_number", value, F.lit(pattern))
+
+
 def ratio_pct(part: Column, whole: Column, digits: int = 2) -> Column:
-    """Percentage rounded half-up; 0 where there is nothing to divide by."""
+    """Percentage rounded half-even; 0 where there is nothing to divide by."""
     share = F.try_divide(part.cast("double") * F.lit(100.0).cast("double"), whole.cast("double"))
-    return F.coalesce(F.round(share, digits), F.lit(0.0).cast("double"))
+    rounded = decimals(share, "0." + "0" * digits).cast("double")
+    return F.coalesce(rounded, F.lit(0.0).cast("double"))
 
 
 def growth_label(value: Column | str) -> Column:
     """Signed percentage with one decimal, empty where there is no previous value."""
     c = column(value)
-    return F.when(c.isNull(), "").otherwise(F.format_string("%+.1f%%", c))
+    return F.when(c.isNull(), "").otherwise(F.concat(decimals(c, "+0.0;-0.0"), F.lit("%")))
 
 
 def file_name_of(path: Column | str) -> Column:
     return F.regexp_extract(column(path), r"([^/]+)$", 1)
 
 
+def decoded_path(path: Column | str) -> Column:
+    """File name or path as it is on storage; a scan's file metadata has it percent-encoded."""
+    c = column(path)
+    # A plus sign in a path stands for itself.
+    plain = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.when(c.contains("%"), plain).otherwise(c)
+
+
 def extension_of(path: Column | str) -> Column:
     """Lower-case extension with its dot, empty where the name has none."""
     return F.lower(F.regexp_extract(column(path), r"[^/](\.[^./]*)$", 1))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import constants as const
 from lakestrata.functions.parsing import as_moment
-from lakestrata.functions.text import tidy_name
+from lakestrata.functions.text import decoded_path, tidy_name
 
 
 def add_processing_time(df: DataFrame, name: str = "processing_timestamp") -> DataFrame:
@@ -20,7 +20,8 @@ def add_processing_time(df: DataFrame, name: str = "processing_timestamp") -> Da
 
 def add_source_file(df: DataFrame, name: str = "source_file", full_path: bool = False) -> DataFrame:
     """Name (or whole path) of the file a row was read from; ``df`` must be a file scan."""
-    return df.withColumn(name, F.col("_metadata.file_path" if full_path else "_metadata.file_name"))
+    return df.withColumn(
+        name, decoded_path("_metadata.file_path" if full_path else "_metadata.file_name"))
 
 
 def tidy_layout(names: Sequence[str]) -> list[tuple[int, str]]:

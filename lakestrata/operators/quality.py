@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import constants as const
 from lakestrata.functions import predicates as p
-from lakestrata.functions.text import ratio_pct, thousands
+from lakestrata.functions.text import decimals, ratio_pct, thousands
 
 CHECK_SCHEMA = "layer string, check_no int, name string, status string, message string, row_count bigint"
 
@@ -318,7 +318,7 @@ def live_layer_checks(
             F.lit(0.0).cast("double"))
         checks.append(Check(
             const.LIVE_CHECKS["dedup"], F.lit("PASS"),
-            _say(const.LIVE_DEDUP, removed, share, thousands(total))))
+            _say(const.LIVE_DEDUP, removed, decimals(share, "0.0"), thousands(total))))
     for check in checks[always:]:
         check.applies = total > 0
     return _check_rows(stats, layer, checks)

@@ -42,7 +42,8 @@ def examine_folder(
 
 def _paths(files: DataFrame) -> list[str]:
     """File names for a scan, which needs them on the driver in any case."""
-    return [row["path"] for row in files.select("path").orderBy("path").collect()]
+    names = files.select(tabular.literal_path("path").alias("name")).orderBy("name")
+    return [row["name"] for row in names.collect()]
 
 
 def read_files(

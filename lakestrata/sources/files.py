@@ -1,7 +1,7 @@
 """Input folder: listing, header recognition, file issues and the manifest of handled files.
 
-Only names, sizes and the first record of each CSV file are looked at here. Listing runs as a Spark
-job without reading content; first records are read by tasks, a few bytes per file.
+Only names and the first records of each CSV file are looked at here; tasks read those, a few bytes
+per file.
 """
 
 import csv
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import constants as const
-from lakestrata.functions.text import extension_of, file_name_of
+from lakestrata.functions.text import decoded_path, extension_of, file_name_of
 from lakestrata.sources.storage import open_input
 
 HEAD_SCHEMA = "url string, first_record array<string>, has_more boolean, problem string, problem_kind string"
@@ -24,14 +24,17 @@ def list_files(
     spark: SparkSession, path: str | list[str],
     extensions: Sequence[str] = const.SUPPORTED_EXTENSIONS,
 ) -> DataFrame:
-    """Regular files directly below ``path``: name, size, time, extension and whether it is accepted.
+    """Regular files directly below ``path``: name, extension and whether it is accepted.
 
-    ``path`` opens the file; ``url`` is the same name as a scan's file metadata spells it.
-    Sub-folders are left alone, so an archive folder inside the input folder is never touched.
+    The names come from Spark's own file index, which unlike a scan also knows files without content.
+    Sub-folders are left alone, so an archive folder inside the input folder is never touched. ``path``
+    names the file; ``url`` is the same name as a scan's file metadata spells it.
     """
-    listing = spark.read.format("binaryFile").load(path).select(
-        "path", F.col("_metadata.file_path").alias("url"), "length", "modificationTime")
-    return listing.withColumns({
+    names = spark.read.format("binaryFile").load(path).inputFiles()
+    listing = spark.createDataFrame([(name,) for name in names], "name string")
+    return listing.select(
+        F.regexp_replace("name", "^file:/+", "file:/").alias("url")
+    ).withColumn("path", decoded_path("url")).withColumns({
         "file_name": file_name_of("path"), "extension": extension_of("path"),
     }).withColumn("supported", F.col("extension").isin(*extensions))
 

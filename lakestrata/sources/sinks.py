@@ -14,13 +14,17 @@ def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = ("order_date",)) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, by: Sequence[str] = ("order_date",), tasks: int | None = None
+) -> None:
     """Overwrite ``path`` with one folder per value.
 
     The rebalance hint gathers each value's rows into few files and lets adaptive execution split a
-    value that is too large for one task.
+    value that is too large for one task. It goes by bytes: for many folders of few rows, as in daily
+    gold, give the number of ``tasks`` to share the folders among.
     """
-    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    spread = df.repartition(tasks, *by) if tasks else df.hint("rebalance", *by)
+    spread.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -2,11 +2,12 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata import constants as const
+from lakestrata.functions.text import decoded_path
 from lakestrata.operators.columns import alias_names, conform, tidy_layout
 
 POSITION = ["_file", "_block", "_seq"]
@@ -52,7 +53,7 @@ def scan_csv_layout(
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     rows = spark.read.schema(schema).option("header", has_header).option(
         "escape", '"').csv(paths)
-    rows = _with_position(rows.withColumn("source_file", F.col("_metadata.file_name")).withColumn(
+    rows = _with_position(rows.withColumn("source_file", decoded_path("_metadata.file_name")).withColumn(
         "source_path", F.col("_metadata.file_path")), with_position)
     if ragged == "skip":
         rows = rows.where(F.col(_OVERFLOW).isNull())
@@ -72,13 +73,18 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return result
 
 
+def literal_path(path: str) -> Column:
+    """A file name with the characters escaped that a scan would take for a pattern."""
+    return F.regexp_replace(path, r"([\[\]{}*?\\])", r"\\$1")
+
+
 def layout_groups(layouts: DataFrame) -> list:
     """Distinct layouts with the paths of their files.
 
     File names are what reaches the driver, as they do for any file scan's own listing.
     """
     return layouts.groupBy("has_header", "columns").agg(
-        F.sort_array(F.collect_list("path")).alias("paths")
+        F.sort_array(F.collect_list(literal_path("path"))).alias("paths")
     ).orderBy(F.desc("has_header"), F.col("columns").cast("string")).collect()
 
 
@@ -132,7 +138,7 @@ def json_records(
         schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     rows = _json_reader(spark).schema(schema).json(path)
     # Spark refuses a query over the corrupt-record column alone, hence the file columns.
-    return _with_position(rows.withColumn("source_file", F.col("_metadata.file_name")).withColumn(
+    return _with_position(rows.withColumn("source_file", decoded_path("_metadata.file_name")).withColumn(
         "source_path", F.col("_metadata.file_path")), with_position)
 
 

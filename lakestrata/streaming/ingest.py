@@ -8,7 +8,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata import constants as const
+from lakestrata.functions.text import decoded_path
 from lakestrata.plans.batch import Medallion
+from lakestrata.sources.tabular import literal_path
+
+
+LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def _trigger(writer, interval: str | None):
@@ -29,7 +34,7 @@ def stream_csv_rows(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(input_path).withColumns({
-        "source_file": F.col("_metadata.file_name"), "ingestion_timestamp": F.current_timestamp()})
+        "source_file": decoded_path("_metadata.file_name"), "ingestion_timestamp": F.current_timestamp()})
 
 
 def ingest_stream(
@@ -52,15 +57,16 @@ def medallion_stream(
 
     The stream carries file names only; the run of a batch then reads those files with their own
     layouts, as the batch job does. The batch id names the commits, so a replayed batch adds nothing.
+    A file without any content gives the stream no record; it is left to the batch job.
     """
-    reader = spark.readStream.format("binaryFile")
+    reader = spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     names = reader.load(input_path).select("path")
     medallion = Medallion(spark, root)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        paths = [row["path"] for row in batch.collect()]
+        paths = [row["name"] for row in batch.select(literal_path("path").alias("name")).collect()]
         if paths:
             medallion.run(paths, txn=f"stream-{batch_id}", **options)
 

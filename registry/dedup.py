@@ -68,10 +68,10 @@ def duplicate_report(spark, sf_dir):
 
 @register("duplicate_members", raw_sql("""
 , groups AS (
-  SELECT order_id, count(*) AS n, min(copy_no * 1000000000000 + k) AS at FROM raw GROUP BY order_id HAVING count(*) > 1),
-top AS (SELECT * FROM groups ORDER BY at LIMIT 5)
+  SELECT order_id, count(*) AS n, min(copy_no * 1000000000000 + k) AS pos FROM raw GROUP BY order_id HAVING count(*) > 1),
+top AS (SELECT * FROM groups ORDER BY pos LIMIT 5)
 SELECT count(*) AS ids, CAST(sum(n) AS BIGINT) AS members,
-       (SELECT string_agg(coalesce(order_id, 'None'), ', ' ORDER BY at) FROM top) AS sample_ids,
+       (SELECT string_agg(coalesce(order_id, 'None'), ', ' ORDER BY pos) FROM top) AS sample_ids,
        ' … and ' || (count(*) - 5) || ' more' AS suffix FROM groups"""))
 def duplicate_members(spark, sf_dir):
     return q.duplicate_members(raw_orders(spark, sf_dir), order_by=ORDER)
@@ -80,6 +80,6 @@ def duplicate_members(spark, sf_dir):
 @register("duplicate_surplus", raw_sql("""
 , ids AS (SELECT order_id, count(*) AS n FROM raw GROUP BY order_id)
 SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n) - count(*) AS BIGINT) AS surplus,
-       round((sum(n) - count(*)) * CAST(100 AS DOUBLE) / sum(n), 2) AS pct FROM ids"""))
+       CAST(format('{:.2f}', (sum(n) - count(*)) * CAST(100 AS DOUBLE) / sum(n)) AS DOUBLE) AS pct FROM ids"""))
 def duplicate_surplus(spark, sf_dir):
     return q.duplicate_surplus(raw_orders(spark, sf_dir))

@@ -93,9 +93,9 @@ def untidy_headers(spark, sf_dir):
 
 
 @register("schema_evolution_union", folder_sql("""
-, both AS (SELECT * FROM orders_rows UNION ALL SELECT * FROM promo_rows)
+, all_rows AS (SELECT * FROM orders_rows UNION ALL SELECT * FROM promo_rows)
 SELECT source_file, order_id, CAST(customer_id AS VARCHAR) AS customer_id, product,
-       CAST(quantity AS VARCHAR) AS quantity, order_date, discount_code FROM both"""))
+       CAST(quantity AS VARCHAR) AS quantity, order_date, discount_code FROM all_rows"""))
 def schema_evolution_union(spark, sf_dir):
     folder = write_folder(spark, sf_dir, ["orders", "promo"])
     return tabular.scan_csv_files(spark, layouts_of(spark, folder)).drop("source_path", "unit_price")

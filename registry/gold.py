@@ -103,8 +103,8 @@ m AS (
          sum(CASE WHEN d BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' THEN n END) AS filtered FROM days)
 SELECT CAST(lo AS STRING) AS first_date, CAST(hi AS STRING) AS last_date, total AS total_partitions,
        inside AS partitions_scanned, CAST(filtered AS BIGINT) AS filtered_total,
-       round(inside * CAST(100 AS DOUBLE) / total, 2) AS scan_pct,
-       round(100 - round(inside * CAST(100 AS DOUBLE) / total, 2), 2) AS savings_pct,
+       CAST(format('{:.2f}', inside * CAST(100 AS DOUBLE) / total) AS DOUBLE) AS scan_pct,
+       round(100 - CAST(format('{:.2f}', inside * CAST(100 AS DOUBLE) / total) AS DOUBLE), 2) AS savings_pct,
        CASE WHEN inside < total THEN 'PASS' ELSE 'ACTIVE' END AS pruning FROM m""")
 def partition_scan_metrics(spark, sf_dir):
     metrics = g.partition_scan_metrics(_daily(spark, sf_dir), "1997-01-01", "1997-12-31")

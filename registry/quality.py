@@ -33,11 +33,11 @@ def quality_ratios(spark, sf_dir):
 
 @register("null_profile", raw_sql("""
 SELECT 'order_id' AS "column", count(*) - count(order_id) AS nulls,
-       round((count(*) - count(order_id)) * CAST(100 AS DOUBLE) / count(*), 2) AS pct FROM raw
+       CAST(format('{:.2f}', (count(*) - count(order_id)) * CAST(100 AS DOUBLE) / count(*)) AS DOUBLE) AS pct FROM raw
 UNION ALL SELECT 'order_date', count(*) - count(order_date),
-       round((count(*) - count(order_date)) * CAST(100 AS DOUBLE) / count(*), 2) FROM raw
+       CAST(format('{:.2f}', (count(*) - count(order_date)) * CAST(100 AS DOUBLE) / count(*)) AS DOUBLE) FROM raw
 UNION ALL SELECT 'customer_id', count(*) - count(customer_id),
-       round((count(*) - count(customer_id)) * CAST(100 AS DOUBLE) / count(*), 2) FROM raw"""))
+       CAST(format('{:.2f}', (count(*) - count(customer_id)) * CAST(100 AS DOUBLE) / count(*)) AS DOUBLE) FROM raw"""))
 def null_profile(spark, sf_dir):
     return q.null_profile(raw_orders(spark, sf_dir), const.BATCH_NULL_COLUMNS)
 
@@ -56,7 +56,7 @@ def _batch_layer(layer: str) -> str:
          WHEN pct > 5 THEN nn || ' nulls in {column} (' || CAST(pct AS VARCHAR) || '%) — exceeds 5% threshold'
          ELSE nn || ' nulls in {column} (' || CAST(pct AS VARCHAR) || '%)' END
   FROM (SELECT count(*) - count({column}) AS nn,
-               round((count(*) - count({column})) * CAST(100 AS DOUBLE) / count(*), 2) AS pct FROM {layer})"""
+               CAST(format('{{:.2f}}', (count(*) - count({column})) * CAST(100 AS DOUBLE) / count(*)) AS DOUBLE) AS pct FROM {layer})"""
 
     def counted(number, name, condition, bad, good, message):
         return f"""
@@ -73,7 +73,7 @@ def _batch_layer(layer: str) -> str:
     CASE WHEN s = 0 THEN 'No duplicate order_ids'
          ELSE s || ' duplicate order_id(s) (' || CAST(pct AS VARCHAR) || '%) — {note}' END
   FROM (SELECT CAST(sum(n) - count(*) AS BIGINT) AS s,
-               round((sum(n) - count(*)) * CAST(100 AS DOUBLE) / sum(n), 2) AS pct
+               CAST(format('{{:.2f}}', (sum(n) - count(*)) * CAST(100 AS DOUBLE) / sum(n)) AS DOUBLE) AS pct
         FROM (SELECT order_id, count(*) AS n FROM {layer} GROUP BY order_id))""",
         counted(6, "range_unit_price", "unit_price <= 0", "WARNING", "All unit_price values > 0",
                 " row(s) with unit_price <= 0"),
@@ -183,9 +183,9 @@ def _live_layer(layer: str, label: str) -> str:
   SELECT 1 AS check_no, 'Row Count' AS name, 'PASS' AS status, format('{{:,}}', count(*)) || ' rows found.' AS message FROM {layer}
   UNION ALL SELECT 2, 'Required Columns Present', 'PASS', 'All required columns found.'
   UNION ALL SELECT 3, 'No Duplicate Order IDs', 'WARNING', sum(n) || ' duplicate rows for IDs: ' ||
-    (SELECT string_agg(coalesce(order_id, 'None'), ', ' ORDER BY at) FROM
-       (SELECT order_id, min(copy_no * 1000000000000 + k) AS at FROM {layer} GROUP BY order_id HAVING count(*) > 1
-        ORDER BY at LIMIT 5)) ||
+    (SELECT string_agg(coalesce(order_id, 'None'), ', ' ORDER BY pos) FROM
+       (SELECT order_id, min(copy_no * 1000000000000 + k) AS pos FROM {layer} GROUP BY order_id HAVING count(*) > 1
+        ORDER BY pos LIMIT 5)) ||
     CASE WHEN count(*) > 5 THEN ' … and ' || (count(*) - 5) || ' more' ELSE '' END
   FROM (SELECT order_id, count(*) AS n FROM {layer} GROUP BY order_id HAVING count(*) > 1)
   UNION ALL SELECT 4, 'No Null Critical Fields', 'CRITICAL',
@@ -225,8 +225,8 @@ def dq_live_checks(spark, sf_dir):
 @register("column_profile", raw_sql("SELECT * FROM (" + "\nUNION ALL ".join(
     f"SELECT {i} AS position, '{name}' AS \"column\", count(*) AS rows, count(*) - count({name}) AS nulls, "
     f"count(DISTINCT {name}) AS distinct_values, "
-    f"round((count(*) - count({name})) * CAST(100 AS DOUBLE) / count(*), 2) AS null_pct, "
-    f"round(count(DISTINCT {name}) * CAST(100 AS DOUBLE) / count(*), 2) AS unique_pct FROM raw"
+    f"CAST(format('{{:.2f}}', (count(*) - count({name})) * CAST(100 AS DOUBLE) / count(*)) AS DOUBLE) AS null_pct, "
+    f"CAST(format('{{:.2f}}', count(DISTINCT {name}) * CAST(100 AS DOUBLE) / count(*)) AS DOUBLE) AS unique_pct FROM raw"
     for i, name in enumerate(DATA)) + ")"))
 def column_profile(spark, sf_dir):
     return q.column_profile(raw_orders(spark, sf_dir), DATA)

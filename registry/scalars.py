@@ -29,7 +29,7 @@ def scalar_string(spark, sf_dir):
 SELECT event_id, CAST(CAST(ts AS DATE) AS STRING) AS day, CAST(CAST(date_trunc('month', ts) AS DATE) AS STRING) AS month,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp, strftime(ts, '%b %Y') AS label, strftime(ts, '%H:%M:%S') AS clock,
        CAST(CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS DATE) AS STRING) AS next_day,
-       strftime(make_timestamp(epoch_ms(ts) * 1000), '%Y-%m-%d %H:%M:%S') AS from_ms,
+       strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%d %H:%M:%S') AS from_ms,
        try_cast(event_type AS DATE) IS NULL AS not_a_date
 FROM events""")
 def scalar_date(spark, sf_dir):
@@ -46,10 +46,10 @@ def scalar_date(spark, sf_dir):
 
 
 @register("scalar_math", """
-SELECT event_id, round(value / (event_id % 7), 4) AS ratio, round(user_id * CAST(100 AS DOUBLE) / 400, 2) AS pct,
+SELECT event_id, round(value / nullif(event_id % 7, 0), 4) AS ratio, CAST(format('{:.2f}', user_id * CAST(100 AS DOUBLE) / 400) AS DOUBLE) AS pct,
        CAST(round_even(value, 0) AS BIGINT) AS half_even, greatest(0, user_id - 50) AS above_fifty,
        CAST(user_id AS INTEGER) AS narrow, try_cast(event_type AS DOUBLE) IS NULL AS not_a_number,
-       CASE WHEN value / (event_id % 7) IS NULL THEN '' ELSE format('{:+.1f}%', value) END AS label
+       CASE WHEN value / nullif(event_id % 7, 0) IS NULL THEN '' ELSE format('{:+.1f}%', value) END AS label
 FROM events""")
 def scalar_math(spark, sf_dir):
     value, part = F.col("value"), (F.col("event_id") % 7).cast("double")

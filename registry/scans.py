@@ -71,7 +71,8 @@ FROM gold WHERE CAST(order_date AS DATE) BETWEEN DATE '1997-01-01' AND DATE '199
 def gold_partitioned(spark, sf_dir):
     """Daily gold in one folder per day; a date range reads only its folders."""
     folder = work_folder(spark, "gold")
-    sinks.write_partitioned(Layers(spark, sf_dir).gold, folder)
+    tasks = spark.sparkContext.defaultParallelism
+    sinks.write_partitioned(Layers(spark, sf_dir).gold, folder, tasks=tasks)
     gold = tabular.scan_parquet(spark, folder)
     picked = date_range_filter(gold, "order_date", "1997-01-01", "1997-03-31")
     return picked.select(

@@ -151,7 +151,7 @@ counts AS (
          (SELECT count(*) FROM quarantine WHERE copy_no <= v) AS rejected_rows,
          (SELECT count(*) - count(DISTINCT order_id) FROM validated WHERE copy_no <= v) AS surplus,
          (SELECT count(*) - count(customer_id) FROM validated WHERE copy_no <= v) AS no_customer,
-         (SELECT count(*) FROM validated WHERE copy_no <= v AND CAST(order_date AS DATE) > DATE '2026-03-14') AS future
+         (SELECT count(*) FROM validated WHERE copy_no <= v AND try_cast(order_date AS DATE) > DATE '2026-03-14') AS future
   FROM versions)
 SELECT v AS version, clean_rows, rejected_rows,
        round(rejected_rows / CAST(clean_rows + rejected_rows AS DOUBLE), 8) AS rejection_ratio,
