@@ -29,14 +29,17 @@ def log_highlights(
     """
     recent = _last_lines(lines, source, order_by, const.LOG_SCAN_LINES).select(
         source, "from_end", F.col(line).alias("line"))
-    word = F.upper("line").rlike("|".join(const.LOG_KEYWORDS))
-    hits = recent.where(word).withColumn("n", F.row_number().over(
-        Window.partitionBy(source).orderBy("from_end"))).where(
-        F.col("n") <= const.LOG_HIGHLIGHTS).drop("n")
-    tail = recent.where(F.col("from_end") <= const.LOG_TAIL_LINES)
-    return hits.select(
-        source, F.lit("highlight").alias("section"), "from_end", F.trim("line").alias("line")
-    ).unionByName(tail.select(source, F.lit("tail").alias("section"), "from_end", "line"))
+    is_hit = F.upper("line").rlike("|".join(const.LOG_KEYWORDS))
+    hits_so_far = F.count_if(is_hit).over(Window.partitionBy(source).orderBy("from_end"))
+
+    def entry(section: str, text: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), text.alias("line"))
+
+    sections = F.array_compact(F.array(
+        F.when(F.col("is_hit") & (F.col("hits") <= const.LOG_HIGHLIGHTS), entry("highlight", F.trim("line"))),
+        F.when(F.col("from_end") <= const.LOG_TAIL_LINES, entry("tail", F.col("line")))))
+    return recent.withColumns({"is_hit": is_hit, "hits": hits_so_far}).select(
+        source, "from_end", F.inline(sections))
 
 
 def run_status_latest(

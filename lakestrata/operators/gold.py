@@ -63,20 +63,24 @@ def gold_daily_ids(
         F.count(F.lit(1)).alias("total_orders"), F.max("timestamp").alias("newest"),
         F.ceil(F.count("id") / F.lit(ids_per_row)).cast("int").alias("parts")
     ).withColumn("parts", F.greatest("parts", F.lit(1)))
-    lists = (
-        newest.join(days.select("date", "parts"), "date")
+    # The day table has a row per calendar day, so it is broadcast once its size is known; a heavy
+    # day on the other side is split by adaptive execution if it is not.
+    totals = ["parts", "total_orders", "newest"]
+    return (
+        newest.join(days, "date")
         .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         .groupBy("date", "part")
-        .agg(F.array_join(F.array_sort(F.collect_set("id")), ", ").alias("order_ids")))
-    return days.join(lists, "date").select(
-        "date", "part", "parts", "order_ids", "total_orders",
-        F.date_format("newest", const.TIMESTAMP_FORMAT).alias("last_processed")
-    ).orderBy("date", "part")
+        .agg(F.array_join(F.array_sort(F.collect_set("id")), ", ").alias("order_ids"),
+             *[F.first(name).alias(name) for name in totals])
+        .select("date", "part", "parts", "order_ids", "total_orders",
+                F.date_format("newest", const.TIMESTAMP_FORMAT).alias("last_processed"))
+        .orderBy("date", "part"))
 
 
 def daily_totals(gold: DataFrame) -> DataFrame:
     """One row per day of ``gold_daily_ids`` without its id lists."""
-    return gold.where(F.col("part") == 0).select("date", "total_orders", "last_processed")
+    return gold.groupBy("date").agg(
+        F.first("total_orders").alias("total_orders"), F.first("last_processed").alias("last_processed"))
 
 
 def monthly_orders(daily: DataFrame, date: str = "date", orders: str = "total_orders") -> DataFrame:

@@ -16,6 +16,10 @@ from lakestrata.sources.tabular import POSITION
 from lakestrata.sources.versioned import VersionedTable
 
 
+# Staged columns that are not data of the file.
+_ADDED = [*POSITION, "source_file", "rejection_reason", "ingestion_timestamp", "quarantined"]
+
+
 class Medallion:
     """The tables of one medallion below a root folder."""
 
@@ -40,10 +44,10 @@ class Medallion:
     ) -> DataFrame:
         """Handle every file that has no disposition yet; returns those dispositions.
 
-        A file is judged as a whole first (readable, layout, not empty, ratios). Whole-file rejects are
-        left out by not reading them again, so no row is ever joined to a list of files. The accepted
-        files are parsed once into a staged Parquet table split by disposition, from which quarantine
-        and silver are filled. ``txn`` makes a repeated run of the same input harmless.
+        The readable files are parsed once into a staged Parquet table, split by whether a row is
+        rejected. The file gate, quarantine and silver are all taken from that table. The rows of files
+        that fail the gate are left out by an anti join against those few files, which is not planned
+        at all if none fails. ``txn`` makes a repeated run of the same input harmless.
         """
         files = files_.pending_files(
             files_.list_files(self.spark, input_path), files_.read_manifest(self.spark, self.manifest))
@@ -54,22 +58,29 @@ class Medallion:
         if rows is None:
             gate = self.spark.createDataFrame([], "url string, reason string, disposition string")
         else:
+            staged = self._stage(rows, rules)
             gate = materialize(rules_.file_threshold_gate(
-                rows.drop("source_file", *POSITION), "source_path", required, ratio
+                staged.drop(*_ADDED), "source_path", required, ratio
             ).select(F.col("source_path").alias("url"), "reason", "disposition"), "gate")
-            accepted = readable.join(gate.where(F.col("reason").isNull()), "url", "left_semi")
-            rows = read_files(self.spark, accepted, json_schema, ragged)
-        if rows is not None:
-            self._load(rows.drop("source_path"), rules, fill, key, order_by, txn)
+            rejected = gate.where(F.col("reason").isNotNull()).select(F.col("url").alias("source_path"))
+            if not rejected.isEmpty():
+                staged = staged.join(rejected, "source_path", "left_anti")
+            self._load(staged.drop("source_path"), fill, key, order_by, txn)
         dispositions = self._dispositions(examined, header_only, gate)
         files_.record_dispositions(dispositions, self.manifest)
         return dispositions
 
-    def _load(self, rows, rules, fill, key, order_by, txn) -> None:
-        fill = {"revenue": 0.0} if fill is None else fill
-        judged = rules_.with_rejection_reason(cast_known(rows), rules).withColumn(
-            "ingestion_timestamp", F.current_timestamp())
-        staged = materialize(judged.withColumn("quarantined", F.col("rejection_reason").isNotNull()), "staged")
+    def _stage(self, rows: DataFrame, rules: Sequence[rules_.Rule]) -> DataFrame:
+        judged = rules_.with_rejection_reason(cast_known(rows), rules).withColumns({
+            "ingestion_timestamp": F.current_timestamp(),
+            "quarantined": F.col("rejection_reason").isNotNull()})
+        return materialize(judged, "staged", by=["quarantined"])
+
+    def _load(self, staged: DataFrame, fill, key, order_by, txn) -> None:
+        if staged.isEmpty():
+            return
+        wanted = {"revenue": 0.0} if fill is None else fill
+        fill = {name: value for name, value in wanted.items() if name in staged.columns}
         bad = staged.where(F.col("quarantined")).drop("quarantined", *POSITION)
         if not bad.isEmpty():
             self.quarantine.append(bad, txn)
@@ -77,7 +88,7 @@ class Medallion:
         clean = dedup_by_key(good, key, order_by or POSITION).drop(*POSITION)
         if self.silver.latest_version() >= 0:
             clean = clean.join(self.silver.read().select(key), key, "left_anti").select(*clean.columns)
-        self.silver.append(add_processing_time(fill_constant(clean, fill)), txn)
+        self.silver.append(add_processing_time(fill_constant(clean, fill) if fill else clean), txn)
 
     def _dispositions(self, examined: DataFrame, header_only, gate: DataFrame) -> DataFrame:
         unsupported = ~F.col("supported")

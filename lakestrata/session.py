@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,8 +51,11 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/lakestrata/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, so later steps do not repeat its work."""
+def materialize(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written to the shared folder and read back, so later steps do not repeat its work.
+
+    The written table also survives the loss of executors. ``by`` names partition columns.
+    """
     folder = work_folder(df.sparkSession, label)
-    df.write.parquet(folder)
+    df.write.partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -76,17 +76,18 @@ def default_columns(spark, sf_dir):
 
 @register("normalize_gold", raw_sql("""
 , daily AS (
-  SELECT order_date, CAST(count(order_id) AS INTEGER) AS n, sum(unit_price * quantity) AS r
+  SELECT order_date, CAST(count(order_id) AS INTEGER) AS n, CAST(sum(quantity) AS DOUBLE) AS r
   FROM raw GROUP BY order_date)
-SELECT CAST(try_cast(order_date AS DATE) AS STRING) AS date, n AS total_orders,
-       round(CAST(r AS DOUBLE) / 1000, 0) AS revenue_thousands
+SELECT CAST(try_cast(order_date AS DATE) AS STRING) AS date, n AS total_orders, r AS total_revenue
 FROM daily WHERE try_cast(order_date AS DATE) IS NOT NULL"""))
 def normalize_gold(spark, sf_dir):
     from lakestrata.operators.gold import gold_daily
-    gold = c.normalize_gold(gold_daily(raw_orders(spark, sf_dir)))
+    # Whole numbers as revenue: they stay exact in the narrow type.
+    priced = raw_orders(spark, sf_dir).withColumn("revenue", F.col("quantity").cast("double"))
+    gold = c.normalize_gold(gold_daily(priced))
     return gold.select(
         F.col("date").cast("date").cast("string").alias("date"), "total_orders",
-        F.round(F.col("total_revenue").cast("double") / 1000, 0).alias("revenue_thousands"))
+        F.col("total_revenue").cast("double").alias("total_revenue"))
 
 
 @register("fill_constant", raw_sql("""
