@@ -8,6 +8,7 @@ rows are then laid out from that single row of numbers.
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,16 +209,12 @@ def check_layer(
     opener = read or (lambda session, where: session.read.parquet(where))
     try:
         df = opener(spark, path)
-    except FileNotFoundError:
-        return failed_layer(spark, layer, "path_exists", const.MSG_PATH_MISSING % path, path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+    except (PySparkException, Py4JJavaError, FileNotFoundError) as error:
+        missing = isinstance(error, AnalysisException) and error.getCondition() == "PATH_NOT_FOUND"
+        if missing:
             return failed_layer(spark, layer, "path_exists", const.MSG_PATH_MISSING % path, path)
         text = str(error)[: const.READ_ERROR_LENGTH]
         return failed_layer(spark, layer, "delta_read", const.MSG_READ_FAILED % text, path)
-    except PySparkException as error:
-        text = str(error)[: const.READ_ERROR_LENGTH]
-        return failed_layer(spark, layer, "delta_read", const.MSG_READ_FAILED % text, path)
     return LayerChecks(layer, batch_checks(df, layer, as_of), path, df.columns)
 
 

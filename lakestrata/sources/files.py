@@ -176,6 +176,10 @@ def json_issue() -> Column:
 def json_file_facts(records: DataFrame) -> DataFrame:
     """Per JSON file: whether it parses and whether it provides the required columns."""
     corrupt = F.max(F.col("_corrupt_record").isNotNull())
+    plain = [c for c in records.columns if c not in ("_corrupt_record", "source_file", "source_path")]
+    if plain:
+        # Spark refuses a query that reads the corrupt-record column alone.
+        corrupt = corrupt & (F.count(F.col(f"`{plain[0]}`")) >= 0)
     provided = F.lit(True)
     for name in const.REQUIRED_COLUMNS:
         sources = [name] + [old for old, new in const.ALIASES.items() if new == name]

@@ -134,6 +134,10 @@ def json_records(
     rows of a file that does not parse.
     """
     schema = schema or infer_json_schema(spark, path)
+    if schema.names in ([], ["_corrupt_record"]):
+        # Not one field anywhere: nothing in these files parses.
+        return spark.createDataFrame([], "_corrupt_record string, source_file string, source_path string" + (
+            ", _file string, _block bigint, _seq bigint" if with_position else ""))
     if "_corrupt_record" not in schema.names:
         schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     rows = _json_reader(spark).schema(schema).json(path)
