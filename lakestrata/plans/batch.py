@@ -9,7 +9,7 @@ from lakestrata import constants as const
 from lakestrata.operators import rules as rules_
 from lakestrata.operators.columns import add_processing_time, cast_known, fill_constant
 from lakestrata.operators.dedup import dedup_by_key
-from lakestrata.plans.live import examine_folder, read_files
+from lakestrata.plans.live import examine, read_files
 from lakestrata.session import materialize
 from lakestrata.sources import files as files_
 from lakestrata.sources.tabular import POSITION
@@ -44,25 +44,28 @@ class Medallion:
     ) -> DataFrame:
         """Handle every file that has no disposition yet; returns those dispositions.
 
+        ``input_path`` is a folder, or a list of file names.
+
         The readable files are parsed once into a staged Parquet table, split by whether a row is
         rejected. The file gate, quarantine and silver are all taken from that table. The rows of files
         that fail the gate are left out by an anti join against those few files, which is not planned
         at all if none fails. ``txn`` makes a repeated run of the same input harmless.
         """
-        files = files_.pending_files(
-            files_.list_files(self.spark, input_path), files_.read_manifest(self.spark, self.manifest))
-        examined, json_schema = examine_folder(self.spark, input_path, files=files)
+        listed = (files_.list_files(self.spark, input_path) if isinstance(input_path, str)
+                  else files_.named_files(self.spark, input_path))
+        examined, json_schema = examine(
+            files_.pending_files(listed, files_.read_manifest(self.spark, self.manifest)))
         header_only = F.coalesce(F.col("has_header") & ~F.col("has_more"), F.lit(False))
         readable = examined.where(F.col("issue").isNull() & ~header_only)
         rows = read_files(self.spark, readable, json_schema, ragged)
         if rows is None:
-            gate = self.spark.createDataFrame([], "url string, reason string, disposition string")
+            gate = self.spark.createDataFrame([], "path string, reason string, disposition string")
         else:
             staged = self._stage(rows, rules)
             gate = materialize(rules_.file_threshold_gate(
                 staged.drop(*_ADDED), "source_path", required, ratio
-            ).select(F.col("source_path").alias("url"), "reason", "disposition"), "gate")
-            rejected = gate.where(F.col("reason").isNotNull()).select(F.col("url").alias("source_path"))
+            ).select(F.col("source_path").alias("path"), "reason", "disposition"), "gate")
+            rejected = gate.where(F.col("reason").isNotNull()).select(F.col("path").alias("source_path"))
             if not rejected.isEmpty():
                 staged = staged.join(rejected, "source_path", "left_anti")
             self._load(staged.drop("source_path"), fill, key, order_by, txn)
@@ -86,14 +89,18 @@ class Medallion:
             self.quarantine.append(bad, txn)
         good = staged.where(~F.col("quarantined")).drop("quarantined", "rejection_reason")
         clean = dedup_by_key(good, key, order_by or POSITION).drop(*POSITION)
-        if self.silver.latest_version() >= 0:
-            clean = clean.join(self.silver.read().select(key), key, "left_anti").select(*clean.columns)
+        try:
+            known = self.silver.read().select(key)
+        except FileNotFoundError:
+            known = None
+        if known is not None:
+            clean = clean.join(known, key, "left_anti").select(*clean.columns)
         self.silver.append(add_processing_time(fill_constant(clean, fill) if fill else clean), txn)
 
     def _dispositions(self, examined: DataFrame, header_only, gate: DataFrame) -> DataFrame:
         unsupported = ~F.col("supported")
         judged = examined.withColumn("header_only", header_only).join(
-            gate.withColumnRenamed("reason", "gate_reason"), "url", "left")
+            gate.withColumnRenamed("reason", "gate_reason"), "path", "left")
         return judged.select(
             F.col("path").alias("file"),
             F.when(unsupported, "unsupported")

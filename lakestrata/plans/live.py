@@ -26,12 +26,11 @@ class LiveView:
     silver: DataFrame | None
 
 
-def examine_folder(
-    spark: SparkSession, path: str | list[str], canonical: Sequence[str] = const.HEADERLESS_NARROW,
-    files: DataFrame | None = None,
+def examine(
+    files: DataFrame, canonical: Sequence[str] = const.HEADERLESS_NARROW
 ) -> tuple[DataFrame, object]:
-    """(examined files as a written table, JSON schema or None). One row per file."""
-    files = files_.list_files(spark, path) if files is None else files
+    """(listed files with layout and issue as a written table, JSON schema or None): one row per file."""
+    spark = files.sparkSession
     json_paths = _paths(files.where(F.col("extension") == ".json"))
     if not json_paths:
         return materialize(files_.examine_files(files, canonical), "examined"), None
@@ -50,12 +49,11 @@ def read_files(
     spark: SparkSession, readable: DataFrame, json_schema, ragged: str = "pad",
 ) -> DataFrame | None:
     """All rows of the given examined files by column name, as text, with their position."""
-    frames = []
-    csv_rows = tabular.scan_csv_files(
-        spark, readable.where(F.col("extension") == ".csv"), ragged, with_position=True)
-    if csv_rows is not None:
-        frames.append(csv_rows)
-    json_paths = _paths(readable.where(F.col("extension") == ".json"))
+    groups = tabular.layout_groups(readable)
+    csv_rows = tabular.scan_csv_groups(
+        spark, [g for g in groups if g["columns"] is not None], ragged, with_position=True)
+    frames = [] if csv_rows is None else [csv_rows]
+    json_paths = [path for g in groups if g["columns"] is None for path in g["paths"]]
     if json_paths:
         records = tabular.json_records(spark, json_paths, json_schema, with_position=True)
         frames.append(tabular.tidy_json(records, ["source_file", "source_path", *tabular.POSITION]))
@@ -73,7 +71,7 @@ def medallion_live(
 
     "First" follows file name and place in the file, or ``order_by`` if given.
     """
-    examined, json_schema = examine_folder(spark, path, canonical)
+    examined, json_schema = examine(files_.list_files(spark, path), canonical)
     issues = files_.file_issues(examined)
     rows = read_files(spark, examined.where(F.col("issue").isNull()), json_schema, ragged)
     if rows is None:
@@ -91,8 +89,7 @@ def gold_live(
     """Daily gold straight from the raw files: aliases picked per layout, latest row per id."""
     files = files_.list_files(spark, path)
     layouts = materialize(files_.sniff_layout(
-        files_.csv_heads(files), const.HEADERLESS_WIDE).join(files.select("url", "path"), "url"),
-        "layouts")
+        files_.csv_heads(files), const.HEADERLESS_WIDE), "layouts")
     frames = []
     for group in tabular.layout_groups(layouts.where(F.col("columns").isNotNull())):
         rows = tabular.scan_csv_layout(

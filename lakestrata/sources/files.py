@@ -9,6 +9,7 @@ import io
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,26 +18,35 @@ from lakestrata import constants as const
 from lakestrata.functions.text import decoded_path, extension_of, file_name_of
 from lakestrata.sources.storage import open_input
 
-HEAD_SCHEMA = "url string, first_record array<string>, has_more boolean, problem string, problem_kind string"
+HEAD_SCHEMA = "path string, first_record array<string>, has_more boolean, problem string, problem_kind string"
 
 
 def list_files(
-    spark: SparkSession, path: str | list[str],
-    extensions: Sequence[str] = const.SUPPORTED_EXTENSIONS,
+    spark: SparkSession, folder: str, extensions: Sequence[str] = const.SUPPORTED_EXTENSIONS
 ) -> DataFrame:
-    """Regular files directly below ``path``: name, extension and whether it is accepted.
+    """Regular files directly below ``folder``.
 
     The names come from Spark's own file index, which unlike a scan also knows files without content.
-    Sub-folders are left alone, so an archive folder inside the input folder is never touched. ``path``
-    names the file; ``url`` is the same name as a scan's file metadata spells it.
+    Sub-folders are left alone, so an archive folder inside the input folder is never touched.
     """
-    names = spark.read.format("binaryFile").load(path).inputFiles()
-    listing = spark.createDataFrame([(name,) for name in names], "name string")
-    return listing.select(
-        F.regexp_replace("name", "^file:/+", "file:/").alias("url")
-    ).withColumn("path", decoded_path("url")).withColumns({
-        "file_name": file_name_of("path"), "extension": extension_of("path"),
-    }).withColumn("supported", F.col("extension").isin(*extensions))
+    urls = spark.read.format("binaryFile").load(folder).inputFiles()
+    return _listing(spark, urls, decoded_path("url"), extensions)
+
+
+def named_files(
+    spark: SparkSession, names: Sequence[str], extensions: Sequence[str] = const.SUPPORTED_EXTENSIONS
+) -> DataFrame:
+    """The same listing for files that are known by name already."""
+    return _listing(spark, names, F.col("url"), extensions)
+
+
+def _listing(spark: SparkSession, names, path: Column, extensions: Sequence[str]) -> DataFrame:
+    """Name, extension and whether it is accepted, per file. ``path`` opens the file."""
+    listing = spark.createDataFrame(pa.table({"url": pa.array(list(names), pa.string())}))
+    return listing.withColumn("url", F.regexp_replace("url", "^file:/+", "file:/")).select(
+        path.alias("path")).withColumns({
+            "file_name": file_name_of("path"), "extension": extension_of("path"),
+        }).withColumn("supported", F.col("extension").isin(*extensions))
 
 
 def unsupported_files(files: DataFrame) -> DataFrame:
@@ -66,13 +76,13 @@ def _read_heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         heads = pd.DataFrame(
             [_read_head(path) for path in batch["path"]],
             columns=["first_record", "has_more", "problem", "problem_kind"])
-        heads.insert(0, "url", batch["url"].to_list())
+        heads.insert(0, "path", batch["path"].to_list())
         yield heads
 
 
 def csv_heads(files: DataFrame) -> DataFrame:
     """First record of every CSV file. Tasks open each file and stop after its second record."""
-    paths = files.where(F.col("extension") == ".csv").select("path", "url")
+    paths = files.where(F.col("extension") == ".csv").select("path")
     return paths.mapInPandas(_read_heads, HEAD_SCHEMA)
 
 
@@ -82,10 +92,10 @@ def csv_heads_by_scan(spark: SparkSession, path: str) -> DataFrame:
     It has to scan the files as text; per file only the first two lines leave a map task.
     """
     lines = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(path).select(
-        F.col("_metadata.file_path").alias("url"), F.col("_metadata.file_block_start").alias("block"),
+        decoded_path("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"), F.col("value"))
     lines = lines.where(F.length("value") > 0)
-    firsts = lines.groupBy("url").agg(
+    firsts = lines.groupBy("path").agg(
         F.min_by("value", F.struct("block", "seq")).alias("head"),
         (F.count(F.lit(1)) > 1).alias("has_more"))
 
@@ -93,7 +103,7 @@ def csv_heads_by_scan(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             heads = [_first_record(iter([h.removeprefix("﻿")]))[0] for h in batch["head"]]
             yield pd.DataFrame({
-                "url": batch["url"], "first_record": heads, "has_more": batch["has_more"],
+                "path": batch["path"], "first_record": heads, "has_more": batch["has_more"],
                 "problem": None, "problem_kind": None})
 
     return firsts.mapInPandas(parse, HEAD_SCHEMA)
@@ -204,17 +214,17 @@ def examine_files(
     layout = sniff_layout(csv_heads(files), canonical)
     # Joins run on one row per file.
     judged = layout.withColumn("issue", csv_issue(layout)).select(
-        "url", "has_header", "columns", "has_more", "issue")
+        "path", "has_header", "columns", "has_more", "issue")
     nothing = {
         "has_header": F.lit(None).cast("boolean"), "columns": F.lit(None).cast("array<string>"),
         "has_more": F.lit(None).cast("boolean")}
-    result = files.where(F.col("supported") & (F.col("extension") == ".csv")).join(judged, "url")
+    result = files.where(F.col("supported") & (F.col("extension") == ".csv")).join(judged, "path")
     result = result.unionByName(unsupported_files(files).withColumns(nothing).withColumn(
         "issue", _issue(const.ISSUE_UNSUPPORTED, F.col("extension"))))
     if json_rows is not None:
-        facts = json_file_facts(json_rows).withColumnRenamed("source_path", "url")
+        facts = json_file_facts(json_rows).withColumnRenamed("source_path", "path")
         judged_json = files.where(F.col("supported") & (F.col("extension") == ".json")).join(
-            facts, "url", "left").withColumns(nothing)
+            facts, "path", "left").withColumns(nothing)
         # A file without content yields no record, hence no facts.
         issue = F.when(F.col("corrupt").isNull(), _issue(
             const.ISSUE_BAD_JSON, F.lit("no record"))).otherwise(json_issue())

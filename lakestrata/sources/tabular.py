@@ -29,7 +29,7 @@ def _with_position(df: DataFrame, keep: bool) -> DataFrame:
     if not keep:
         return df
     return df.withColumns({
-        "_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
+        "_file": decoded_path("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"),
         "_seq": F.monotonically_increasing_id()})
 
 
@@ -54,7 +54,7 @@ def scan_csv_layout(
     rows = spark.read.schema(schema).option("header", has_header).option(
         "escape", '"').csv(paths)
     rows = _with_position(rows.withColumn("source_file", decoded_path("_metadata.file_name")).withColumn(
-        "source_path", F.col("_metadata.file_path")), with_position)
+        "source_path", decoded_path("_metadata.file_path")), with_position)
     if ragged == "skip":
         rows = rows.where(F.col(_OVERFLOW).isNull())
     layout = tidy_layout(columns)
@@ -79,7 +79,7 @@ def literal_path(path: str) -> Column:
 
 
 def layout_groups(layouts: DataFrame) -> list:
-    """Distinct layouts with the paths of their files.
+    """Distinct layouts with the paths of their files; JSON files, if listed, form a group without one.
 
     File names are what reaches the driver, as they do for any file scan's own listing.
     """
@@ -96,10 +96,16 @@ def scan_csv_files(
     Files of the same layout are read together, so the plan has as many branches as there are
     different headers and no join is needed to bind names to rows.
     """
+    return scan_csv_groups(spark, layout_groups(layouts), ragged, with_position)
+
+
+def scan_csv_groups(
+    spark: SparkSession, groups: Sequence, ragged: str = "pad", with_position: bool = False
+) -> DataFrame | None:
     frames = [
         scan_csv_layout(spark, group["paths"], group["columns"], group["has_header"], ragged,
                         with_position=with_position)
-        for group in layout_groups(layouts)]
+        for group in groups]
     return union_by_name(frames) if frames else None
 
 
@@ -143,7 +149,7 @@ def json_records(
     rows = _json_reader(spark).schema(schema).json(path)
     # Spark refuses a query over the corrupt-record column alone, hence the file columns.
     return _with_position(rows.withColumn("source_file", decoded_path("_metadata.file_name")).withColumn(
-        "source_path", F.col("_metadata.file_path")), with_position)
+        "source_path", decoded_path("_metadata.file_path")), with_position)
 
 
 def scan_json(

@@ -7,7 +7,7 @@ from lakestrata.operators import rules as r
 from lakestrata.plans.batch import Medallion
 from lakestrata.plans.cleaning import clean_job
 from lakestrata.plans.cleaning import daily_gold_job as daily_gold_job_
-from lakestrata.plans.live import examine_folder
+from lakestrata.plans.live import examine
 from lakestrata.plans.live import gold_live as gold_live_
 from lakestrata.plans.live import medallion_live as medallion_live_
 from lakestrata.session import work_folder
@@ -123,7 +123,7 @@ SELECT * FROM (SELECT file_name AS source_file, 'N/A' AS order_date, 'N/A' AS pr
   FROM kinds) AS i WHERE order_id IS NOT NULL""")
 def file_issues(spark, sf_dir):
     folder = write_folder(spark, sf_dir, ALL_KINDS)
-    examined, _ = examine_folder(spark, folder)
+    examined, _ = examine(files.list_files(spark, folder))
     return files.file_issues(examined)
 
 

@@ -16,7 +16,7 @@ def layouts_of(spark, folder, name_extra=False, canonical=None):
     listed = files.list_files(spark, folder)
     heads = files.sniff_layout(
         files.csv_heads(listed), canonical or const.HEADERLESS_NARROW, name_extra)
-    return heads.join(listed.select("url", "path", "file_name"), "url")
+    return heads.join(listed.select("path", "file_name"), "path")
 
 
 @register("scan_csv_declared", folder_sql("""

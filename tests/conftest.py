@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", **{
-        "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

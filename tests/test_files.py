@@ -5,7 +5,7 @@ from lakestrata import constants as const
 from lakestrata.operators import quality as q
 from lakestrata.plans.batch import Medallion
 from lakestrata.plans.cleaning import clean_job, daily_gold_job
-from lakestrata.plans.live import examine_folder, gold_live, medallion_live
+from lakestrata.plans.live import examine, gold_live, medallion_live
 from lakestrata.sources import files as f
 from lakestrata.sources import sinks, tabular
 from lakestrata.sources.synthetic import generate_orders
@@ -23,7 +23,7 @@ def _sample_orders():
 
 def layouts(spark, path, **options):
     listed = f.list_files(spark, path)
-    return f.sniff_layout(f.csv_heads(listed), **options).join(listed.select("url", "path", "file_name"), "url")
+    return f.sniff_layout(f.csv_heads(listed), **options).join(listed.select("path", "file_name"), "path")
 
 
 def test_listing_takes_regular_files_only(spark, files):
@@ -57,8 +57,8 @@ def test_header_words_are_matched_inside_cells(spark, files):
 def test_first_records_through_spark_agree_with_the_direct_read(spark, files):
     path = files.write({
         "a.csv": "\n\nid,date\n1,2\n", "b.csv": "﻿id,\"x, y\"\n1,2\n".encode(), "c.csv": "1,2", "d.csv": "order_id,revenue\n"})
-    direct = f.csv_heads(f.list_files(spark, path)).select("url", "first_record", "has_more")
-    scanned = f.csv_heads_by_scan(spark, path).select("url", "first_record", "has_more")
+    direct = f.csv_heads(f.list_files(spark, path)).select("path", "first_record", "has_more")
+    scanned = f.csv_heads_by_scan(spark, path).select("path", "first_record", "has_more")
     assert rows(direct) == rows(scanned)
     assert [r[1] for r in rows(direct)] == [["id", "date"], ["id", "x, y"], ["1", "2"], ["order_id", "revenue"]]
 
@@ -96,7 +96,7 @@ def test_every_file_issue(spark, files):
         "empty.csv": "", "empty.json": "", "one.csv": "7\n8\n", "schema.csv": "order_id,revenue\n1,2\n",
         "headonly.csv": "order_id,revenue\n", "schema.json": '[{"x": 1}]', "latin.csv": "id,date\n1,é\n".encode("latin-1"),
         "good.json": '{"id": 5, "event_timestamp": "2026-01-01"}'})
-    examined, _ = examine_folder(spark, path)
+    examined, _ = examine(f.list_files(spark, path))
     got = {r["source_file"]: (r["order_id"], r["Reason"].split(":")[0]) for r in f.file_issues(examined).collect()}
     assert got == {
         "u.xlsx": ("N/A", "Unsupported File Format"), "noext": ("N/A", "Unsupported File Format"),
