@@ -10,7 +10,7 @@ from lakestrata.operators import rules as rules_
 from lakestrata.operators.columns import add_processing_time, cast_known, fill_constant
 from lakestrata.operators.dedup import dedup_by_key
 from lakestrata.plans.live import examine, read_files
-from lakestrata.session import materialize
+from lakestrata.session import give_back, materialize, work_folder
 from lakestrata.sources import files as files_
 from lakestrata.sources.tabular import POSITION
 from lakestrata.sources.versioned import VersionedTable
@@ -40,6 +40,7 @@ class Medallion:
         required: Sequence[str] = const.REQUIRED_COLUMNS,
         ratio: float = const.GATE_RATIO,
         ragged: str = "pad",
+        multi_line: bool = False,
         txn: str | None = None,
     ) -> DataFrame:
         """Handle every file that has no disposition yet; returns those dispositions.
@@ -57,11 +58,12 @@ class Medallion:
             files_.pending_files(listed, files_.read_manifest(self.spark, self.manifest)))
         header_only = F.coalesce(F.col("has_header") & ~F.col("has_more"), F.lit(False))
         readable = examined.where(F.col("issue").isNull() & ~header_only)
-        rows = read_files(self.spark, readable, json_schema, ragged)
+        rows = read_files(self.spark, readable, json_schema, ragged, multi_line)
         if rows is None:
             gate = self.spark.createDataFrame([], "path string, reason string, disposition string")
         else:
-            staged = self._stage(rows, rules)
+            work = work_folder(self.spark, "staged")
+            staged = self._stage(rows, rules, work)
             gate = materialize(rules_.file_threshold_gate(
                 staged.drop(*_ADDED), "source_path", required, ratio
             ).select(F.col("source_path").alias("path"), "reason", "disposition"), "gate")
@@ -69,15 +71,16 @@ class Medallion:
             if not rejected.isEmpty():
                 staged = staged.join(rejected, "source_path", "left_anti")
             self._load(staged.drop("source_path"), fill, key, order_by, txn)
+            give_back(self.spark, work)
         dispositions = self._dispositions(examined, header_only, gate)
         files_.record_dispositions(dispositions, self.manifest)
         return dispositions
 
-    def _stage(self, rows: DataFrame, rules: Sequence[rules_.Rule]) -> DataFrame:
+    def _stage(self, rows: DataFrame, rules: Sequence[rules_.Rule], folder: str) -> DataFrame:
         judged = rules_.with_rejection_reason(cast_known(rows), rules).withColumns({
             "ingestion_timestamp": F.current_timestamp(),
             "quarantined": F.col("rejection_reason").isNotNull()})
-        return materialize(judged, "staged", by=["quarantined"])
+        return materialize(judged, "staged", by=["quarantined"], folder=folder)
 
     def _load(self, staged: DataFrame, fill, key, order_by, txn) -> None:
         if staged.isEmpty():

@@ -47,11 +47,12 @@ def _paths(files: DataFrame) -> list[str]:
 
 def read_files(
     spark: SparkSession, readable: DataFrame, json_schema, ragged: str = "pad",
+    multi_line: bool = False,
 ) -> DataFrame | None:
     """All rows of the given examined files by column name, as text, with their position."""
     groups = tabular.layout_groups(readable)
     csv_rows = tabular.scan_csv_groups(
-        spark, [g for g in groups if g["columns"] is not None], ragged, with_position=True)
+        spark, [g for g in groups if g["columns"] is not None], ragged, True, multi_line)
     frames = [] if csv_rows is None else [csv_rows]
     json_paths = [path for g in groups if g["columns"] is None for path in g["paths"]]
     if json_paths:
@@ -66,6 +67,7 @@ def medallion_live(
     canonical: Sequence[str] = const.HEADERLESS_NARROW,
     ragged: str = "pad",
     order_by: Sequence[str] | None = None,
+    multi_line: bool = False,
 ) -> LiveView:
     """Bronze is every row of every acceptable file; silver keeps the first row per (id, date).
 
@@ -73,7 +75,7 @@ def medallion_live(
     """
     examined, json_schema = examine(files_.list_files(spark, path), canonical)
     issues = files_.file_issues(examined)
-    rows = read_files(spark, examined.where(F.col("issue").isNull()), json_schema, ragged)
+    rows = read_files(spark, examined.where(F.col("issue").isNull()), json_schema, ragged, multi_line)
     if rows is None:
         return LiveView(examined, issues, None, None)
     rows = rows.drop("source_path").withColumn("ingestion_timestamp", F.current_timestamp())

@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITIONS_PER_CORE = 4
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def build_session(app_name: str = "lakestrata", **extra: str) -> SparkSession:
     """A session with the settings the operators expect; ``extra`` overrides them.
 
-    The shuffle partition count is only a starting point for adaptive execution, which merges small
-    partitions and splits skewed ones, so it may be set high on a cluster.
+    Unless the number of shuffle partitions is given, shuffles start with a few partitions per core.
+    Adaptive execution merges small ones to the advisory size and splits skewed ones, so the number
+    may be far too high for small data without harm.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -21,13 +23,18 @@ def build_session(app_name: str = "lakestrata", **extra: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update(extra)
     builder = SparkSession.builder.appName(app_name)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if "spark.sql.shuffle.partitions" not in extra:
+        start = max(200, PARTITIONS_PER_CORE * spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,11 +58,18 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/lakestrata/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+def materialize(
+    df: DataFrame, label: str, by: Sequence[str] = (), folder: str | None = None
+) -> DataFrame:
     """``df`` written to the shared folder and read back, so later steps do not repeat its work.
 
     The written table also survives the loss of executors. ``by`` names partition columns.
     """
-    folder = work_folder(df.sparkSession, label)
+    folder = folder or work_folder(df.sparkSession, label)
     df.write.partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def give_back(spark: SparkSession, folder: str) -> None:
+    """Free the space of a work table that is not read any more."""
+    spark.range(0).write.mode("overwrite").parquet(folder)

@@ -41,18 +41,20 @@ def scan_csv_layout(
     ragged: str = "pad",
     apply_aliases: bool = True,
     with_position: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV files that share one layout, all values as text.
 
     Names are tidied, the first of each repeated name is kept, and aliases are applied. Short rows are
     padded with nulls. Over-long rows are cut (``ragged="pad"``) or left out (``ragged="skip"``). Blank
-    lines are not rows, and a byte order mark is not part of the first name.
+    lines are not rows, and a byte order mark is not part of the first name. ``multi_line`` allows line
+    breaks inside quoted cells; a file is then read by one task, so it is off unless asked for.
     """
     slots = [f"_c{i}" for i in range(len(columns))]
     names = slots + ([_OVERFLOW] if ragged == "skip" else [])
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     rows = spark.read.schema(schema).option("header", has_header).option(
-        "escape", '"').csv(paths)
+        "escape", '"').option("multiLine", multi_line).csv(paths)
     rows = _with_position(rows.withColumn("source_file", decoded_path("_metadata.file_name")).withColumn(
         "source_path", decoded_path("_metadata.file_path")), with_position)
     if ragged == "skip":
@@ -90,21 +92,23 @@ def layout_groups(layouts: DataFrame) -> list:
 
 def scan_csv_files(
     spark: SparkSession, layouts: DataFrame, ragged: str = "pad", with_position: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame | None:
     """All CSV files of ``layouts`` (path, has_header, columns): one scan per distinct layout, by name.
 
     Files of the same layout are read together, so the plan has as many branches as there are
     different headers and no join is needed to bind names to rows.
     """
-    return scan_csv_groups(spark, layout_groups(layouts), ragged, with_position)
+    return scan_csv_groups(spark, layout_groups(layouts), ragged, with_position, multi_line)
 
 
 def scan_csv_groups(
-    spark: SparkSession, groups: Sequence, ragged: str = "pad", with_position: bool = False
+    spark: SparkSession, groups: Sequence, ragged: str = "pad", with_position: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame | None:
     frames = [
         scan_csv_layout(spark, group["paths"], group["columns"], group["has_header"], ragged,
-                        with_position=with_position)
+                        with_position=with_position, multi_line=multi_line)
         for group in groups]
     return union_by_name(frames) if frames else None
 

@@ -11,7 +11,7 @@ SCHEMA = "order_id string, order_date string, v int, pos int"
 ROWS = st.lists(st.tuples(
     st.sampled_from([None, "1", "2", "3", "4"]), st.sampled_from([None, "2026-01-01", "2026-01-02"]),
     st.integers(0, 2)), min_size=1, max_size=25)
-QUICK = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+QUICK = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def _frames(spark, data):

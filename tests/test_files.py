@@ -229,3 +229,18 @@ def test_json_files_without_any_usable_field(spark, files):
     assert rows(medallion_live(spark, path).issues.select("order_id", "source_file")) == [("CRITICAL", "a.json"), ("CRITICAL", "b.json")]
     files(**{"b.json": '[{"x": 1}]'})
     assert rows(medallion_live(spark, path).issues.select("order_id", "source_file")) == [("CRITICAL", "a.json"), ("SCHEMA_ERROR", "b.json")]
+
+
+def test_line_breaks_inside_quoted_cells(spark, files):
+    path = files(**{"a.csv": 'id,date,product\n1,2026-01-01,"two\nlines"\n2,2026-01-01,x\n'})
+    view = medallion_live(spark, path, multi_line=True)
+    assert rows(view.bronze.select("order_id", "product")) == [("1", "two\nlines"), ("2", "x")]
+
+
+def test_staged_rows_are_given_back(spark, files, folder, monkeypatch):
+    from lakestrata.plans import batch
+    used = []
+    monkeypatch.setattr(batch, "work_folder", lambda s, label: used.append(f"{folder}-{label}") or used[-1])
+    Medallion(spark, folder).run(files(**{"a.csv": HEADER + "1,9,P,5,1,2026-01-01\n"}))
+    assert len(used) == 1 and spark.read.parquet(used[0]).count() == 0
+    assert Medallion(spark, folder).silver.read().count() == 1

@@ -48,7 +48,7 @@ RATIO_ROWS = st.lists(st.tuples(
     st.sampled_from(["a", "b"]), st.sampled_from([None, "x", "y"]), st.sampled_from([None, "x", "y"])), max_size=20)
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(RATIO_ROWS)
 def test_file_gate_against_brute_force(spark, data):
     df = spark.createDataFrame(data, "source_file string, order_id string, order_date string")

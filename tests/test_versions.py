@@ -34,7 +34,7 @@ def test_known_trend(spark):
 TIMES = st.lists(st.integers(0, 4 * asof.BUCKET_MS), max_size=12)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(TIMES, TIMES, st.sampled_from([0, 180000, 2 * asof.BUCKET_MS]))
 def test_asof_against_brute_force(spark, left, right, tolerance):
     l = spark.createDataFrame(list(enumerate(left)), "version bigint, timestamp bigint")
