@@ -36,8 +36,8 @@ def list_files(
 def named_files(
     spark: SparkSession, names: Sequence[str], extensions: Sequence[str] = const.SUPPORTED_EXTENSIONS
 ) -> DataFrame:
-    """The same listing for files that are known by name already."""
-    return _listing(spark, names, F.col("url"), extensions)
+    """The same listing for files that are known by name already; a name given twice is one file."""
+    return _listing(spark, sorted(set(names)), F.col("url"), extensions)
 
 
 def _listing(spark: SparkSession, names, path: Column, extensions: Sequence[str]) -> DataFrame:
