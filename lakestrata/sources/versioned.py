@@ -170,7 +170,11 @@ def _merged_schema(previous: str | None, added: T.StructType) -> T.StructType:
 
 
 def moment_of(ms: Column | str) -> Column:
-    return F.timestamp_millis(F.col(ms) if isinstance(ms, str) else ms)
+    """UTC time of epoch milliseconds, whatever the time zone of the session."""
+    value = F.col(ms) if isinstance(ms, str) else ms
+    seconds = (value / F.lit(1000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def display_history(commits: DataFrame) -> DataFrame:

@@ -101,11 +101,9 @@ def _day_commits(rows):
     """One commit per day, its time in the middle of the day, versions in day order."""
     days = rows.where(F.col("order_date").try_cast("date").isNotNull()).groupBy("order_date").agg(
         F.count(F.lit(1)).alias("num_rows"))
-    ms = F.unix_millis(F.col("order_date").cast("date").cast("timestamp"))
+    day = F.unix_date(F.col("order_date").cast("date")).cast("bigint")
     return days.select(
-        F.unix_date(F.col("order_date").cast("date")).cast("bigint").alias("version"),
-        (ms + F.pmod(F.unix_date(F.col("order_date").cast("date")), F.lit(7)) * 60000).alias("timestamp"),
-        "num_rows")
+        day.alias("version"), (day * 86_400_000 + F.pmod(day, F.lit(7)) * 60_000).alias("timestamp"), "num_rows")
 
 
 _DAY_COMMITS = """
