@@ -70,7 +70,7 @@ def gold_daily_ids(
         newest.join(days, "date")
         .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         .groupBy("date", "part")
-        .agg(F.array_join(F.array_sort(F.collect_set("id")), ", ").alias("order_ids"),
+        .agg(F.array_join(F.array_sort(F.collect_list("id")), ", ").alias("order_ids"),
              *[F.first(name).alias(name) for name in totals])
         .select("date", "part", "parts", "order_ids", "total_orders",
                 F.date_format("newest", const.TIMESTAMP_FORMAT).alias("last_processed"))
