@@ -13,8 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.frames import without_spaces
-from lakestrata.session import materialize
+from lakestrata.llm.frames import stored, without_spaces
 
 #: Counters per Misra-Gries summary. Every digest of at least ``2 / COUNTERS`` of all rows is found, and no
 #: more than ``COUNTERS`` digests are ever broadcast.
@@ -76,8 +75,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Exactly one row of each group is kept, also if rows are repeated. Groups whose only ids are null keep a
     null id. An empty table gives an empty result; other columns are not looked at.
     """
-    marked = materialize(digests(docs, id_col, text_col), "digests")
-    heavy = materialize(heavy_digests(marked, counters), "heavy")
+    marked = stored(digests(docs, id_col, text_col), "digests")
+    heavy = stored(heavy_digests(marked, counters), "heavy")
     hot = marked.join(F.broadcast(heavy), "text_sha256")
     rest = marked.join(F.broadcast(heavy), "text_sha256", "left_anti")
     hot_winners = _winners(hot)  # at most ``counters`` rows

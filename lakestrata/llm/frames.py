@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm.tokens import SPACES
+from lakestrata.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,3 +44,17 @@ def arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; its shuffle files go as soon as it is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.set(_CLEANUP, before)
