@@ -1,10 +1,16 @@
 """The queries of this subpackage and, where SQL can express them, the same in DuckDB's SQL."""
 
-from lakestrata.llm import exact
+from lakestrata.llm import exact, jaccard, language, mixing, pieces
 
 QUERIES = {
+    "op1_source_mix": mixing.query,
+    "op5_language_id": language.query,
+    "op6_jaccard_join": jaccard.query,
+    "op8_sentencepiece": pieces.query,
     "op9_exact_dedup": exact.query,
 }
 ORACLES = {
+    "op1_source_mix": mixing.ORACLE,
+    "op6_jaccard_join": jaccard.ORACLE,
     "op9_exact_dedup": exact.ORACLE,
 }
