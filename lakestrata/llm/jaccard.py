@@ -3,16 +3,16 @@
 Two documents link when at least ``PERCENT`` of a hundred of the shingles of both together are shared, so
 their distance ``1 - similarity`` is at most ``RADIUS``. The result is the components of these links.
 
-1. A document becomes its set of shingle hashes. Equal sets become one representative.
-2. Linked sets share one of their first shingles in any common order, so the sets are cut into regions that
-   no link leaves: the components of "shares a first shingle". The order puts shingles that are frequent
-   in a task last; it only matters for speed.
+1. A document becomes its set of shingle hashes. Equal sets become one node.
+2. Linked sets share some of their first shingles in any common order, and a good part of them at that. The
+   order puts frequent shingles last. Sets that share enough of the rarer first shingles, or any frequent
+   one, are put in one region, so no link leaves a region.
 3. A region that fits a task is joined there. A larger one is split by pivots: each set goes to the cell of
    its nearest pivot and, by the triangle inequality, to each cell whose pivot is at most twice the radius
-   farther. The cells are regions again. Cells that hardly shrink are joined in blocks, pair by pair of
-   blocks, so nothing is ever left out.
-4. Inside a region, documents that lie within the radius of a pivot are one component. A member needs to be
-   a pivot only if some set outside the component is within the radius plus its own distance of that pivot.
+   farther. The cells are regions again. What still is too large after some rounds is joined in blocks, pair
+   by pair of blocks, so nothing is ever left out.
+4. Inside a region, the sets within the radius of a pivot are one component. A member needs to be a pivot
+   only if some set outside the component is within the radius plus its own distance of that pivot.
 """
 
 from collections.abc import Iterator
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.components import components
@@ -31,10 +31,10 @@ SHINGLE = 5
 PERCENT = 80
 #: A region of more shingles than this is split before it is joined (8 bytes each).
 REGION_SHINGLES = 4_000_000
-#: A shingle found so often in one batch of a task is put last in the order.
-FREQUENT = 8
-#: Frequent shingles that are told to all tasks: the most frequent ones, 8 bytes each.
-TOLD = 1 << 17
+#: A first shingle of more sets than this is frequent.
+FREQUENT = 16
+#: Frequent shingles that are told to all tasks: the most frequent ones, 8 bytes each. The others only cost speed.
+TOLD = 1 << 20
 #: Bytes of text handled at once.
 PIECE = 4 << 20
 #: Rounds of splitting by pivots before blocks are used.
@@ -67,35 +67,36 @@ def set_digest(s: np.ndarray) -> tuple[str, int]:
     return f"{len(s)}-{int(one):016x}-{int(two):016x}", int(np.int64(one ^ two))
 
 
-def _describe(width: int, least: int):
-    """A task function: (row, id, key, text) to a row per document, and rows of the batch's frequent shingles."""
+_DESCRIBED = "row long, id long, key long, size long, digest string, short long, firsts binary"
+
+
+def _describe(width: int, percent: int):
+    """A task function: (row, id, key, text) to the size, the names and the first shingles of each set."""
     schema = arrow_schema(_DESCRIBED)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, shorts, count = [], [], [], []
+            sizes, digests, shorts, firsts = [], [], [], []
             for s in doc_sets(batch.column(3), width):
-                sizes.append(len(s))
                 name = set_digest(s) if len(s) else (None, None)
+                sizes.append(len(s))
                 digests.append(name[0])
                 shorts.append(name[1])
-                count.append(s)
-            values, n = np.unique(np.concatenate(count) if count else np.zeros(0, np.uint64), return_counts=True)
-            often = n >= least
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(digests, pa.string()),
-                 pa.array(shorts, pa.int64()), pa.nulls(len(sizes), pa.int64()), pa.nulls(len(sizes), pa.int64())],
+                firsts.append(s[:first_length(len(s), percent)].tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[
+                pa.array(v, schema.field(k + 3).type) for k, v in enumerate((sizes, digests, shorts, firsts))]],
                 schema=schema)
-            m = int(often.sum())
-            if m:
-                empty = [pa.nulls(m, field.type) for field in schema]
-                yield pa.RecordBatch.from_arrays(
-                    [*empty[:6], pa.array(values[often].view(np.int64)), pa.array(n[often].astype(np.int64))],
-                    schema=schema)
     return describe
 
 
-_DESCRIBED = "row long, id long, key long, size long, digest string, short long, shingle long, n long"
+def _each_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(short, firsts) to a row per first shingle."""
+    for batch in batches:
+        firsts = batch.column(1).to_pylist()
+        flat = np.frombuffer(b"".join(firsts), np.int64)
+        number = np.array([len(f) // 8 for f in firsts], np.int64)
+        shorts = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), number)
+        yield pa.RecordBatch.from_arrays([pa.array(shorts), pa.array(flat)], ["short", "shingle"])
 
 
 def _sets(width: int):
@@ -118,20 +119,21 @@ def _firsts(told, width: int, percent: int):
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = told.value
         for batch in batches:
-            shorts, out = [], []
+            shorts, sizes, out = [], [], []
             for s in doc_sets(batch.column(0), width):
                 if not len(s):
                     continue
-                short = set_digest(s)[1]
+                short, size = set_digest(s)[1], len(s)
                 s = s.view(np.int64)
                 if len(last):
                     place = np.minimum(np.searchsorted(last, s), len(last) - 1)
                     s = s[np.argsort(last[place] == s, kind="stable")]
-                out.append(s[:first_length(len(s), percent)])
+                out.append(s[:first_length(size, percent)])
                 shorts.append(np.full(len(out[-1]), short, np.int64))
+                sizes.append(np.full(len(out[-1]), size, np.int32))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(shorts)), pa.array(np.concatenate(out))], ["short", "shingle"])
+                    [pa.array(np.concatenate(v)) for v in (shorts, out, sizes)], ["short", "shingle", "size"])
     return pick
 
 
@@ -231,11 +233,12 @@ def split_regions(large: DataFrame, limit: int, percent: int) -> DataFrame:
     drawn = sized.where(F.pmod(F.xxhash64("id", "region"), F.col("members")) < F.col("wanted"))
     first = large.groupBy("region").agg(F.min("id").alias("id"))  # so that there is one
     pivots = drawn.unionByName(sized.join(first, ["region", "id"], "left_semi")).dropDuplicates(["region", "id"])
+    columns = ["region", "chunk", "id", "shingles"]
     pivots = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    pivots = stored(pivots.select(columns), "pivots")
     chunks = sized.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    columns = ["region", "chunk", "id", "shingles"]
     return chunks.select(columns).groupBy("region", "chunk").cogroup(
-        pivots.select(columns).groupBy("region", "chunk")).applyInPandas(
+        pivots.groupBy("region", "chunk")).applyInPandas(
         _to_cells(percent), "region string, id long, shingles binary")
 
 
@@ -275,6 +278,53 @@ def region_links(
     return out
 
 
+def _shared_by_sets(firsts: DataFrame) -> DataFrame:
+    """Shingles that different sets have among their first ones, and how many rows have them."""
+    return firsts.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"), F.min("short").alias("leader"), F.max("short").alias("other")).where("leader < other")
+
+
+def region_edges(texts: DataFrame, each: DataFrame, width: int, percent: int) -> DataFrame:
+    """``short, other``: pairs of sets that connect any two linked ones.
+
+    Say ``x`` and ``y`` are linked and the first shingles of ``x`` end first in the order. They share at least
+    ``a = ceil(percent / (100 + percent) * (|x| + |y|))``, so at most ``|x| - a`` first shingles of ``x`` are not in
+    ``y``, and the rest are first shingles of ``y``, too. Sets that share a frequent one are connected through its
+    smallest set. Of all others the shared ones are counted: sets sharing fewer than this are no link.
+    """
+    found = each.where("short IS NOT NULL").select("short", "firsts").mapInArrow(
+        _each_first, "short long, shingle long")
+    often = _shared_by_sets(found).where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "shingle").limit(TOLD)
+    told = np.sort(np.array([r[0] for r in often.select("shingle").collect()], np.int64))  # 8 MiB at most
+    told = texts.sparkSession.sparkContext.broadcast(told)
+    firsts = stored(texts.select("text").mapInArrow(
+        _firsts(told, width, percent), "short long, shingle long, size int"), "first-shingles")
+    shared = firsts.join(_shared_by_sets(firsts).select("shingle"), "shingle").distinct()
+    shared = stored(shared, "shared-first-shingles")
+    sets = shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("short").alias("leader"))
+    shared = stored(shared.join(sets, "shingle"), "first-shingle-groups")
+    frequent = shared.where(F.col("n") > FREQUENT)
+    starred = frequent.where("short <> leader").select("short", F.col("leader").alias("other"))
+    # how many shared first shingles are not counted below
+    hidden = frequent.groupBy("short").agg(F.count(F.lit(1)).alias("hidden"))
+    rare = shared.where(F.col("n") <= FREQUENT).select("shingle", "short", "size")
+    rare = stored(rare.join(hidden, "short", "left").na.fill(0, ["hidden"]), "rare-first-shingles")
+    one = rare.select("shingle", *[F.col(c).alias(f"{c}_1") for c in ("short", "size", "hidden")])
+    two = rare.select("shingle", *[F.col(c).alias(f"{c}_2") for c in ("short", "size", "hidden")])
+    # each set is compared with the at most FREQUENT - 1 others of the shingle
+    similar = (100 * F.least("size_1", "size_2") >= percent * F.greatest("size_1", "size_2"))
+    pairs = one.join(two, "shingle").where((F.col("short_1") < F.col("short_2")) & similar).groupBy(
+        "short_1", "short_2", "size_1", "size_2", "hidden_1", "hidden_2").agg(F.count(F.lit(1)).alias("n"))
+    least = F.ceil(percent * (F.col("size_1") + F.col("size_2")) / F.lit(100 + percent))
+
+    def needed(k: int) -> Column:
+        size = F.col(f"size_{k}")
+        return size - F.ceil(percent * size / F.lit(100)) + 1 - (size - least) - F.col(f"hidden_{k}")
+
+    pairs = pairs.where(F.col("n") >= F.least(needed(1), needed(2)))
+    return starred.unionByName(pairs.select(F.col("short_1").alias("short"), F.col("short_2").alias("other"))).distinct()
+
+
 def similar_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT,
     limit: int = REGION_SHINGLES,
@@ -287,19 +337,10 @@ def similar_groups(
     spark = docs.sparkSession
     texts = docs.select(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    described = stored(texts.select(F.monotonically_increasing_id().alias("row"), "id", "key", "text").mapInArrow(
-        _describe(width, FREQUENT), _DESCRIBED), "shingle-sets")
-    each = described.where("row IS NOT NULL")
-    often = described.where("row IS NULL").groupBy("shingle").agg(F.sum("n").alias("n"))
-    often = often.orderBy(F.desc("n"), "shingle").limit(TOLD)
-    told = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in often.collect()], np.int64)))  # 1 MiB at most
-    # first shingles that different sets share lead to the regions
-    firsts = texts.select("text").mapInArrow(_firsts(told, width, percent), "short long, shingle long")
-    firsts = stored(firsts, "first-shingles")
-    leaders = firsts.groupBy("shingle").agg(F.min("short").alias("leader"), F.max("short").alias("other"))
-    edges = firsts.join(leaders.where("leader < other").select("shingle", "leader"), "shingle")
-    edges = stored(edges.where("short <> leader").select("short", "leader").distinct(), "shared-first-shingles")
-    regions = components(edges, "short", "leader")
+    each = stored(texts.select(F.monotonically_increasing_id().alias("row"), "id", "key", "text").mapInArrow(
+        _describe(width, percent), _DESCRIBED), "shingle-sets")
+    edges = stored(region_edges(texts, each, width, percent), "region-edges")
+    regions = components(edges, "short", "other")
     # equal sets are one node: one of their rows stands for them
     classes = each.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min("row").alias("node"), F.min("id").alias("rep"), F.min("short").alias("short"))
@@ -334,7 +375,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 ORACLE = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
   FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)),
