@@ -12,6 +12,7 @@ import pyarrow as pa
 SPACES = " \t\n\x0b\x0c\r"
 #: The same words for Java and DuckDB patterns.
 WORD = "[^\\x20\\x09-\\x0D]+"
+SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES.encode())] = True
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
