@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm.tokens import SPACES
-from lakestrata.session import materialize
+from lakestrata.session import give_back, materialize, work_folder
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,12 +49,32 @@ def arrow_schema(ddl: str) -> pa.Schema:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back; its shuffle files go as soon as it is written."""
     conf = df.sparkSession.conf
     before = conf.get(_CLEANUP, "false")
     conf.set(_CLEANUP, "true")
     try:
-        return materialize(df, label)
+        return materialize(df, label, folder=folder)
     finally:
         conf.set(_CLEANUP, before)
+
+
+class Scratch:
+    """Work tables that are deleted together, when the block that uses them ends."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder, self.number = spark, work_folder(spark, label), 0
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        give_back(self.spark, self.folder)
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        self.number += 1
+        return stored(df, label, f"{self.folder}/{self.number}-{label}")

@@ -24,22 +24,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.components import components
-from lakestrata.llm.frames import arrow_schema, stored, table
+from lakestrata.llm.frames import Scratch, arrow_schema, stored, table
 from lakestrata.llm.tokens import lower_ascii, mix, pieces, span_hashes, text_bytes, window_hashes, word_spans
 
 SHINGLE = 5
 PERCENT = 80
 #: A region of more shingles than this is split before it is joined (8 bytes each).
 REGION_SHINGLES = 4_000_000
-#: A first shingle of more sets than this is frequent.
-FREQUENT = 16
-#: Frequent shingles that are told to all tasks: the most frequent ones, 8 bytes each. The others only cost speed.
+#: First shingles of more rows than this are put last in the order.
+OFTEN = 16
+#: A first shingle of more sets than this, in that order, is frequent.
+FREQUENT = 64
+#: Shingles to be put last that are told to all tasks: the most frequent ones, 8 bytes each.
+#: The others only cost speed.
 TOLD = 1 << 20
 #: Bytes of text handled at once.
 PIECE = 4 << 20
 #: Rounds of splitting by pivots before blocks are used.
 ROUNDS = 3
 PIVOTS = 64
+GROWTH = 2
 
 
 def doc_sets(column, width: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -203,6 +207,8 @@ def _to_cells(percent: int):
     """A function of a chunk of a region's sets and the region's pivots: the cells of each set."""
     def deal(sets: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
         window = 2 * (1 - percent / 100) + 1e-9
+        if sets.empty:
+            return sets[["region", "id", "shingles"]]
         pivots = pivots.sort_values("id")
         own = [np.frombuffer(s, np.int64) for s in sets["shingles"]]
         centre = Region(own + [np.frombuffer(s, np.int64) for s in pivots["shingles"]])
@@ -221,7 +227,7 @@ def _sizes(regions: DataFrame) -> DataFrame:
         F.sum(F.length("shingles") / 8).cast("long").alias("load"), F.count(F.lit(1)).alias("members"))
 
 
-def split_regions(large: DataFrame, limit: int, percent: int) -> DataFrame:
+def split_regions(large: DataFrame, limit: int, percent: int, work: Scratch) -> DataFrame:
     """(region, id, shingles) of too large regions dealt to the Voronoi cells of pivots, windows included.
 
     A region gets a pivot for each ``limit / 2`` shingles, but about ``PIVOTS`` at most in one round. Its sets
@@ -235,7 +241,7 @@ def split_regions(large: DataFrame, limit: int, percent: int) -> DataFrame:
     pivots = drawn.unionByName(sized.join(first, ["region", "id"], "left_semi")).dropDuplicates(["region", "id"])
     columns = ["region", "chunk", "id", "shingles"]
     pivots = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    pivots = stored(pivots.select(columns), "pivots")
+    pivots = work.table(pivots.select(columns), "pivots")
     chunks = sized.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     return chunks.select(columns).groupBy("region", "chunk").cogroup(
         pivots.groupBy("region", "chunk")).applyInPandas(
@@ -255,23 +261,35 @@ def block_pairs(large: DataFrame, limit: int) -> DataFrame:
 
 
 def region_links(
-    regions: DataFrame, percent: int = PERCENT, limit: int = REGION_SHINGLES, rounds: int = ROUNDS
+    regions: DataFrame, work: Scratch, percent: int = PERCENT, limit: int = REGION_SHINGLES, rounds: int = ROUNDS
 ) -> DataFrame:
-    """Links (a, b) that connect exactly the sets which chains of links within a region connect."""
+    """Links (a, b) that connect exactly the sets which chains of links within a region connect.
+
+    Regions above the limit are split by pivots, as long as all cells of a region together are at most ``GROWTH``
+    times as large as the region; otherwise its blocks are joined pair by pair.
+    """
+    join = (_join(percent), "a long, b long")
     links, left = [], regions
     for step in range(rounds + 1):
-        sizes = stored(_sizes(left), "region-sizes")
-        small = sizes.where(F.col("load") <= limit).select("region")
-        links.append(left.join(small, "region", "left_semi").groupBy("region").applyInPandas(
-            _join(percent), "a long, b long"))
-        if sizes.where(F.col("load") > limit).isEmpty():
+        sizes = work.table(_sizes(left), "region-sizes")
+        over = sizes.where(F.col("load") > limit)
+        if over.isEmpty():
+            links.append(left.groupBy("region").applyInPandas(*join))
+            break
+        links.append(left.join(over, "region", "left_anti").groupBy("region").applyInPandas(*join))
+        large = work.table(left.join(over.select("region"), "region", "left_semi"), "large-regions")
+        if step == rounds:
+            links.append(block_pairs(large, limit).groupBy("region").applyInPandas(*join))
             break
-        large = left.join(sizes.where(F.col("load") > limit).select("region"), "region", "left_semi")
-        if step < rounds:
-            left = stored(split_regions(large, limit, percent), "region-cells")
-        else:
-            links.append(block_pairs(large, limit).groupBy("region").applyInPandas(
-                _join(percent), "a long, b long"))
+        cells = work.table(split_regions(large, limit, percent, work), "region-cells")
+        parent = F.regexp_extract("region", "^(.*)/[^/]*$", 1)
+        grown = _sizes(cells).groupBy(parent.alias("region")).agg(F.sum("load").alias("cell_load"))
+        good = over.join(grown, "region").where(F.col("cell_load") <= GROWTH * F.col("load")).select("region")
+        good = work.table(good, "split-regions")
+        bad = large.join(good, "region", "left_anti")
+        links.append(block_pairs(bad, limit).groupBy("region").applyInPandas(*join))
+        left = cells.withColumn("parent", parent).join(
+            good.withColumnRenamed("region", "parent"), "parent", "left_semi").drop("parent")
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
@@ -284,7 +302,7 @@ def _shared_by_sets(firsts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("short").alias("leader"), F.max("short").alias("other")).where("leader < other")
 
 
-def region_edges(texts: DataFrame, each: DataFrame, width: int, percent: int) -> DataFrame:
+def region_edges(texts: DataFrame, each: DataFrame, width: int, percent: int, work: Scratch) -> DataFrame:
     """``short, other``: pairs of sets that connect any two linked ones.
 
     Say ``x`` and ``y`` are linked and the first shingles of ``x`` end first in the order. They share at least
@@ -294,21 +312,21 @@ def region_edges(texts: DataFrame, each: DataFrame, width: int, percent: int) ->
     """
     found = each.where("short IS NOT NULL").select("short", "firsts").mapInArrow(
         _each_first, "short long, shingle long")
-    often = _shared_by_sets(found).where(F.col("n") > FREQUENT).orderBy(F.desc("n"), "shingle").limit(TOLD)
+    often = _shared_by_sets(found).where(F.col("n") > OFTEN).orderBy(F.desc("n"), "shingle").limit(TOLD)
     told = np.sort(np.array([r[0] for r in often.select("shingle").collect()], np.int64))  # 8 MiB at most
     told = texts.sparkSession.sparkContext.broadcast(told)
-    firsts = stored(texts.select("text").mapInArrow(
+    firsts = work.table(texts.select("text").mapInArrow(
         _firsts(told, width, percent), "short long, shingle long, size int"), "first-shingles")
     shared = firsts.join(_shared_by_sets(firsts).select("shingle"), "shingle").distinct()
-    shared = stored(shared, "shared-first-shingles")
+    shared = work.table(shared, "shared-first-shingles")
     sets = shared.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("short").alias("leader"))
-    shared = stored(shared.join(sets, "shingle"), "first-shingle-groups")
+    shared = work.table(shared.join(sets, "shingle"), "first-shingle-groups")
     frequent = shared.where(F.col("n") > FREQUENT)
     starred = frequent.where("short <> leader").select("short", F.col("leader").alias("other"))
     # how many shared first shingles are not counted below
     hidden = frequent.groupBy("short").agg(F.count(F.lit(1)).alias("hidden"))
     rare = shared.where(F.col("n") <= FREQUENT).select("shingle", "short", "size")
-    rare = stored(rare.join(hidden, "short", "left").na.fill(0, ["hidden"]), "rare-first-shingles")
+    rare = work.table(rare.join(hidden, "short", "left").na.fill(0, ["hidden"]), "rare-first-shingles")
     one = rare.select("shingle", *[F.col(c).alias(f"{c}_1") for c in ("short", "size", "hidden")])
     two = rare.select("shingle", *[F.col(c).alias(f"{c}_2") for c in ("short", "size", "hidden")])
     # each set is compared with the at most FREQUENT - 1 others of the shingle
@@ -339,8 +357,8 @@ def similar_groups(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
     each = stored(texts.select(F.monotonically_increasing_id().alias("row"), "id", "key", "text").mapInArrow(
         _describe(width, percent), _DESCRIBED), "shingle-sets")
-    edges = stored(region_edges(texts, each, width, percent), "region-edges")
-    regions = components(edges, "short", "other")
+    with Scratch(spark, "first-shingles") as work:
+        regions = components(region_edges(texts, each, width, percent, work), "short", "other")
     # equal sets are one node: one of their rows stands for them
     classes = each.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min("row").alias("node"), F.min("id").alias("rep"), F.min("short").alias("short"))
@@ -351,8 +369,9 @@ def similar_groups(
     held = texts.join(reps, texts["id"].eqNullSafe(reps["id"]) & (texts["key"] == reps["key"]))
     held = held.select("region", reps["node"].alias("id"), "text").mapInArrow(
         _sets(width), "region string, id long, shingles binary")
-    links = region_links(stored(held, "regions"), percent, limit)
-    linked = components(stored(links, "links"), "a", "b")
+    with Scratch(spark, "regions") as work:
+        held = work.table(held, "regions")
+        linked = components(region_links(held, work, percent, limit), "a", "b")
     named = classes.select("digest", "node", "rep").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     named = stored(named, "linked-classes")
