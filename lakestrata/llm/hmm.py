@@ -27,7 +27,7 @@ STATES, CLASSES, PASSES = 6, 256, 4
 #: Training cuts the classes of a text into stretches of this length, each a sequence of its own.
 STRETCH = 128
 #: Bytes of text in a block (a longer text has a block of its own).
-BLOCK = 16 << 20
+BLOCK = 6 << 20
 #: Expected counts are added as multiples of this.
 UNIT = 2.0 ** -20
 
@@ -73,10 +73,16 @@ def _blocks():
     return make
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch of blocks one by one, as each is large."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def _dictionaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, hashes, counts, kinds) to a row per word of the block's dictionary."""
     for batch in batches:
-        for block, hashes, counts, kinds in zip(*[c.to_pylist() for c in batch.columns]):
+        for block, hashes, counts, kinds in _rows(batch):
             hashes = np.frombuffer(hashes, np.int64)
             n = len(hashes)
             yield pa.RecordBatch.from_arrays([
@@ -173,7 +179,7 @@ def _expect(shared):
         params = shared.value
         total = None
         for batch in batches:
-            for held, ends, classes in zip(*[c.to_pylist() for c in batch.columns]):
+            for held, ends, classes in _rows(batch):
                 rows, sizes = stretches(
                     np.frombuffer(classes, np.uint8), np.frombuffer(ends, np.int64), np.frombuffer(held, np.uint8), STRETCH)
                 for at in range(0, len(rows), 4096):
@@ -218,7 +224,7 @@ def _score(shared):
         params, n_train, n_kinds, n_ends, of_class, words_of_class = shared.value
         penalty = np.log10(of_class + words_of_class + 1.0)
         for batch in batches:
-            for docs, held, ends, classes, words, known in zip(*[c.to_pylist() for c in batch.columns]):
+            for docs, held, ends, classes, words, known in _rows(batch):
                 ends = np.frombuffer(ends, np.int64)
                 classes = np.frombuffer(classes, np.uint8)
                 known = np.frombuffer(known or b"", np.int64)
