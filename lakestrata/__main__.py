@@ -3,6 +3,7 @@
 import argparse
 import sys
 
+from lakestrata.operators.audit import RunLog, run_status_latest
 from lakestrata.operators.quality import live_checks
 from lakestrata.plans.batch import Medallion
 from lakestrata.plans.cleaning import clean_job
@@ -32,6 +33,7 @@ def _arguments() -> argparse.Namespace:
     clean = job("clean", "clean one CSV into Parquet", "input", "output")
     clean.add_argument("--fill", default="age")
     job("verify", "schema, sample and row count of a Parquet folder", "path")
+    job("runs", "the latest event of each pipeline below a root", "root")
     job("gold", "daily gold straight from raw files", "input")
     job("live", "live checks straight from raw files", "input")
     return parser.parse_args()
@@ -41,9 +43,13 @@ def main() -> int:
     args = _arguments()
     spark = build_session(f"lakestrata-{args.job}")
     if args.job == "medallion":
-        Medallion(spark, args.root).run(args.input).show(truncate=False)
+        with RunLog(spark, f"{args.root}/runs").task("medallion", "batch"):
+            Medallion(spark, args.root).run(args.input).show(truncate=False)
     elif args.job == "stream":
-        medallion_stream(spark, args.input, args.root, args.checkpoint, args.interval).awaitTermination()
+        with RunLog(spark, f"{args.root}/runs").task("medallion", "stream"):
+            medallion_stream(spark, args.input, args.root, args.checkpoint, args.interval).awaitTermination()
+    elif args.job == "runs":
+        run_status_latest(RunLog(spark, f"{args.root}/runs").events()).show(truncate=False)
     elif args.job == "quality":
         report = layer_report(spark, args.root, args.as_of)
         write_report(report, args.report)

@@ -118,7 +118,6 @@ MSG_SILVER_ROWS = "Silver has %s rows (duplicates removed from validated)"
 
 # Names, columns and messages of the live checks.
 LIVE_NEGATIVE_COLUMNS = ["unit_price", "quantity", "revenue"]
-LIVE_INPUT_COLUMNS = ["file_name", "reason"]
 LIVE_SAMPLE_IDS = 5
 LIVE_CHECKS = {
     "formats": "File Formats",
@@ -164,11 +163,6 @@ PENDING_BRONZE = {
     "operationParameters": "Scanning raw CSVs", "userName": "System", "isBlindAppend": True,
     "engineInfo": "Hybrid RT",
 }
-PENDING_SILVER = {
-    "version": "Pending", "timestamp": "Real-time", "operation": "CLEAN/DEDUP",
-    "operationParameters": "Applying Silver rules", "userName": "System", "isBlindAppend": True,
-    "engineInfo": "Hybrid RT",
-}
 ASOF_TOLERANCE_MS = 180000
 TREND_VERSIONS = 5
 

@@ -12,6 +12,13 @@ def as_number(value: Column | str) -> Column:
     return column(value).try_cast("double")
 
 
+def as_whole(value: Column | str) -> Column:
+    """Whole number of a text or number, also if written with a fraction of zero; null for any other."""
+    text, number = column(value).cast("string"), as_number(column(value).cast("string"))
+    whole = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0 ** 53))
+    return F.coalesce(text.try_cast("bigint"), F.when(whole, number.try_cast("bigint")))
+
+
 def as_day(value: Column | str) -> Column:
     """Date of a text, date or timestamp column; null where it does not parse."""
     return column(value).cast("string").try_cast("date")

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lakestrata.functions.parsing import (
-    as_day, as_moment, as_number, column, day_literal, moment_literal)
+    as_day, as_moment, as_number, as_whole, column, day_literal, moment_literal)
 
 
 def is_blank(value: Column | str) -> Column:
@@ -19,6 +19,18 @@ def is_missing_text(value: Column | str) -> Column:
     return c.isNull() | c.cast("string").isin("nan", "")
 
 
+def is_blank_or_space(value: Column | str) -> Column:
+    """Null, or nothing but white space of any kind (live rule)."""
+    c = column(value)
+    return c.isNull() | ~c.cast("string").rlike(r"(?U)[^\s\x1c-\x1f]")
+
+
+def is_unconverted(value: Column | str, kind: str) -> Column:
+    """Neither blank nor a value of the type it is to have (whole numbers for ``bigint``)."""
+    converted = as_whole(value) if kind == "bigint" else column(value).cast("string").try_cast(kind)
+    return ~is_blank(value) & converted.isNull()
+
+
 def is_not_positive(value: Column | str) -> Column:
     """At most zero; text that is not a number does not count."""
     return F.coalesce(as_number(value) <= 0, F.lit(False))

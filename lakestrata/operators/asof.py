@@ -57,18 +57,18 @@ def accepted_vs_rejected(
 ) -> DataFrame:
     """Per accepted-table version: its rows and the rejected rows as of that time (0 if none yet).
 
-    Both inputs are commit histories with ``version``, ``timestamp`` (ms) and ``num_rows``; no table
+    Both inputs are commit histories with ``version``, ``timestamp`` (ms) and ``total_rows``; no table
     data is read.
     """
-    columns = ["version", "timestamp", "num_rows"]
+    columns = ["version", "timestamp", "total_rows"]
     recent = accepted.select(*columns)
     if last is not None:
         recent = recent.orderBy(F.desc("version")).limit(last)
     joined = asof_join(recent, rejected.select(*columns), tolerance_ms=tolerance_ms)
     return joined.select(
-        "version", "timestamp", F.col("num_rows").alias("clean_rows"),
+        "version", "timestamp", F.col("total_rows").alias("clean_rows"),
         F.col("q_version").alias("rejected_version"),
-        F.coalesce("q_num_rows", F.lit(0)).alias("rejected_rows"))
+        F.coalesce("q_total_rows", F.lit(0)).alias("rejected_rows"))
 
 
 def rejected_ratio(clean: Column, rejected: Column) -> Column:

@@ -1,12 +1,56 @@
 """Run log, task log and record inspection."""
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata import constants as const
+from lakestrata.functions.text import decoded_path
 from lakestrata.operators.dedup import first_per_key
+from lakestrata.sources.storage import file_info
+
+RUN_SCHEMA = "dag_id string, run_id string, task_id string, status string, message string, timestamp timestamp"
+
+
+def scan_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines of text logs with the name of their file and their place in it (``block``, ``position``)."""
+    return spark.read.text(path).select(
+        decoded_path("_metadata.file_name").alias("source"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"), F.col("value").alias("line"))
+
+
+class RunLog:
+    """An append-only log of what jobs did; a folder of small JSON files, one per event."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def add(self, dag_id: str, run_id: str, task_id: str, status: str, message: str = "") -> None:
+        event = self.spark.range(1).select(
+            *[F.lit(v).alias(n) for n, v in (("dag_id", dag_id), ("run_id", run_id), ("task_id", task_id),
+                                             ("status", status), ("message", message))],
+            F.current_timestamp().alias("timestamp"))
+        event.coalesce(1).write.mode("append").json(self.path)
+
+    def events(self) -> DataFrame:
+        if file_info(self.spark, self.path) is None:
+            return self.spark.createDataFrame([], RUN_SCHEMA)
+        return self.spark.read.schema(RUN_SCHEMA).json(self.path)
+
+    @contextmanager
+    def task(self, dag_id: str, task_id: str, run_id: str | None = None) -> Iterator[str]:
+        """RUNNING when the block begins, SUCCESS or ERROR when it ends; gives the run's id."""
+        run_id = run_id or uuid.uuid4().hex
+        self.add(dag_id, run_id, task_id, "RUNNING")
+        try:
+            yield run_id
+        except BaseException as error:
+            self.add(dag_id, run_id, task_id, "ERROR", str(error)[:const.READ_ERROR_LENGTH])
+            raise
+        self.add(dag_id, run_id, task_id, "SUCCESS")
 
 
 def _last_lines(

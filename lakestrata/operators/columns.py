@@ -7,9 +7,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata import constants as const
-from lakestrata.functions.parsing import as_moment
+from lakestrata.functions.parsing import as_moment, as_number, as_whole
 from lakestrata.functions.text import decoded_path, tidy_name
 
 
@@ -121,9 +122,12 @@ def with_defaults(df: DataFrame, defaults: Mapping[str, Column | str | float | i
 
 
 def cast_known(df: DataFrame, types: Mapping[str, str] = const.ORDER_TYPES) -> DataFrame:
-    """Cast the known columns leniently; values that do not convert become null."""
+    """Cast the known columns leniently; values that do not convert become null.
+
+    ``5.0`` is the whole number 5. ``conversion_rules`` finds what would become null.
+    """
     casts = {
-        name: F.col(name).cast("string").try_cast(kind)
+        name: as_whole(F.col(name)) if kind == "bigint" else F.col(name).cast("string").try_cast(kind)
         for name, kind in types.items() if name in df.columns}
     return df.withColumns(casts) if casts else df
 
@@ -143,11 +147,15 @@ def fill_constant(df: DataFrame, values: Mapping[str, float | int | str]) -> Dat
 def fill_mean(df: DataFrame, name: str) -> DataFrame:
     """Fill nulls with the column mean rounded half-even to a whole number (0 if there is none).
 
+    A text column stays text; its mean is that of the values that are numbers.
+
     The mean is a scalar subquery over a scan of this one column.
     """
-    mean = df.select(F.bround(F.coalesce(F.avg(name), F.lit(0.0).cast("double")), 0).alias("m"))
+    number = F.col(name) if not isinstance(df.schema[name].dataType, T.StringType) else as_number(name)
+    mean = df.select(F.bround(F.coalesce(F.avg(number), F.lit(0.0).cast("double")), 0).alias("m")).scalar()
     kind = df.schema[name].dataType
-    return df.withColumn(name, F.coalesce(F.col(name), mean.scalar().cast(kind)))
+    filler = mean.cast("bigint").cast(kind) if isinstance(kind, T.StringType) else mean.cast(kind)
+    return df.withColumn(name, F.coalesce(F.col(name), filler))
 
 
 def normalize_gold(df: DataFrame) -> DataFrame:

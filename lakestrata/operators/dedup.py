@@ -61,19 +61,20 @@ def dedup_latest(
     return first_per_key(df, [key], [newest, *_order(df, tiebreak)])
 
 
+def repeated_keys(df: DataFrame, key: str = "order_id") -> DataFrame:
+    """``_key`` (null included) and ``_n`` of the keys with more than one row; a hash aggregate of the key alone."""
+    return df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+
+
 def duplicate_report(
     df: DataFrame, key: str = "order_id", order_by: Sequence[str] | None = None
 ) -> DataFrame:
     """One sample row (the first) per repeated non-null key, with the number of its rows.
 
-    Count and sample come out of one grouped aggregate with map-side combination, in place of a
-    count table joined back to the rows.
+    Only rows of repeated keys go on from the count; of these each map task passes one per key.
     """
-    order = list(order_by) if order_by else list(df.columns)
-    sample = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*order))
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("Occurrences"), sample.alias("_sample"))
-        .where(F.col("Occurrences") > 1)
-        .select("_sample.*", "Occurrences"))
+    order = list(order_by) if order_by else [F.col(f"`{c}`") for c in df.columns]
+    repeated = repeated_keys(df.where(F.col(key).isNotNull()), key)
+    rows = df.join(repeated.select("_key"), df[key] == F.col("_key"), "left_semi")
+    return first_per_key(rows, [key], order).join(repeated, F.col(key) == F.col("_key")).select(
+        *[F.col(f"`{c}`") for c in df.columns], F.col("_n").alias("Occurrences"))

@@ -1,4 +1,4 @@
-"""Daily and monthly gold aggregates, growth, funnel, summary and pruning numbers."""
+"""Daily and monthly gold aggregates, growth, funnel, summary and totals of date ranges."""
 
 from collections.abc import Sequence
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import constants as const
 from lakestrata.functions.parsing import as_moment, as_number
-from lakestrata.functions.text import growth_label, ratio_pct
+from lakestrata.functions.text import growth_label
 from lakestrata.operators.dedup import dedup_latest
 
 
@@ -44,43 +44,28 @@ def latest_dated(
         "date", F.to_date("timestamp"))
 
 
-def gold_daily_ids(
+def gold_daily_latest(
     df: DataFrame,
     date: str = "order_date",
     key: str = "order_id",
     tiebreak: Sequence[str | Column] | None = None,
-    ids_per_row: int = 100_000,
 ) -> DataFrame:
-    """Per day: joined ids, number of orders and newest time, after latest-wins deduplication.
-
-    A day with at most ``ids_per_row`` ids is one row. A larger day is spread over several rows
-    (``part`` 0..``parts`` - 1) that each list a share of its ids; all other columns repeat the totals
-    of the day. So no task ever builds the id list of a whole heavy day, and no id is dropped.
-    """
-    newest = latest_dated(df, date, key, tiebreak).select(
-        "date", "timestamp", F.col(key).cast("string").alias("id"))
-    days = newest.groupBy("date").agg(
-        F.count(F.lit(1)).alias("total_orders"), F.max("timestamp").alias("newest"),
-        F.ceil(F.count("id") / F.lit(ids_per_row)).cast("int").alias("parts")
-    ).withColumn("parts", F.greatest("parts", F.lit(1)))
-    # The day table has a row per calendar day, so it is broadcast once its size is known; a heavy
-    # day on the other side is split by adaptive execution if it is not.
-    totals = ["parts", "total_orders", "newest"]
+    """Per day: number of orders and newest time, after latest-wins deduplication. Always one row per day."""
     return (
-        newest.join(days, "date")
-        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-        .groupBy("date", "part")
-        .agg(F.array_join(F.array_sort(F.collect_list("id")), ", ").alias("order_ids"),
-             *[F.first(name).alias(name) for name in totals])
-        .select("date", "part", "parts", "order_ids", "total_orders",
-                F.date_format("newest", const.TIMESTAMP_FORMAT).alias("last_processed"))
-        .orderBy("date", "part"))
+        latest_dated(df, date, key, tiebreak).groupBy("date")
+        .agg(F.count(F.lit(1)).alias("total_orders"),
+             F.date_format(F.max("timestamp"), const.TIMESTAMP_FORMAT).alias("last_processed"))
+        .orderBy("date"))
 
 
-def daily_totals(gold: DataFrame) -> DataFrame:
-    """One row per day of ``gold_daily_ids`` without its id lists."""
-    return gold.groupBy("date").agg(
-        F.first("total_orders").alias("total_orders"), F.first("last_processed").alias("last_processed"))
+def gold_daily_ids(
+    df: DataFrame,
+    date: str = "order_date",
+    key: str = "order_id",
+    tiebreak: Sequence[str | Column] | None = None,
+) -> DataFrame:
+    """The orders behind ``gold_daily_latest``: one row (date, order_id) per order, whatever the size of a day."""
+    return latest_dated(df, date, key, tiebreak).select("date", F.col(key).cast("string").alias("order_id"))
 
 
 def monthly_orders(daily: DataFrame, date: str = "date", orders: str = "total_orders") -> DataFrame:
@@ -139,24 +124,16 @@ def run_summary(
         F.greatest(F.lit(0), F.col("raw_records") - F.col("unique_records")))
 
 
-def partition_scan_metrics(
+def date_range_total(
     df: DataFrame, start: str, end: str, date: str = "date", orders: str | None = "total_orders"
 ) -> DataFrame:
-    """How many of the day partitions a date range reads, and the filtered total."""
-    inside = F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    """One row: the first and last date there is, and the total within a range of dates."""
+    day = F.col(date).cast("date")
     value = F.col(orders) if orders else F.lit(1)
-    days = df.where(F.col(date).isNotNull()).groupBy(F.col(date).cast("date").alias("day")).agg(
-        F.sum(value).alias("n"))
-    share = ratio_pct(F.col("partitions_scanned"), F.col("total_partitions"))
-    return days.agg(
-        F.min("day").alias("first_date"), F.max("day").alias("last_date"),
-        F.count(F.lit(1)).alias("total_partitions"),
-        F.count_if(inside).alias("partitions_scanned"),
-        F.coalesce(F.sum(F.when(inside, F.col("n"))), F.lit(0)).alias("filtered_total"),
-    ).withColumn("scan_pct", share).withColumn(
-        "savings_pct", F.lit(100.0).cast("double") - F.col("scan_pct")
-    ).withColumn("pruning", F.when(
-        F.col("partitions_scanned") < F.col("total_partitions"), "PASS").otherwise("ACTIVE"))
+    inside = day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return df.agg(
+        F.min(day).alias("first_date"), F.max(day).alias("last_date"),
+        F.coalesce(F.sum(F.when(inside, value)), F.lit(0)).alias("filtered_total"))
 
 
 def preview(df: DataFrame, order_by: Sequence[str | Column], rows: int = 1000) -> DataFrame:

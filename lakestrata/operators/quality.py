@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import constants as const
+from lakestrata.operators.dedup import first_per_key, repeated_keys
 from lakestrata.functions import predicates as p
 from lakestrata.functions.text import decimals, ratio_pct, thousands
 
@@ -95,14 +96,19 @@ def duplicate_members(
 ) -> DataFrame:
     """One row: repeated ids, all their rows, and the first few of those ids as text.
 
-    The samples are a top-n over the repeated ids (by first appearance if an order is given), so no
-    list of ids is ever gathered.
+    Ids are counted by a hash aggregate. Only the rows of repeated ids are put in order, for the samples: a
+    top-n over their first rows (or over the ids, without an order), so no list of ids is ever gathered.
     """
-    first = F.min(F.struct(*order_by)) if order_by else F.min(F.col(key))
-    repeated = df.groupBy(F.col(key).alias("id")).agg(
-        F.count(F.lit(1)).alias("n"), first.alias("at")).where(F.col("n") > 1)
+    repeated = repeated_keys(df, key).select(F.col("_key").alias("id"), F.col("_n").alias("n"))
+    if order_by:
+        place = F.struct(*order_by).alias("at")
+        rows = df.select(F.col(key).alias("row_id"), place).join(
+            repeated.select("id"), F.col("row_id").eqNullSafe(F.col("id")), "left_semi")
+        firsts = first_per_key(rows, ["row_id"], ["at"]).select(F.col("row_id").alias("id"), "at")
+    else:
+        firsts = repeated.select("id", F.struct("id").alias("at"))
     shown = F.coalesce(F.col("id").cast("string"), F.lit("None"))
-    top = repeated.orderBy("at", "id").limit(samples).agg(
+    top = firsts.orderBy("at", "id").limit(samples).agg(
         F.array_sort(F.collect_list(F.struct("at", shown.alias("id")))).alias("a"))
     names = F.array_join(F.col("a.id"), ", ")
     return repeated.agg(
@@ -264,7 +270,7 @@ def live_layer_checks(
     numeric = [name for name in const.LIVE_NEGATIVE_COLUMNS if name in has]
     counters = {"total": F.count(F.lit(1))}
     for name in present:
-        counters[f"null_{name}"] = F.count_if(p.is_blank(name))
+        counters[f"null_{name}"] = F.count_if(p.is_blank_or_space(name))
     for name in numeric:
         counters[f"neg_{name}"] = F.count_if(p.is_negative(name))
     if "order_date" in has:
@@ -403,18 +409,23 @@ def quality_report(layers: Sequence[LayerChecks], generated_at: Column | None =
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, nulls and distinct values per column.
 
-    Every column is counted on its own from a scan of that column, so all scans together read the
-    table once and no row is copied per column as several distinct counts in one aggregate would do.
+    Rows and nulls of all columns come from one scan. Distinct values are counted column by column from a scan
+    of that column alone, so no row is copied per column as several distinct counts in one aggregate would
+    do. Anything but a plain scan should be written first.
     """
-    result = None
-    for position, name in enumerate(columns or df.columns):
-        counts = df.groupBy(F.col(f"`{name}`").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        one = counts.agg(
-            F.lit(position).alias("position"), F.lit(name).alias("column"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.count("v").alias("distinct_values"))
-        result = one if result is None else result.unionByName(one)
+    names = list(columns or df.columns)
+    entries = [F.struct(
+        F.lit(i).alias("position"), F.lit(name).alias("column"), F.col("rows"), F.col(f"n{i}").alias("nulls"))
+        for i, name in enumerate(names)]
+    result = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col(f"`{name}`").isNull()).alias(f"n{i}") for i, name in enumerate(names)]).select(
+        F.inline(F.array(*entries)))
+    distinct = None
+    for position, name in enumerate(names):
+        values = df.select(F.col(f"`{name}`").alias("v")).where(F.col("v").isNotNull()).distinct()
+        one = values.agg(F.lit(position).alias("at"), F.count("v").alias("distinct_values"))
+        distinct = one if distinct is None else distinct.unionByName(one)
+    result = result.join(distinct, F.col("position") == F.col("at")).drop("at")
     unique_pct = ratio_pct(F.col("distinct_values"), F.col("rows"))
     return result.withColumn("null_pct", ratio_pct(F.col("nulls"), F.col("rows"))).withColumn(
         "unique_pct", unique_pct)

@@ -1,6 +1,6 @@
 """Row rules, quarantine split, file gate and the issue list."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +33,12 @@ REJECTION_RULES = (
 )
 
 
+def conversion_rules(types: Mapping[str, str] = const.ORDER_TYPES) -> tuple[Rule, ...]:
+    """Rules that reject values which casting would turn into null, so that none is lost without a trace."""
+    return tuple(
+        Rule(f"invalid_{name}", name, lambda c, kind=kind: p.is_unconverted(c, kind)) for name, kind in types.items())
+
+
 def reason_of(df: DataFrame, rules: Sequence[Rule] = REJECTION_RULES) -> Column:
     """The first broken rule's reason, null for a good row. Rules on absent columns do not apply."""
     branches = [F.when(rule.hit(), rule.reason) for rule in rules if rule.column in df.columns]

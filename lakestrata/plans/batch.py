@@ -1,39 +1,49 @@
-"""Batch medallion: all new files of a folder to quarantine and silver in one run."""
+"""Batch medallion: all new files of a folder to bronze, quarantine, validated, silver and gold in one run."""
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import constants as const
+from lakestrata.functions.parsing import as_day
 from lakestrata.operators import rules as rules_
-from lakestrata.operators.columns import add_processing_time, cast_known, fill_constant
+from lakestrata.operators.columns import add_processing_time, cast_known, fill_constant, with_defaults
 from lakestrata.operators.dedup import dedup_by_key
+from lakestrata.operators.gold import gold_daily
 from lakestrata.plans.live import examine, read_files
-from lakestrata.session import give_back, materialize, work_folder
+from lakestrata.session import Workspace
 from lakestrata.sources import files as files_
+from lakestrata.sources.storage import delete_folder, list_folder
 from lakestrata.sources.tabular import POSITION
 from lakestrata.sources.versioned import VersionedTable
 
-
 # Staged columns that are not data of the file.
 _ADDED = [*POSITION, "source_file", "rejection_reason", "ingestion_timestamp", "quarantined"]
+BATCH_RULES = (*rules_.REJECTION_RULES, *rules_.conversion_rules())
 
 
 class Medallion:
-    """The tables of one medallion below a root folder."""
+    """The tables of one medallion below a root folder.
+
+    A run claims its files before it writes anything, and records their dispositions when all is written. A run
+    that died left an open claim; the next one finishes it first, with the same files under the same name, and
+    a table that has a commit of that name is left as it is. So every row arrives once. One run at a time.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.silver = VersionedTable(spark, f"{self.root}/silver")
-        self.quarantine = VersionedTable(spark, f"{self.root}/quarantine")
+        self.bronze, self.quarantine, self.validated, self.silver, self.gold = (
+            VersionedTable(spark, f"{self.root}/{layer}") for layer in const.LAYERS)
         self.manifest = f"{self.root}/manifest"
+        self.claims = f"{self.root}/claims"
 
     def run(
         self,
         input_path: str | list[str],
-        rules: Sequence[rules_.Rule] = rules_.REJECTION_RULES,
+        rules: Sequence[rules_.Rule] = BATCH_RULES,
         fill: Mapping[str, float] | None = None,
         key: str = "order_id",
         order_by: Sequence[str] | None = None,
@@ -41,71 +51,121 @@ class Medallion:
         ratio: float = const.GATE_RATIO,
         ragged: str = "pad",
         multi_line: bool = False,
-        txn: str | None = None,
     ) -> DataFrame:
-        """Handle every file that has no disposition yet; returns those dispositions.
+        """Handle every file that has no disposition yet; returns the dispositions that were recorded.
 
-        ``input_path`` is a folder, or a list of file names.
-
-        The readable files are parsed once into a staged Parquet table, split by whether a row is
-        rejected. The file gate, quarantine and silver are all taken from that table. The rows of files
-        that fail the gate are left out by an anti join against those few files, which is not planned
-        at all if none fails. ``txn`` makes a repeated run of the same input harmless.
+        ``input_path`` is a folder, or a list of file names. A file is known by path, size and time.
         """
+        def finish(run: str, files: DataFrame, resumed: bool) -> None:
+            with Workspace(self.spark, "medallion") as work:
+                self._finish(run, files, resumed, work, rules, fill, key, order_by, required, ratio, ragged, multi_line)
+            delete_folder(self.spark, self._claim_folder(run))
+
+        runs = []
+        for run, claimed in self.open_claims():
+            finish(run, claimed, True)
+            runs.append(run)
         listed = (files_.list_files(self.spark, input_path) if isinstance(input_path, str)
                   else files_.named_files(self.spark, input_path))
-        examined, json_schema = examine(
-            files_.pending_files(listed, files_.read_manifest(self.spark, self.manifest)))
+        pending = files_.pending_files(listed, files_.read_manifest(self.spark, self.manifest))
+        if not pending.isEmpty():
+            run = uuid.uuid4().hex
+            finish(run, self.claim(run, pending), False)
+            runs.append(run)
+        return files_.read_manifest(self.spark, self.manifest).where(F.col("run").isin(runs)).select(
+            *files_.FILE_KEY, "disposition", "reason")
+
+    # --- claims ---
+
+    def _claim_folder(self, run: str) -> str:
+        return f"{self.claims}/run={run}"
+
+    def claim(self, run: str, files: DataFrame) -> DataFrame:
+        """Record that a run takes these files, and return them as recorded."""
+        files.write.parquet(self._claim_folder(run))
+        return self.spark.read.schema(files.schema).parquet(self._claim_folder(run))
+
+    def open_claims(self) -> list[tuple[str, DataFrame]]:
+        """Runs that have not ended, with their files. A claim that was not written whole has changed nothing yet."""
+        found = []
+        for info in list_folder(self.spark, self.claims):
+            parts = {part.path.rsplit("/", 1)[-1] for part in list_folder(self.spark, info.path)}
+            if "_SUCCESS" in parts:
+                found.append((info.path.rsplit("run=", 1)[1], self.spark.read.parquet(info.path)))
+            else:
+                delete_folder(self.spark, info.path)
+        return found
+
+    # --- one run ---
+
+    def _finish(
+        self, run, files, resumed, work, rules, fill, key, order_by, required, ratio, ragged, multi_line
+    ) -> None:
+        """Everything between a claim and the dispositions.
+
+        The readable files are parsed once into a staged table of text, split by whether a row is rejected. The
+        file gate and all layers are taken from that table. Rows are judged as text and cast afterwards, so
+        no value is lost before a rule has seen it. The rows of files that fail the gate are left out by an
+        anti join against those few files, which is not planned at all if none fails.
+        """
+        changed = files.join(files_.named_files(self.spark, [r["path"] for r in files.select("path").toLocalIterator()]
+                                                ).select(*files_.FILE_KEY), files_.FILE_KEY, "left_anti") if resumed else None
+        if changed is not None and not changed.isEmpty():
+            changed = work.table(changed, "changed")
+            files = files.join(changed.select("path"), "path", "left_anti").select(*files.columns)
+        else:
+            changed = None
+        examined, records = examine(files, keep=work.table)
         header_only = F.coalesce(F.col("has_header") & ~F.col("has_more"), F.lit(False))
         readable = examined.where(F.col("issue").isNull() & ~header_only)
-        rows = read_files(self.spark, readable, json_schema, ragged, multi_line)
+        rows = read_files(self.spark, readable, records, ragged, multi_line)
         if rows is None:
             gate = self.spark.createDataFrame([], "path string, reason string, disposition string")
         else:
-            work = work_folder(self.spark, "staged")
-            staged = self._stage(rows, rules, work)
-            gate = materialize(rules_.file_threshold_gate(
+            judged = rules_.with_rejection_reason(rows, rules).withColumns({
+                "ingestion_timestamp": F.current_timestamp(),
+                "quarantined": F.col("rejection_reason").isNotNull()})
+            staged = work.table(judged, "staged", ["quarantined"])
+            gate = work.table(rules_.file_threshold_gate(
                 staged.drop(*_ADDED), "source_path", required, ratio
             ).select(F.col("source_path").alias("path"), "reason", "disposition"), "gate")
             rejected = gate.where(F.col("reason").isNotNull()).select(F.col("path").alias("source_path"))
             if not rejected.isEmpty():
                 staged = staged.join(rejected, "source_path", "left_anti")
-            self._load(staged.drop("source_path"), fill, key, order_by, txn)
-            give_back(self.spark, work)
+            self._load(staged.drop("source_path"), fill, key, order_by, run, resumed)
         dispositions = self._dispositions(examined, header_only, gate)
-        files_.record_dispositions(dispositions, self.manifest)
-        return dispositions
-
-    def _stage(self, rows: DataFrame, rules: Sequence[rules_.Rule], folder: str) -> DataFrame:
-        judged = rules_.with_rejection_reason(cast_known(rows), rules).withColumns({
-            "ingestion_timestamp": F.current_timestamp(),
-            "quarantined": F.col("rejection_reason").isNotNull()})
-        return materialize(judged, "staged", by=["quarantined"], folder=folder)
+        if changed is not None:
+            dispositions = dispositions.unionByName(changed.select(
+                *files_.FILE_KEY, F.lit("rejected").alias("disposition"), F.lit("changed").alias("reason")))
+        files_.record_dispositions(dispositions, self.manifest, run)
 
-    def _load(self, staged: DataFrame, fill, key, order_by, txn) -> None:
+    def _load(self, staged: DataFrame, fill, key, order_by, run: str, resumed: bool) -> None:
         if staged.isEmpty():
             return
-        wanted = {"revenue": 0.0} if fill is None else fill
-        fill = {name: value for name, value in wanted.items() if name in staged.columns}
+        self.bronze.append(staged.drop("quarantined", "rejection_reason", *POSITION), run, resumed)
         bad = staged.where(F.col("quarantined")).drop("quarantined", *POSITION)
         if not bad.isEmpty():
-            self.quarantine.append(bad, txn)
-        good = staged.where(~F.col("quarantined")).drop("quarantined", "rejection_reason")
+            self.quarantine.append(bad, run, resumed)
+        good = cast_known(staged.where(~F.col("quarantined")).drop("quarantined", "rejection_reason"))
+        self.validated.append(good.drop(*POSITION), run, resumed)
+        # a column to be filled is there whatever files came together
+        fill = {"revenue": 0.0} if fill is None else fill
+        good = with_defaults(good, {name: F.lit(value) for name, value in fill.items()})
         clean = dedup_by_key(good, key, order_by or POSITION).drop(*POSITION)
-        try:
-            known = self.silver.read().select(key)
-        except FileNotFoundError:
-            known = None
-        if known is not None:
+        if self.silver.latest_version() >= 0:
+            # of all silver keys only those of this run matter
+            known = self.silver.read().select(key).join(clean.select(key), key, "left_semi")
             clean = clean.join(known, key, "left_anti").select(*clean.columns)
-        self.silver.append(add_processing_time(fill_constant(clean, fill) if fill else clean), txn)
+        self.silver.append(add_processing_time(fill_constant(clean, fill) if fill else clean), run, resumed)
+        silver = self.silver.read()
+        self.gold.overwrite(gold_daily(silver, as_day("order_date"), key), run, resumed)
 
     def _dispositions(self, examined: DataFrame, header_only, gate: DataFrame) -> DataFrame:
         unsupported = ~F.col("supported")
         judged = examined.withColumn("header_only", header_only).join(
             gate.withColumnRenamed("reason", "gate_reason"), "path", "left")
         return judged.select(
-            F.col("path").alias("file"),
+            *files_.FILE_KEY,
             F.when(unsupported, "unsupported")
             .when(F.col("issue").isNotNull() | F.col("header_only"), "rejected")
             .otherwise(F.coalesce("disposition", F.lit("rejected"))).alias("disposition"),

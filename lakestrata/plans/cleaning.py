@@ -13,11 +13,10 @@ from lakestrata.sources.tabular import scan_csv_inferred, scan_parquet
 
 def clean_job(
     spark: SparkSession, csv_path: str, output_path: str, fill_column: str = "age",
-    single_file: bool = False,
 ) -> DataFrame:
     """CSV with inferred types, distinct rows, nulls filled by the mean, stamped, saved as Parquet."""
     rows = fill_mean(dedup_full_row(scan_csv_inferred(spark, csv_path)), fill_column)
-    write_parquet(add_processing_time(rows, "processed_time"), output_path, single_file)
+    write_parquet(add_processing_time(rows, "processed_time"), output_path)
     return scan_parquet(spark, output_path)
 
 

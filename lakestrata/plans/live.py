@@ -10,7 +10,7 @@ from lakestrata import constants as const
 from lakestrata.operators.columns import (
     add_processing_time, cast_known, pick_aliases, project_existing)
 from lakestrata.operators.dedup import dedup_composite
-from lakestrata.operators.gold import gold_daily_ids
+from lakestrata.operators.gold import gold_daily_latest
 from lakestrata.session import materialize
 from lakestrata.sources import files as files_
 from lakestrata.sources import tabular
@@ -27,37 +27,30 @@ class LiveView:
 
 
 def examine(
-    files: DataFrame, canonical: Sequence[str] = const.HEADERLESS_NARROW
-) -> tuple[DataFrame, object]:
-    """(listed files with layout and issue as a written table, JSON schema or None): one row per file."""
-    spark = files.sparkSession
-    json_paths = _paths(files.where(F.col("extension") == ".json"))
-    if not json_paths:
-        return materialize(files_.examine_files(files, canonical), "examined"), None
-    schema = tabular.infer_json_schema(spark, json_paths)
-    rows = tabular.json_records(spark, json_paths, schema)
-    return materialize(files_.examine_files(files, canonical, rows), "examined"), schema
+    files: DataFrame, canonical: Sequence[str] = const.HEADERLESS_NARROW, keep=materialize,
+) -> tuple[DataFrame, DataFrame | None]:
+    """(listed files with layout and issue, staged JSON records or None), both written tables.
 
-
-def _paths(files: DataFrame) -> list[str]:
-    """File names for a scan, which needs them on the driver in any case."""
-    names = files.select(tabular.literal_path("path").alias("name")).orderBy("name")
-    return [row["name"] for row in names.collect()]
+    ``keep`` writes a work table; JSON text is parsed once, into the staged records.
+    """
+    json_files = files.where((F.col("extension") == ".json") & ~F.col("file_name").startswith("_"))
+    records = None if json_files.isEmpty() else keep(tabular.json_records(files.sparkSession, json_files), "json-records")
+    return keep(files_.examine_files(files, canonical, records), "examined"), records
 
 
 def read_files(
-    spark: SparkSession, readable: DataFrame, json_schema, ragged: str = "pad",
+    spark: SparkSession, readable: DataFrame, records: DataFrame | None, ragged: str = "pad",
     multi_line: bool = False,
 ) -> DataFrame | None:
     """All rows of the given examined files by column name, as text, with their position."""
-    groups = tabular.layout_groups(readable)
-    csv_rows = tabular.scan_csv_groups(
-        spark, [g for g in groups if g["columns"] is not None], ragged, True, multi_line)
-    frames = [] if csv_rows is None else [csv_rows]
-    json_paths = [path for g in groups if g["columns"] is None for path in g["paths"]]
-    if json_paths:
-        records = tabular.json_records(spark, json_paths, json_schema, with_position=True)
-        frames.append(tabular.tidy_json(records, ["source_file", "source_path", *tabular.POSITION]))
+    csv_files = readable.where(F.col("extension") == ".csv")
+    rows = tabular.scan_csv_groups(spark, tabular.layout_groups(csv_files), ragged, True, multi_line)
+    frames = [] if rows is None else [rows]
+    json_files = readable.where(F.col("extension") == ".json").select("path")
+    if records is not None:
+        wanted = records.where(F.col("fields").isNotNull()).join(json_files, "path", "left_semi")
+        if not wanted.isEmpty():
+            frames.append(tabular.json_columns(wanted))
     return tabular.union_by_name(frames) if frames else None
 
 
@@ -73,9 +66,9 @@ def medallion_live(
 
     "First" follows file name and place in the file, or ``order_by`` if given.
     """
-    examined, json_schema = examine(files_.list_files(spark, path), canonical)
+    examined, records = examine(files_.list_files(spark, path), canonical)
     issues = files_.file_issues(examined)
-    rows = read_files(spark, examined.where(F.col("issue").isNull()), json_schema, ragged, multi_line)
+    rows = read_files(spark, examined.where(F.col("issue").isNull()), records, ragged, multi_line)
     if rows is None:
         return LiveView(examined, issues, None, None)
     rows = rows.drop("source_path").withColumn("ingestion_timestamp", F.current_timestamp())
@@ -84,34 +77,37 @@ def medallion_live(
         examined, issues, rows.drop(*tabular.POSITION), silver.drop(*tabular.POSITION))
 
 
-def gold_live(
+def gold_live_rows(
     spark: SparkSession, path: str, ragged: str = "pad",
-    tiebreak: Sequence[str] | None = None,
 ) -> DataFrame | None:
-    """Daily gold straight from the raw files: aliases picked per layout, latest row per id."""
-    files = files_.list_files(spark, path)
-    layouts = materialize(files_.sniff_layout(
-        files_.csv_heads(files), const.HEADERLESS_WIDE), "layouts")
+    """The rows of raw files under the names daily gold needs: aliases picked per layout."""
+    files = files_.list_files(spark, path).where(~F.col("file_name").startswith("_"))
+    examined, records = examine(files, const.HEADERLESS_WIDE)
     frames = []
-    for group in tabular.layout_groups(layouts.where(F.col("columns").isNotNull())):
+    # files that lack a required column can still have a date
+    layouts = examined.where(F.col("columns").isNotNull())
+    for group in tabular.layout_groups(layouts):
         rows = tabular.scan_csv_layout(
             spark, group["paths"], group["columns"], group["has_header"], ragged,
-            apply_aliases=False, with_position=True)
+            apply_aliases=False, with_position=True, multi_line=group["multi_line"])
         frames.append(_gold_input(rows))
-    json_paths = _paths(files.where(F.col("extension") == ".json"))
-    if json_paths:
-        records = tabular.json_records(spark, json_paths, with_position=True)
-        keep = ["source_file", "source_path", *tabular.POSITION]
-        fields = [c for c in records.columns if c not in [*keep, "_corrupt_record"]]
-        parsed = records.where(F.col("_corrupt_record").isNull())
-        frames.append(_gold_input(parsed.select(
-            *[F.col(f"`{c}`").alias(c.strip().lower()) for c in fields], *keep)))
+    if records is not None and not records.where(F.col("fields").isNotNull()).isEmpty():
+        frames.append(_gold_input(tabular.json_columns(records, apply_aliases=False)))
     if not frames:
         return None
     union = cast_known(tabular.union_by_name(frames))
     if "order_date" not in union.columns:
         union = union.withColumn("order_date", F.current_timestamp())
-    return gold_daily_ids(union, tiebreak=tiebreak or tabular.POSITION)
+    return union
+
+
+def gold_live(
+    spark: SparkSession, path: str, ragged: str = "pad",
+    tiebreak: Sequence[str] | None = None,
+) -> DataFrame | None:
+    """Daily gold straight from the raw files, the newest row per id: one row per day."""
+    rows = gold_live_rows(spark, path, ragged)
+    return None if rows is None else gold_daily_latest(rows, tiebreak=tiebreak or tabular.POSITION)
 
 
 def _gold_input(rows: DataFrame) -> DataFrame:

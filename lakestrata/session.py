@@ -1,13 +1,15 @@
 """Session settings and the shared work folder."""
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestrata.sources.storage import delete_folder
+
 PARTITIONS_PER_CORE = 4
-_LOCAL_FOLDERS: dict[str, str] = {}
+#: Work tables of local-mode sessions that do not name a folder.
+LOCAL_WORK = "/tmp/checkpoints"
 
 
 def build_session(app_name: str = "lakestrata", **extra: str) -> SparkSession:
@@ -40,17 +42,16 @@ def build_session(app_name: str = "lakestrata", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting (tests) gets a temporary folder of its own.
+    In local mode, where the tasks run inside the driver, an unset name is set here. On a cluster it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="lakestrata-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    if not named:
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+        named = f"{LOCAL_WORK}/{context.applicationId}"
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
@@ -71,5 +72,21 @@ def materialize(
 
 
 def give_back(spark: SparkSession, folder: str) -> None:
-    """Free the space of a work table that is not read any more."""
-    spark.range(0).write.mode("overwrite").parquet(folder)
+    """Delete a work table that is not read any more."""
+    delete_folder(spark, folder)
+
+
+class Workspace:
+    """Work tables of one run, deleted when it ends, also if it fails."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder = spark, work_folder(spark, label)
+
+    def __enter__(self) -> "Workspace":
+        return self
+
+    def __exit__(self, *_) -> None:
+        give_back(self.spark, self.folder)
+
+    def table(self, df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+        return materialize(df, label, by, f"{self.folder}/{label}-{uuid.uuid4().hex}")

@@ -1,52 +1,59 @@
 """Input folder: listing, header recognition, file issues and the manifest of handled files.
 
-Only names and the first records of each CSV file are looked at here; tasks read those, a few bytes
-per file.
+Tasks read the first records of each CSV file; one scan of the lines tells what needs the whole file.
 """
 
 import csv
 import io
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import constants as const
 from lakestrata.functions.text import decoded_path, extension_of, file_name_of
-from lakestrata.sources.storage import open_input
+from lakestrata.sources.storage import FileInfo, file_info, list_folder, open_input
 
+NOT_UTF8 = "not all of the file is UTF-8"
+HIDDEN_NAME = "a scan leaves out names that begin with an underscore"
 HEAD_SCHEMA = "path string, first_record array<string>, has_more boolean, problem string, problem_kind string"
 
 
 def list_files(
     spark: SparkSession, folder: str, extensions: Sequence[str] = const.SUPPORTED_EXTENSIONS
 ) -> DataFrame:
-    """Regular files directly below ``folder``.
+    """Regular files directly below ``folder``, empty ones and names with ``_`` included.
 
-    The names come from Spark's own file index, which unlike a scan also knows files without content.
-    Sub-folders are left alone, so an archive folder inside the input folder is never touched.
+    Only metadata is read. Names that begin with a dot and Spark's own success mark are not input. Sub-folders
+    are left alone, so an archive folder inside the input folder is never touched.
     """
-    urls = spark.read.format("binaryFile").load(folder).inputFiles()
-    return _listing(spark, urls, decoded_path("url"), extensions)
+    return _listing(spark, [info for info in list_folder(spark, folder) if _is_input(info)], extensions)
+
+
+def _is_input(info: FileInfo) -> bool:
+    name = info.path.rsplit("/", 1)[-1]
+    return info.is_file and not name.startswith(".") and name != "_SUCCESS"
 
 
 def named_files(
     spark: SparkSession, names: Sequence[str], extensions: Sequence[str] = const.SUPPORTED_EXTENSIONS
 ) -> DataFrame:
-    """The same listing for files that are known by name already; a name given twice is one file."""
-    return _listing(spark, sorted(set(names)), F.col("url"), extensions)
+    """The same listing for files known by name; a name given twice is one file, a lost one is none."""
+    found = [file_info(spark, name) for name in sorted(set(names))]
+    return _listing(spark, [info for info in found if info is not None], extensions)
 
 
-def _listing(spark: SparkSession, names, path: Column, extensions: Sequence[str]) -> DataFrame:
-    """Name, extension and whether it is accepted, per file. ``path`` opens the file."""
-    listing = spark.createDataFrame(pa.table({"url": pa.array(list(names), pa.string())}))
-    return listing.withColumn("url", F.regexp_replace("url", "^file:/+", "file:/")).select(
-        path.alias("path")).withColumns({
-            "file_name": file_name_of("path"), "extension": extension_of("path"),
-        }).withColumn("supported", F.col("extension").isin(*extensions))
+def _listing(spark: SparkSession, infos: Sequence[FileInfo], extensions: Sequence[str]) -> DataFrame:
+    """Path, size, time, name, extension and whether it is accepted, per file."""
+    listing = spark.createDataFrame(pa.table({
+        "path": pa.array([i.path for i in infos], pa.string()), "length": pa.array([i.length for i in infos], pa.int64()),
+        "modified": pa.array([i.modified for i in infos], pa.int64())}))
+    return listing.withColumns({
+        "file_name": file_name_of("path"), "extension": extension_of("path"),
+    }).withColumn("supported", F.col("extension").isin(*extensions))
 
 
 def unsupported_files(files: DataFrame) -> DataFrame:
@@ -61,11 +68,14 @@ def _first_record(text: Iterator[str]) -> tuple[list[str] | None, bool]:
 
 
 def _read_head(path: str) -> tuple:
+    csv.field_size_limit(sys.maxsize)  # a cell may be of any length
     try:
         with open_input(path) as stream:
-            first, more = _first_record(io.TextIOWrapper(stream, encoding="utf-8-sig", newline=""))
+            # whether the whole file decodes is not decided by its beginning
+            text = io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="")
+            first, more = _first_record(text)
             return first, more, None, None
-    except (UnicodeDecodeError, csv.Error) as error:
+    except csv.Error as error:
         return None, False, str(error), "content"
     except OSError as error:
         return None, False, str(error), "access"
@@ -86,27 +96,20 @@ def csv_heads(files: DataFrame) -> DataFrame:
     return paths.mapInPandas(_read_heads, HEAD_SCHEMA)
 
 
-def csv_heads_by_scan(spark: SparkSession, path: str) -> DataFrame:
-    """The same through Spark's own reader, for storage that Python tasks cannot open.
+def csv_text_facts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Per CSV file with content: whether all of it is UTF-8, and whether a quoted cell has a line break.
 
-    It has to scan the files as text; per file only the first two lines leave a map task.
+    One scan of the lines. A line with an odd number of quotes begins or ends a cell that goes over lines.
     """
-    lines = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]").text(path).select(
-        decoded_path("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"), F.col("value"))
-    lines = lines.where(F.length("value") > 0)
-    firsts = lines.groupBy("path").agg(
-        F.min_by("value", F.struct("block", "seq")).alias("head"),
-        (F.count(F.lit(1)) > 1).alias("has_more"))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(list(paths)).groupBy(decoded_path("_metadata.file_path").alias("path")).agg(
+        F.bool_and(F.is_valid_utf8("value")).alias("decodes"), F.bool_or(quotes % 2 == 1).alias("multi_line"))
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            heads = [_first_record(iter([h.removeprefix("﻿")]))[0] for h in batch["head"]]
-            yield pd.DataFrame({
-                "path": batch["path"], "first_record": heads, "has_more": batch["has_more"],
-                "problem": None, "problem_kind": None})
 
-    return firsts.mapInPandas(parse, HEAD_SCHEMA)
+def scan_names(files: DataFrame) -> list[str]:
+    """The names of the listed files for a scan, which needs them on the driver in any case; escaped, in order."""
+    names = files.select(F.regexp_replace("path", r"([\[\]{}*?\\])", r"\\$1").alias("name")).orderBy("name")
+    return [row["name"] for row in names.toLocalIterator()]
 
 
 def looks_like_header(record: Column | str) -> Column:
@@ -170,6 +173,7 @@ def csv_issue(layout: DataFrame) -> Column:
     return (
         F.when(F.col("problem_kind") == "access", _issue(const.ISSUE_UNREADABLE, problem))
         .when(F.col("problem_kind") == "content", _issue(const.ISSUE_BAD_CSV, problem))
+        .when(~F.coalesce("decodes", F.lit(True)), _issue(const.ISSUE_BAD_CSV, F.lit(NOT_UTF8)))
         .when(F.col("first_record").isNull(), _issue(const.ISSUE_EMPTY))
         .when(~F.col("has_header") & (width < 2), _issue(
             const.ISSUE_BAD_CSV, F.format_string(const.ISSUE_TOO_NARROW, width)))
@@ -178,29 +182,26 @@ def csv_issue(layout: DataFrame) -> Column:
 
 
 def json_issue() -> Column:
+    """The first thing wrong with a JSON file; one that holds no record at all has nothing to judge."""
     return (
-        F.when(F.col("corrupt"), _issue(const.ISSUE_BAD_JSON, F.lit("malformed record")))
-        .when(~F.col("has_required"), _issue(const.ISSUE_SCHEMA)))
+        F.when(F.col("problem").isNotNull(), _issue(const.ISSUE_BAD_JSON, F.col("problem")))
+        .when((F.col("records") > 0) & ~F.col("has_required"), _issue(const.ISSUE_SCHEMA)))
 
 
 def json_file_facts(records: DataFrame) -> DataFrame:
-    """Per JSON file: whether it parses and whether it provides the required columns."""
-    corrupt = F.max(F.col("_corrupt_record").isNotNull())
-    plain = [c for c in records.columns if c not in ("_corrupt_record", "source_file", "source_path")]
-    if plain:
-        # Spark refuses a query that reads the corrupt-record column alone.
-        corrupt = corrupt & (F.count(F.col(f"`{plain[0]}`")) >= 0)
-    provided = F.lit(True)
-    for name in const.REQUIRED_COLUMNS:
+    """Per JSON file of staged records: what keeps it from parsing, records, and whether it has the required columns.
+
+    A file provides a column if a record of it has the key, whatever its value.
+    """
+    def has(name: str) -> Column:
         sources = [name] + [old for old, new in const.ALIASES.items() if new == name]
-        fields = [F.col(f"`{c}`").isNotNull() for c in records.columns
-                  if c.strip().lower() in sources]
-        found = F.lit(False)
-        for f in fields:
-            found = found | f
-        provided = provided & F.max(found)
-    return records.groupBy("source_path").agg(
-        corrupt.alias("corrupt"), provided.alias("has_required"))
+        return F.exists(F.map_keys("fields"), lambda k: F.lower(F.trim(k)).isin(*sources))
+
+    required = F.lit(True)
+    for name in const.REQUIRED_COLUMNS:
+        required = required & F.coalesce(F.bool_or(has(name)), F.lit(False))
+    return records.groupBy("path").agg(
+        F.max("problem").alias("problem"), F.count("fields").alias("records"), required.alias("has_required"))
 
 
 def examine_files(
@@ -209,27 +210,33 @@ def examine_files(
 ) -> DataFrame:
     """Every listed file with its layout and its issue (null if it is fit to read): one row per file.
 
-    ``json_rows`` are the records of the listed JSON files, if there are any.
+    ``json_rows`` are the staged records of the listed JSON files, if there are any.
     """
-    layout = sniff_layout(csv_heads(files), canonical)
+    spark = files.sparkSession
+    hidden = F.col("file_name").startswith("_")
+    known = files.where(F.col("supported") & ~hidden)
     # Joins run on one row per file.
+    layout = sniff_layout(csv_heads(known), canonical)
+    names = scan_names(layout.where(F.col("problem_kind").isNull()))
+    if names:
+        layout = layout.join(csv_text_facts(spark, names), "path", "left")
+    else:
+        layout = layout.withColumns({"decodes": F.lit(True), "multi_line": F.lit(False)})
     judged = layout.withColumn("issue", csv_issue(layout)).select(
-        "path", "has_header", "columns", "has_more", "issue")
+        "path", "has_header", "columns", "has_more", F.coalesce("multi_line", F.lit(False)).alias("multi_line"), "issue")
     nothing = {
         "has_header": F.lit(None).cast("boolean"), "columns": F.lit(None).cast("array<string>"),
-        "has_more": F.lit(None).cast("boolean")}
-    result = files.where(F.col("supported") & (F.col("extension") == ".csv")).join(judged, "path")
+        "has_more": F.lit(None).cast("boolean"), "multi_line": F.lit(None).cast("boolean")}
+    result = known.where(F.col("extension") == ".csv").join(judged, "path")
     result = result.unionByName(unsupported_files(files).withColumns(nothing).withColumn(
         "issue", _issue(const.ISSUE_UNSUPPORTED, F.col("extension"))))
+    result = result.unionByName(files.where(F.col("supported") & hidden).withColumns(nothing).withColumn(
+        "issue", _issue(const.ISSUE_UNREADABLE, F.lit(HIDDEN_NAME))))
     if json_rows is not None:
-        facts = json_file_facts(json_rows).withColumnRenamed("source_path", "path")
-        judged_json = files.where(F.col("supported") & (F.col("extension") == ".json")).join(
-            facts, "path", "left").withColumns(nothing)
-        # A file without content yields no record, hence no facts.
-        issue = F.when(F.col("corrupt").isNull(), _issue(
-            const.ISSUE_BAD_JSON, F.lit("no record"))).otherwise(json_issue())
+        judged_json = known.where(F.col("extension") == ".json").join(
+            json_file_facts(json_rows), "path", "left").withColumns(nothing)
         result = result.unionByName(
-            judged_json.withColumn("issue", issue).drop("corrupt", "has_required"))
+            judged_json.withColumn("issue", json_issue()).drop("problem", "records", "has_required"))
     return result
 
 
@@ -240,27 +247,27 @@ def file_issues(examined: DataFrame) -> DataFrame:
 
 # --- manifest ----------------------------------------------------------------------------------
 
-MANIFEST_SCHEMA = "file string, disposition string, reason string, handled_at timestamp"
+#: A file is known by path, size and time, so a new delivery under an old name is a new file.
+FILE_KEY = ["path", "length", "modified"]
+MANIFEST_SCHEMA = (
+    "path string, length bigint, modified bigint, disposition string, reason string, run string, handled_at timestamp")
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """All dispositions recorded so far; empty before the first run."""
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if file_info(spark, path) is None:
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
-def record_dispositions(dispositions: DataFrame, path: str) -> None:
-    """Append (file, disposition, reason); files themselves are never moved."""
-    dispositions.select(
-        "file", "disposition", F.col("reason").cast("string").alias("reason"),
+def record_dispositions(dispositions: DataFrame, path: str, run: str) -> None:
+    """Append the dispositions of a run, those it recorded before left out; files themselves are never moved."""
+    before = read_manifest(dispositions.sparkSession, path).where(F.col("run") == run).select("path")
+    dispositions.join(before, "path", "left_anti").select(
+        *FILE_KEY, "disposition", F.col("reason").cast("string").alias("reason"), F.lit(run).alias("run"),
         F.current_timestamp().alias("handled_at")).write.mode("append").parquet(path)
 
 
-def pending_files(files: DataFrame, manifest: DataFrame, key: str = "path") -> DataFrame:
+def pending_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files that have no disposition yet."""
-    return files.join(
-        manifest.select(F.col("file").alias(key)).distinct(), key, "left_anti")
+    return files.join(manifest.select(*FILE_KEY).distinct(), FILE_KEY, "left_anti").select(*files.columns)

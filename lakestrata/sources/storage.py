@@ -1,6 +1,50 @@
-"""Opening single files from Python tasks, by the same names Spark uses."""
+"""Single files by the names Spark uses: their metadata on the driver, their content in tasks."""
 
 import re
+from collections.abc import Iterator
+from typing import NamedTuple
+
+from pyspark.sql import SparkSession
+
+
+class FileInfo(NamedTuple):
+    """A file or folder; ``modified`` is in epoch milliseconds."""
+
+    path: str
+    length: int
+    modified: int
+    is_file: bool
+
+
+def _opened(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _info(status) -> FileInfo:
+    name = re.sub("^file:/+", "file:/", status.getPath().toString())
+    return FileInfo(name, status.getLen(), status.getModificationTime(), status.isFile())
+
+
+def list_folder(spark: SparkSession, folder: str) -> Iterator[FileInfo]:
+    """What lies directly in a folder, metadata only; nothing for a folder that does not exist."""
+    place, system = _opened(spark, folder)
+    if not system.exists(place):
+        return
+    found = system.listStatusIterator(place)
+    while found.hasNext():
+        yield _info(found.next())
+
+
+def file_info(spark: SparkSession, path: str) -> FileInfo | None:
+    """Metadata of one file, None if it is not there."""
+    place, system = _opened(spark, path)
+    return _info(system.getFileStatus(place)) if system.exists(place) else None
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    place, system = _opened(spark, folder)
+    system.delete(place, True)
 
 
 def locate(path: str):

@@ -1,18 +1,21 @@
 """CSV, JSON and Parquet scans. Values are bound by column name, never by position in a schema."""
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata import constants as const
-from lakestrata.functions.text import decoded_path
+from lakestrata.functions.text import decoded_path, file_name_of, ratio_pct, tidy_name
 from lakestrata.operators.columns import alias_names, conform, tidy_layout
+from lakestrata.sources.files import list_files, named_files, scan_names
+from lakestrata.sources.storage import list_folder, open_input
 
 POSITION = ["_file", "_block", "_seq"]
 _OVERFLOW = "_beyond_header"
-_JSON_GLOB = "*.[jJ][sS][oO][nN]"
 
 
 def scan_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -24,6 +27,24 @@ def scan_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def partition_scan(
+    spark: SparkSession, folder: str, by: str, start: str, end: str, value: str
+) -> DataFrame:
+    """One row: partition folders there are, those a scan of a range opens, and the total it finds.
+
+    The folders are those of a table written by ``write_partitioned``; those opened are the ones the scan's rows
+    come from.
+    """
+    wanted = scan_parquet(spark, folder).where(F.col(by).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    held = [i for i in list_folder(spark, folder) if not i.is_file and f"/{by}=" in i.path]
+    by_folder = wanted.groupBy(F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)).agg(F.sum(value).alias("n"))
+    return by_folder.agg(
+        F.lit(len(held)).cast("bigint").alias("total_partitions"), F.count(F.lit(1)).alias("partitions_scanned"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("filtered_total"),
+    ).withColumn("scan_pct", ratio_pct(F.col("partitions_scanned"), F.col("total_partitions"))).withColumn(
+        "pruning", F.when(F.col("partitions_scanned") < F.col("total_partitions"), "PASS").otherwise("ACTIVE"))
+
+
 def _with_position(df: DataFrame, keep: bool) -> DataFrame:
     """Adds where a row stands in its file; the order of rows in a block follows the scan."""
     if not keep:
@@ -75,19 +96,25 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return result
 
 
-def literal_path(path: str) -> Column:
-    """A file name with the characters escaped that a scan would take for a pattern."""
-    return F.regexp_replace(path, r"([\[\]{}*?\\])", r"\\$1")
-
-
-def layout_groups(layouts: DataFrame) -> list:
+def layout_groups(layouts: DataFrame) -> list[dict]:
     """Distinct layouts with the paths of their files; JSON files, if listed, form a group without one.
 
-    File names are what reaches the driver, as they do for any file scan's own listing.
+    There are as many layouts as different headers. The names of a layout's files come one by one, as a scan
+    needs them on the driver.
     """
-    return layouts.groupBy("has_header", "columns").agg(
-        F.sort_array(F.collect_list(literal_path("path"))).alias("paths")
-    ).orderBy(F.desc("has_header"), F.col("columns").cast("string")).collect()
+    if "multi_line" not in layouts.columns:
+        layouts = layouts.withColumn("multi_line", F.lit(False))
+    kinds = layouts.select("has_header", "columns", "multi_line").distinct().orderBy(
+        F.desc("has_header"), F.col("columns").cast("string"), "multi_line").collect()
+    groups = []
+    for kind in kinds:
+        same = F.lit(True)
+        for name in ("has_header", "multi_line"):
+            same = same & F.col(name).eqNullSafe(F.lit(kind[name]).cast("boolean"))
+        wanted = F.lit(None) if kind["columns"] is None else F.array(*[F.lit(c) for c in kind["columns"]])
+        same = same & F.col("columns").eqNullSafe(wanted.cast("array<string>"))
+        groups.append({**kind.asDict(), "paths": scan_names(layouts.where(same))})
+    return groups
 
 
 def scan_csv_files(
@@ -106,9 +133,10 @@ def scan_csv_groups(
     spark: SparkSession, groups: Sequence, ragged: str = "pad", with_position: bool = False,
     multi_line: bool = False,
 ) -> DataFrame | None:
+    """The files of some layouts. Those with line breaks in cells are read whole, by a task each."""
     frames = [
         scan_csv_layout(spark, group["paths"], group["columns"], group["has_header"], ragged,
-                        with_position=with_position, multi_line=multi_line)
+                        with_position=with_position, multi_line=multi_line or bool(group["multi_line"]))
         for group in groups]
     return union_by_name(frames) if frames else None
 
@@ -124,54 +152,99 @@ def scan_csv_declared(
     return conform(rows, types)
 
 
-def _json_reader(spark: SparkSession):
-    return spark.read.option("multiLine", True).option("primitivesAsString", True).option(
-        "pathGlobFilter", _JSON_GLOB)
-
-
-def infer_json_schema(spark: SparkSession, path: str | list[str]) -> T.StructType:
-    """All field names of the records, found in one pass over the files."""
-    return _json_reader(spark).json(path).schema
-
-
-def json_records(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-    with_position: bool = False,
-) -> DataFrame:
-    """Records of JSON files that hold an array of objects or one object each, values as text.
-
-    Without a schema the field names are collected in a first pass. ``_corrupt_record`` is set on the
-    rows of a file that does not parse.
+JSON_SCHEMA = "path string, _block bigint, _seq bigint, fields map<string,string>, problem string"
+_BAD_JSON, _NO_JSON = "malformed record", "no record"
+
+
+def _as_text(value) -> str | None:
+    """A JSON value as text; numbers as they are written."""
+    if value is None:
+        return None
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return text.encode("utf-8", "replace").decode("utf-8")
+
+
+def _read_document(path: str) -> tuple[list[dict] | None, str | None]:
+    """(records, what is wrong) of a file that holds one object or an array of them."""
+    with open_input(path) as stream:
+        content = stream.read()
+    try:
+        text = bytes(content).decode("utf-8-sig")
+        if not text.strip():
+            return None, _NO_JSON
+        found = json.loads(text, parse_int=str, parse_float=str, parse_constant=str)
+    except (ValueError, RecursionError):
+        return None, _BAD_JSON
+    found = found if isinstance(found, list) else [found]
+    if not all(isinstance(record, dict) for record in found):
+        return None, _BAD_JSON
+    return found, None
+
+
+def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths to staged records; a file without any is one row without fields."""
+    kind = pa.map_(pa.string(), pa.string())
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            records, problem = _read_document(path)
+            rows = [list((str(k).encode("utf-8", "replace").decode(), _as_text(v)) for k, v in r.items())
+                    for r in records or []] or [None]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([path] * len(rows)), pa.array([0] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int64()),
+                pa.array(rows, kind), pa.array([problem] * len(rows), pa.string())],
+                ["path", "_block", "_seq", "fields", "problem"])
+
+
+def json_records(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Records of the listed JSON files: ``path, _block, _seq, fields, problem``, values as text.
+
+    A file in which every line that is not blank is an object holds records line by line, and is split like any
+    text. Any other one is a document, read whole by one task: an object, or an array of objects, and nothing
+    behind it. A file without a record is one row whose ``problem`` tells what is wrong, if anything is.
     """
-    schema = schema or infer_json_schema(spark, path)
-    if schema.names in ([], ["_corrupt_record"]):
-        # Not one field anywhere: nothing in these files parses.
-        return spark.createDataFrame([], "_corrupt_record string, source_file string, source_path string" + (
-            ", _file string, _block bigint, _seq bigint" if with_position else ""))
-    if "_corrupt_record" not in schema.names:
-        schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = _json_reader(spark).schema(schema).json(path)
-    # Spark refuses a query over the corrupt-record column alone, hence the file columns.
-    return _with_position(rows.withColumn("source_file", decoded_path("_metadata.file_name")).withColumn(
-        "source_path", decoded_path("_metadata.file_path")), with_position)
+    names = scan_names(files)
+    plain = F.regexp_replace("value", "^\ufeff", "")
+    lines = spark.read.text(names).select(
+        decoded_path("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        plain.alias("value")).where(F.trim("value") != "")
+    # a line of a document may be an object, but not all of them unless there is only this one
+    kinds = lines.groupBy("path").agg(F.bool_and(F.json_object_keys("value").isNotNull()).alias("lines"))
+    by_line = kinds.where("lines").select("path")
+    listed = files.select("path")
+    documents = listed.join(by_line, "path", "left_anti").mapInArrow(_read_documents, JSON_SCHEMA)
+    parsed = lines.join(by_line, "path", "left_semi").select(
+        "path", "_block", F.monotonically_increasing_id().alias("_seq"),
+        F.from_json("value", "map<string,string>").alias("fields"), F.lit(None).cast("string").alias("problem"))
+    return documents.unionByName(parsed)
+
+
+def json_columns(records: DataFrame, apply_aliases: bool = True) -> DataFrame:
+    """Staged records as columns: every key found, tidied and aliased, and ``source_file, source_path`` and position.
+
+    Of keys that come to the same name the first value that is not null counts.
+    """
+    held = records.where(F.col("fields").isNotNull())
+    keys = sorted(r[0] for r in held.select(F.explode(F.map_keys("fields"))).distinct().collect())
+    by_target: dict[str, list] = {}
+    for key in keys:
+        name = tidy_name(key)
+        target = const.ALIASES.get(name, name) if apply_aliases else name
+        by_target.setdefault(target, []).append(F.element_at("fields", F.lit(key)))
+    return held.select(
+        *[F.coalesce(*sources).alias(target) for target, sources in by_target.items()],
+        file_name_of("path").alias("source_file"), F.col("path").alias("source_path"),
+        F.col("path").alias("_file"), "_block", "_seq")
 
 
 def scan_json(
     spark: SparkSession, path: str | list[str], types: dict[str, str] | None = None
 ) -> DataFrame:
-    """The declared columns of all JSON records that parse."""
+    """The declared columns of all JSON records that parse, of a folder, a file or some files."""
     types = types or const.DECLARED_TYPES
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in types])
-    return conform(json_records(spark, path, schema).where(
-        F.col("_corrupt_record").isNull()), types)
-
-
-def tidy_json(records: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Parsed records with tidied and aliased names, the columns in ``keep`` untouched."""
-    fields = [c for c in records.columns if c not in keep and c != "_corrupt_record"]
-    layout = tidy_layout(fields)
-    by_target: dict[str, list] = {}
-    for position, name in layout:
-        by_target.setdefault(const.ALIASES.get(name, name), []).append(F.col(f"`{fields[position]}`"))
-    return records.where(F.col("_corrupt_record").isNull()).select(
-        *[F.coalesce(*sources).alias(target) for target, sources in by_target.items()], *keep)
+    files = list_files(spark, path) if isinstance(path, str) else named_files(spark, path)
+    records = json_records(spark, files.where(F.col("extension") == ".json")).where(F.col("fields").isNotNull())
+    # Keys are bound as they are, without aliases.
+    return records.select(*[
+        F.element_at("fields", F.lit(name)).try_cast(kind).alias(name) for name, kind in types.items()])

@@ -2,24 +2,33 @@
 
 ``<table>/data/version=N`` holds the immutable rows written by commit N, and
 ``<table>/commits/version=N`` the record of that commit, written last. A reader sees only versions
-with a commit record, and reads exactly the data folders that record lists. One writer at a time.
+with a commit record, and reads exactly the data folders that record names. Finding the newest version
+takes a listing of names, and reading a version one record. One writer at a time.
 """
 
 import json
+import re
 import time
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata import constants as const
 from lakestrata.operators.asof import accepted_vs_rejected, rejected_ratio
+from lakestrata.sources.storage import file_info, list_folder
 
+# ``num_*`` describe what the commit wrote, ``total_rows`` the table after it. ``spans`` are the ranges of data
+# versions that make up the table; consecutive appends are one range.
 COMMIT_SCHEMA = (
     "version bigint, timestamp bigint, operation string, operationParameters map<string,string>, "
     "userName string, isBlindAppend boolean, engineInfo string, num_rows bigint, num_files bigint, "
-    "num_bytes bigint, data_versions array<bigint>, schema_json string, txn string")
+    "num_bytes bigint, total_rows bigint, spans array<struct<first: bigint, last: bigint>>, "
+    "schema_json string, txn string")
+
+
+def _versions(commit: Row) -> list[int]:
+    return [v for span in commit["spans"] for v in range(span["first"], span["last"] + 1)]
 
 
 class VersionedTable:
@@ -31,24 +40,22 @@ class VersionedTable:
 
     def commits(self) -> DataFrame:
         """One row per commit; empty for a table that was never written."""
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits/*")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if self.latest_version() < 0:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        return self.spark.read.schema(COMMIT_SCHEMA).json(f"{self.path}/commits/*")
 
     def _commit(self, version: int | None = None) -> Row | None:
         """The record of one commit (the latest by default)."""
-        commits = self.commits()
-        if version is not None:
-            return commits.where(F.col("version") == version).first()
-        return commits.orderBy(F.desc("version")).first()
+        number = self.latest_version() if version is None else version
+        record = f"{self.path}/commits/version={number}"
+        if number < 0 or file_info(self.spark, record) is None:
+            return None
+        return self.spark.read.schema(COMMIT_SCHEMA).json(record).first()
 
     def latest_version(self) -> int:
         """The newest version, -1 before the first commit."""
-        last = self._commit()
-        return -1 if last is None else last["version"]
+        found = (re.search(r"/version=(\d+)$", info.path) for info in list_folder(self.spark, f"{self.path}/commits"))
+        return max((int(m[1]) for m in found if m), default=-1)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version, latest by default.
@@ -60,10 +67,16 @@ class VersionedTable:
         if commit is None:
             raise FileNotFoundError(f"no such version of {self.path}: {version}")
         schema = T.StructType.fromJson(json.loads(commit["schema_json"]))
-        folders = [f"{self.path}/data/version={v}" for v in commit["data_versions"]]
-        if not folders:
+        return self._rows(_versions(commit), schema)
+
+    def _rows(self, versions: list[int], schema: T.StructType) -> DataFrame:
+        if not versions:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/data/version={v}" for v in versions])
+
+    def wrote(self, txn: str) -> bool:
+        """Whether a commit of that transaction name exists."""
+        return not self.commits().where(F.col("txn") == txn).isEmpty()
 
     def history(self) -> DataFrame:
         """Commits newest first, with the version as text and the time readable."""
@@ -73,13 +86,16 @@ class VersionedTable:
 
     # --- writing ---
 
-    def append(self, df: DataFrame, txn: str | None = None) -> int | None:
-        """Add rows as a new version. A ``txn`` that was committed before makes this a no-op."""
-        return self._write(df, "Append", txn)
+    def append(self, df: DataFrame, txn: str | None = None, repeated: bool = True) -> int | None:
+        """Add rows as a new version. A ``txn`` that was committed before makes this a no-op.
 
-    def overwrite(self, df: DataFrame, txn: str | None = None) -> int | None:
+        Without ``repeated`` the name is known to be new, and earlier commits are not searched for it.
+        """
+        return self._write(df, "Append", txn, repeated)
+
+    def overwrite(self, df: DataFrame, txn: str | None = None, repeated: bool = True) -> int | None:
         """Replace the content by a new version; earlier versions stay readable."""
-        return self._write(df, "Overwrite", txn)
+        return self._write(df, "Overwrite", txn, repeated)
 
     def restore(self, version: int) -> int:
         """Make the content of an earlier version current without copying data."""
@@ -88,15 +104,14 @@ class VersionedTable:
             raise FileNotFoundError(f"no such version of {self.path}: {version}")
         number = last["version"] + 1
         self._record(
-            number, "RESTORE", {"version": str(version)}, list(target["data_versions"]),
-            target["schema_json"], False, target["num_rows"], target["num_files"],
-            target["num_bytes"], None)
+            number, "RESTORE", {"version": str(version)}, list(target["spans"]), target["schema_json"],
+            False, 0, 0, 0, target["total_rows"], None)
         return number
 
-    def _write(self, df: DataFrame, mode: str, txn: str | None) -> int | None:
-        if txn is not None and not self.commits().where(F.col("txn") == txn).isEmpty():
-            return None
+    def _write(self, df: DataFrame, mode: str, txn: str | None, repeated: bool) -> int | None:
         last = self._commit()
+        if txn is not None and repeated and last is not None and (last["txn"] == txn or self.wrote(txn)):
+            return None
         number = 0 if last is None else last["version"] + 1
         folder = f"{self.path}/data/version={number}"
         # Rows are counted while they are written. A folder left by a crash before its commit is
@@ -104,25 +119,27 @@ class VersionedTable:
         counted = Observation()
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
         rows = counted.get["rows"]
-        files = self.spark.read.format("binaryFile").option(
-            "pathGlobFilter", "*.parquet").load(folder).agg(
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
-        kept = list(last["data_versions"]) if last is not None and mode == "Append" else []
-        held = last["num_rows"] if kept else 0
+        files = [info for info in list_folder(self.spark, folder) if info.path.endswith(".parquet")]
+        kept = [(s["first"], s["last"]) for s in last["spans"]] if last is not None and mode == "Append" else []
+        held = last["total_rows"] if kept else 0
         schema = _merged_schema(last["schema_json"] if kept else None, df.schema)
+        if kept and kept[-1][1] == number - 1:
+            spans = [*kept[:-1], (kept[-1][0], number)]
+        else:
+            spans = [*kept, (number, number)]
         self._record(
-            number, "WRITE", {"mode": mode}, kept + [number], schema.json(), mode == "Append",
-            held + rows, files["n"], files["b"], txn)
+            number, "WRITE", {"mode": mode}, spans, schema.json(), mode == "Append", rows, len(files),
+            sum(info.length for info in files), held + rows, txn)
         return number
 
     def _record(
-        self, version, operation, parameters, data_versions, schema_json, blind, rows, files, size, txn
+        self, version, operation, parameters, spans, schema_json, blind, rows, files, size, total, txn
     ) -> None:
         record = Row(
             version=version, timestamp=int(time.time() * 1000), operation=operation,
             operationParameters=parameters, userName=None, isBlindAppend=blind,
             engineInfo=f"Apache-Spark/{self.spark.version}", num_rows=rows, num_files=files,
-            num_bytes=size, data_versions=data_versions, schema_json=schema_json, txn=txn)
+            num_bytes=size, total_rows=total, spans=spans, schema_json=schema_json, txn=txn)
         # Fails if another writer has recorded the same version.
         self.spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1).write.mode(
             "errorifexists").json(f"{self.path}/commits/version={version}")
@@ -136,16 +153,10 @@ class VersionedTable:
         """
         old, new = self._commit(before), self._commit(after)
         schema = T.StructType.fromJson(json.loads(new["schema_json"]))
-        shared = set(old["data_versions"]) & set(new["data_versions"])
-
-        def rows(commit: Row, sign: int) -> DataFrame:
-            folders = [f"{self.path}/data/version={v}"
-                       for v in commit["data_versions"] if v not in shared]
-            part = (self.spark.read.schema(schema).parquet(*folders) if folders
-                    else self.spark.createDataFrame([], schema))
-            return part.withColumn("_sign", F.lit(sign))
-
-        return signed_difference(rows(new, 1).unionByName(rows(old, -1)), schema.names)
+        had, has = set(_versions(old)), set(_versions(new))
+        added = self._rows(sorted(has - had), schema).withColumn("_sign", F.lit(1))
+        removed = self._rows(sorted(had - has), schema).withColumn("_sign", F.lit(-1))
+        return signed_difference(added.unionByName(removed), schema.names)
 
 
 def signed_difference(rows: DataFrame, columns: list[str]) -> DataFrame:

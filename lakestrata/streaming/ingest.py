@@ -1,16 +1,15 @@
 """File streams: every new file is taken exactly once."""
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lakestrata import constants as const
-from lakestrata.functions.text import decoded_path
 from lakestrata.plans.batch import Medallion
-
+from lakestrata.plans.live import examine, read_files
+from lakestrata.session import Workspace
+from lakestrata.sources import files as files_
+from lakestrata.sources.tabular import POSITION
+from lakestrata.sources.versioned import VersionedTable
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -20,30 +19,48 @@ def _trigger(writer, interval: str | None):
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
-def stream_csv_rows(
-    spark: SparkSession, input_path: str, columns: Sequence[str], files_per_batch: int | None = None
-) -> DataFrame:
-    """Rows of new CSV files as text, stamped with ingestion time and source file.
-
-    A file whose header differs from ``columns`` stops the stream rather than being bound by position.
-    """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    reader = spark.readStream.schema(schema).option("header", True).option(
-        "enforceSchema", False).option("pathGlobFilter", "*.[cC][sS][vV]")
+def _new_names(spark: SparkSession, input_path: str, files_per_batch: int | None) -> DataFrame:
+    """The names of new files as a stream."""
+    reader = spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(input_path).withColumns({
-        "source_file": decoded_path("_metadata.file_name"), "ingestion_timestamp": F.current_timestamp()})
+    return reader.load(input_path).select("path")
+
+
+def _names(batch: DataFrame) -> list[str]:
+    """The names of one micro-batch, as a scan needs them on the driver."""
+    return [row["path"] for row in batch.toLocalIterator()]
 
 
 def ingest_stream(
-    spark: SparkSession, input_path: str, bronze_path: str, checkpoint: str, columns: Sequence[str],
-    interval: str | None = None, files_per_batch: int | None = None,
+    spark: SparkSession, input_path: str, root: str, checkpoint: str,
+    interval: str | None = None, files_per_batch: int | None = 1000, **options,
 ) -> StreamingQuery:
-    """Stateless append of new files into bronze; the checkpoint remembers the files taken."""
-    rows = stream_csv_rows(spark, input_path, columns, files_per_batch)
-    writer = rows.writeStream.format("parquet").outputMode("append").option(
-        "checkpointLocation", checkpoint).option("path", bronze_path)
+    """New files into ``root/bronze`` as text, and what is wrong with files into ``root/issues``.
+
+    The stream carries names. A micro-batch reads its files by their own layouts and appends by name, so a
+    column that comes late is null before, and a file that cannot be read is an issue and stops nothing.
+    Commits bear the query's id and the batch's number, so a replayed batch adds nothing.
+    """
+    bronze, issues = VersionedTable(spark, f"{root}/bronze"), VersionedTable(spark, f"{root}/issues")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        paths = _names(batch)
+        if not paths:
+            return
+        txn = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        with Workspace(spark, "ingest") as work:
+            examined, records = examine(files_.named_files(spark, paths), keep=work.table)
+            found = files_.file_issues(examined)
+            if not found.isEmpty():
+                issues.append(found, txn)
+            rows = read_files(spark, examined.where(F.col("issue").isNull()), records, **options)
+            if rows is not None:
+                bronze.append(rows.drop("source_path", *POSITION).withColumn(
+                    "ingestion_timestamp", F.current_timestamp()), txn)
+
+    writer = _new_names(spark, input_path, files_per_batch).writeStream.foreachBatch(handle).option(
+        "checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 
@@ -54,20 +71,19 @@ def medallion_stream(
 ) -> StreamingQuery:
     """Each micro-batch of new files runs through the batch medallion.
 
-    The stream carries file names only; the run of a batch then reads those files with their own
-    layouts, as the batch job does. The batch id names the commits, so a replayed batch adds nothing.
-    A file without any content gives the stream no record; it is left to the batch job.
+    The stream only carries file names; the manifest, not the stream's own state, decides which of them are new.
+    Files without content and names with an underscore give the stream no record, so those of the folder
+    that have no disposition yet are added to each micro-batch.
     """
-    reader = spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    names = reader.load(input_path).select("path")
     medallion = Medallion(spark, root)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        paths = [row["path"] for row in batch.collect()]
+        paths = _names(batch)
         if paths:
-            medallion.run(paths, txn=f"stream-{batch_id}", **options)
+            unseen = files_.list_files(spark, input_path).where(
+                (F.col("length") == 0) | F.col("file_name").startswith("_"))
+            medallion.run([*paths, *_names(unseen)], **options)
 
-    writer = names.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = _new_names(spark, input_path, files_per_batch).writeStream.foreachBatch(handle).option(
+        "checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()

@@ -3,17 +3,18 @@
 File names follow from the order key, so the SQL of a query can name them too.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata.session import work_folder
-from lakestrata.sources.sinks import json_array_lines, write_named_files
 from registry.dirty import RAW_SQL, raw_orders
+from registry.writing import json_array_lines, write_named_files
 
 ORDERS_PER_FILE = 2000
 
 V1 = ["order_id", "customer_id", "product_name", "unit_price", "quantity", "order_date"]
 V2 = [*V1, "discount_code"]
+QUANTITIES = ["5.0", "-2.0", "0.0", "abc", "1.5", "7"]
 
 # Rows of the folder's files as SQL. ``seq`` orders the rows of a file.
 FOLDER_SQL = RAW_SQL.rstrip() + f""",
@@ -116,13 +117,58 @@ def _notes(raw: DataFrame) -> DataFrame:
         F.col("product").alias("line"))
 
 
+def _lines(raw: DataFrame) -> DataFrame:
+    """All orders as JSON: one record per line in every other file, arrays in the rest."""
+    rows = raw.where("copy_no = 0").select("order_id", "order_date", "product", (
+        F.col("unit_price") * F.col("quantity")).alias("revenue"), "k")
+    odd = F.floor(F.col("k") / F.lit(ORDERS_PER_FILE)) % 2 == 1
+    columns = ["order_id", "order_date", "product", "revenue"]
+    line = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    by_line = rows.where(odd).select(_block("lines", "json").alias("file_name"), F.col("k").alias("seq"), line.alias("line"))
+    return by_line.unionByName(json_array_lines(rows.where(~odd), _block("array", "json"), columns, ["k"]))
+
+
+def _latin(raw: DataFrame) -> DataFrame:
+    """Files with one byte that is not UTF-8, in the first record or in the last one."""
+    rows = raw.where("copy_no = 2")
+    block = F.floor(F.col("k") / F.lit(ORDERS_PER_FILE))
+    place = F.when(block % 2 == 0, -F.col("k")).otherwise(F.col("k"))
+    last = F.row_number().over(Window.partitionBy(block).orderBy(place.desc())) == 1
+    name = F.when(last, F.lit("caf\u00e9")).otherwise(F.col("product"))
+    return _headed(rows.withColumn("product", name), "latin", ",".join(V1), _csv(
+        "order_id", "customer_id", "product", "unit_price", "quantity", "order_date"))
+
+
+def _wide(raw: DataFrame) -> DataFrame:
+    """A cell of 200,000 characters in the first record of each file."""
+    rows = raw.where("copy_no = 2")
+    block = F.floor(F.col("k") / F.lit(ORDERS_PER_FILE))
+    first = F.row_number().over(Window.partitionBy(block).orderBy("k")) == 1
+    name = F.when(first, F.repeat(F.lit("w"), 200_000)).otherwise(F.col("product"))
+    return _headed(rows.withColumn("product", name), "wide", ",".join(V1), _csv(
+        "order_id", "customer_id", "product", "unit_price", "quantity", "order_date"))
+
+
+def _typed(raw: DataFrame) -> DataFrame:
+    """Quantities as they come from spreadsheets; ids of their own."""
+    quantity = F.element_at(F.array(*[F.lit(q) for q in QUANTITIES]), (F.col("k") % len(QUANTITIES) + 1).cast("int"))
+    return _headed(raw.where("copy_no = 2"), "typed", ",".join(V1), _csv(
+        F.concat(F.lit("t"), F.col("k")).alias("order_id"), "customer_id", "product", "unit_price",
+        quantity.alias("quantity"), F.lit("2020-01-01").alias("order_date")))
+
+
+def _under(raw: DataFrame) -> DataFrame:
+    return _nodate(raw).withColumn("file_name", F.concat(F.lit("_"), F.col("file_name")))
+
+
 def _plain(raw: DataFrame) -> DataFrame:
     """No header, seven columns. Valid dates come first: a first record that holds ``invalid-date``
     would be taken for a header."""
-    rows = raw.where("copy_no = 2")
+    rows = raw.where("copy_no = 0")
+    later = F.when(F.col("order_date") == "invalid-date", 1_000_000_000_000).otherwise(0)
     return _headed(rows, "plain", None, _csv(
         "order_id", "customer_id", "product", "unit_price", "quantity", "order_date",
-        F.lit("x").alias("tail")))
+        F.lit("x").alias("tail")), F.col("k") + later)
 
 
 def _ragged(raw: DataFrame) -> DataFrame:
@@ -134,6 +180,15 @@ def _ragged(raw: DataFrame) -> DataFrame:
     return _headed(raw.where("copy_no = 0"), "ragged", ",".join(V1), line)
 
 
+def _broken_lines(raw: DataFrame) -> DataFrame:
+    """A line break inside the quoted product of every third order."""
+    name = F.when(F.col("k") % 3 == 0, F.concat(F.lit('"two\nlines '), F.col("product"), F.lit('"'))).otherwise(
+        F.col("product"))
+    whole = F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in (
+        F.col("order_id"), F.col("customer_id"), name, F.col("unit_price"), F.col("quantity"), F.col("order_date"))])
+    return _headed(raw.where("copy_no = 1"), "breaks", ",".join(V1), whole)
+
+
 def _odd(raw: DataFrame) -> DataFrame:
     """Untidy and repeated header names."""
     return _headed(raw.where("copy_no = 0"), "odd", " Order_ID ,DATE,Name,order_id,Product_Name", _csv(
@@ -143,7 +198,8 @@ def _odd(raw: DataFrame) -> DataFrame:
 KINDS = {
     "orders": _orders, "promo": _promo, "late": _late, "broken": _broken, "repeats": _repeats,
     "nulls": _nulls, "nodate": _nodate, "narrow": _narrow, "empty": _empty, "notes": _notes,
-    "plain": _plain, "ragged": _ragged, "odd": _odd,
+    "plain": _plain, "ragged": _ragged, "odd": _odd, "lines": _lines, "latin": _latin, "wide": _wide,
+    "typed": _typed, "under": _under, "breaks": _broken_lines,
 }
 
 

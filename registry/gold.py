@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from lakestrata.functions.parsing import as_day
 from lakestrata.operators import gold as g
+from lakestrata.session import work_folder
+from lakestrata.sources import sinks
+from lakestrata.sources.tabular import partition_scan
 from registry import register
 from registry.dirty import ORDER, Layers, layers_sql, raw_orders, raw_sql, table
 
@@ -13,27 +17,37 @@ latest AS (
     SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts DESC, copy_no, k) AS rn
     FROM dated WHERE ts IS NOT NULL) WHERE rn = 1),
 daily AS (
-  SELECT d, string_agg(order_id, ', ' ORDER BY order_id) AS order_ids, count(*) AS total_orders,
+  SELECT d, count(*) AS total_orders,
          strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_processed
   FROM latest GROUP BY d)
 """
 
 
-@register("gold_daily", layers_sql("""
-SELECT order_date, total_orders_per_day, round(total_revenue_per_day, 2) AS total_revenue_per_day FROM gold"""))
+@register("gold_daily", raw_sql("""
+SELECT CAST(try_cast(order_date AS DATE) AS STRING) AS order_date, count(order_id) AS total_orders_per_day,
+       round(sum(unit_price * quantity), 2) AS total_revenue_per_day
+FROM raw WHERE try_cast(order_date AS DATE) IS NOT NULL GROUP BY 1"""))
 def gold_daily(spark, sf_dir):
-    gold = g.gold_daily(Layers(spark, sf_dir).silver)
-    return gold.withColumn("total_revenue_per_day", F.round("total_revenue_per_day", 2))
+    """Straight from the dirty rows; ``gold_from_clean_rows`` has the whole chain."""
+    gold = g.gold_daily(raw_orders(spark, sf_dir), as_day("order_date"))
+    return gold.withColumns({
+        "order_date": F.col("order_date").cast("string"),
+        "total_revenue_per_day": F.round("total_revenue_per_day", 2)})
 
 
-@register("gold_daily_ids", raw_sql(LATEST_SQL + """
-SELECT CAST(d AS STRING) AS date, 0 AS part, 1 AS parts, coalesce(order_ids, '') AS order_ids, total_orders, last_processed
-FROM daily"""))
+@register("gold_daily_ids", raw_sql(LATEST_SQL + "SELECT CAST(d AS STRING) AS date, order_id FROM latest"))
 def gold_daily_ids(spark, sf_dir):
     gold = g.gold_daily_ids(raw_orders(spark, sf_dir), tiebreak=ORDER)
     return gold.withColumn("date", F.col("date").cast("string"))
 
 
+@register("gold_daily_latest", raw_sql(LATEST_SQL + """
+SELECT CAST(d AS STRING) AS date, total_orders, last_processed FROM daily"""))
+def gold_daily_latest(spark, sf_dir):
+    gold = g.gold_daily_latest(raw_orders(spark, sf_dir), tiebreak=ORDER)
+    return gold.withColumn("date", F.col("date").cast("string"))
+
+
 @register("monthly_orders", """
 SELECT CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS STRING) AS month, count(*) AS total_orders
 FROM orders GROUP BY 1""")
@@ -96,21 +110,34 @@ def run_summary(spark, sf_dir):
 
 
 @register("partition_scan_metrics", """
-WITH days AS (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1),
-m AS (
-  SELECT min(d) AS lo, max(d) AS hi, count(*) AS total,
-         count(CASE WHEN d BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' THEN 1 END) AS inside,
-         sum(CASE WHEN d BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' THEN n END) AS filtered FROM days)
-SELECT CAST(lo AS STRING) AS first_date, CAST(hi AS STRING) AS last_date, total AS total_partitions,
-       inside AS partitions_scanned, CAST(filtered AS BIGINT) AS filtered_total,
+WITH months AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, count(*) AS n FROM orders GROUP BY 1),
+s AS (
+  SELECT count(*) AS total, count(CASE WHEN m BETWEEN DATE '1997-01-01' AND DATE '1997-12-01' THEN 1 END) AS inside,
+         CAST(sum(CASE WHEN m BETWEEN DATE '1997-01-01' AND DATE '1997-12-01' THEN n END) AS BIGINT) AS filtered FROM months)
+SELECT total AS total_partitions, inside AS partitions_scanned, filtered AS filtered_total,
        CAST(format('{:.2f}', inside * CAST(100 AS DOUBLE) / total) AS DOUBLE) AS scan_pct,
-       round(100 - CAST(format('{:.2f}', inside * CAST(100 AS DOUBLE) / total) AS DOUBLE), 2) AS savings_pct,
-       CASE WHEN inside < total THEN 'PASS' ELSE 'ACTIVE' END AS pruning FROM m""")
+       CASE WHEN inside < total THEN 'PASS' ELSE 'ACTIVE' END AS pruning,
+       (SELECT CAST(CAST(min(o_orderdate) AS DATE) AS STRING) FROM orders) AS first_date,
+       (SELECT CAST(CAST(max(o_orderdate) AS DATE) AS STRING) FROM orders) AS last_date FROM s""")
 def partition_scan_metrics(spark, sf_dir):
-    metrics = g.partition_scan_metrics(_daily(spark, sf_dir), "1997-01-01", "1997-12-31")
+    """Daily counts in month folders: the folders that exist, and those a scan of one year opens."""
+    folder = work_folder(spark, "daily")
+    daily = _daily(spark, sf_dir).withColumn("month", F.trunc("date", "month"))
+    sinks.write_partitioned(daily, folder, by=["month"])
+    metrics = partition_scan(spark, folder, "month", "1997-01-01", "1997-12-01", "total_orders")
+    bounds = g.date_range_total(_daily(spark, sf_dir), "1997-01-01", "1997-12-31")
     return metrics.withColumns({
-        "first_date": F.col("first_date").cast("string"), "last_date": F.col("last_date").cast("string"),
-        "savings_pct": F.round("savings_pct", 2)})
+        name: bounds.select(F.col(name).cast("string")).scalar() for name in ("first_date", "last_date")})
+
+
+@register("date_range_total", """
+SELECT CAST(CAST(min(o_orderdate) AS DATE) AS STRING) AS first_date, CAST(CAST(max(o_orderdate) AS DATE) AS STRING) AS last_date,
+       count(CASE WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' THEN 1 END) AS filtered_total
+FROM orders""")
+def date_range_total(spark, sf_dir):
+    total = g.date_range_total(_daily(spark, sf_dir), "1997-01-01", "1997-12-31")
+    return total.withColumns({name: F.col(name).cast("string") for name in ("first_date", "last_date")})
 
 
 @register("preview_topn", raw_sql("SELECT * FROM raw ORDER BY copy_no, k LIMIT 1000"))

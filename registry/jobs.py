@@ -1,12 +1,15 @@
 """Log scan, run log and synthetic data, from the event table."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakestrata import constants as const
 from lakestrata.operators import audit as a
+from lakestrata.session import work_folder
 from lakestrata.sources.synthetic import synthetic_orders as synthetic_orders_
 from registry import register
 from registry.dirty import table
+from registry.writing import write_named_files
 
 _WORDS = "|".join(const.LOG_KEYWORDS)
 
@@ -22,12 +25,32 @@ hits AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY from_end) AS
 SELECT source, 'highlight' AS section, from_end, line FROM hits WHERE n <= 15
 UNION ALL SELECT source, 'tail', from_end, line FROM recent WHERE from_end <= 40""")
 def log_highlights(spark, sf_dir):
-    """Event types as task logs, events as their lines."""
+    """Event types as task logs: files with a line per event, read by file and place."""
     state = F.when(F.col("event_id") % 9 == 0, "Failed").otherwise("done")
+    place = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
     lines = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("source"), "ts", "event_id",
+        F.concat("event_type", F.lit(".log")).alias("file_name"), place.cast("bigint").alias("seq"),
         F.concat(F.lit("task "), F.col("user_id"), F.lit(" "), state, F.lit(" on "), F.col("props")).alias("line"))
-    return a.log_highlights(lines, order_by=["ts", "event_id"])
+    folder = work_folder(spark, "logs")
+    write_named_files(lines, folder)
+    found = a.log_highlights(a.scan_logs(spark, folder), order_by=["block", "position"])
+    return found.withColumn("source", F.regexp_replace("source", r"\.log$", ""))
+
+
+@register("run_log", """
+SELECT CAST(o_orderpriority AS VARCHAR) AS dag_id, 'SUCCESS' AS status, count(*) AS orders FROM orders GROUP BY 1""")
+def run_log(spark, sf_dir):
+    """A run per order priority that writes its orders; the log tells how each ended."""
+    log, folder = a.RunLog(spark, work_folder(spark, "runs")), work_folder(spark, "orders")
+    orders = table(spark, sf_dir, "orders")
+    names = [r[0] for r in orders.select("o_orderpriority").distinct().orderBy("o_orderpriority").collect()]
+    for name in names:
+        with log.task(name, "write"):
+            orders.where(F.col("o_orderpriority") == name).select("o_orderpriority", "o_orderkey").write.mode(
+                "append").parquet(folder)
+    counts = spark.read.parquet(folder).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("orders"))
+    latest = a.run_status_latest(log.events(), order_by=["timestamp", "status"])
+    return latest.join(counts, F.col("dag_id") == F.col("o_orderpriority")).select("dag_id", "status", "orders")
 
 
 @register("run_status_latest", """

@@ -10,6 +10,7 @@ from lakestrata.session import work_folder
 from lakestrata.sources import sinks
 from registry import register
 from registry.dirty import AS_OF, ORDER, Layers, layers_sql, raw_orders, raw_sql
+from registry.writing import write_named_files
 
 DATA = ["order_id", "customer_id", "product", "unit_price", "quantity", "order_date"]
 
@@ -173,12 +174,55 @@ def quality_report(spark, sf_dir):
     return rows.withColumn("message", F.when(gone, "found missing").otherwise(F.col("message")))
 
 
+@register("dq_failing_layers", layers_sql("""
+, ids AS (SELECT order_id, count(*) AS n FROM raw GROUP BY order_id),
+surplus AS (SELECT CAST(sum(n) - count(*) AS BIGINT) AS s,
+  CAST(format('{:.2f}', (sum(n) - count(*)) * CAST(100 AS DOUBLE) / sum(n)) AS DOUBLE) AS pct FROM ids)
+SELECT 'silver' AS layer, 'duplicate_order_ids' AS name, 'CRITICAL' AS status,
+       s || ' duplicate order_id(s) (' || CAST(pct AS VARCHAR) || '%) — unexpected at this layer' AS message FROM surplus
+UNION ALL SELECT 'bronze', 'schema_check', 'CRITICAL', 'Missing required columns: [''source_file'']'
+UNION ALL SELECT 'quarantine', 'rejection_reason_completeness', 'CRITICAL',
+  count(*) || ' quarantine records missing rejection reason' FROM quarantine WHERE k % 2 = 0
+UNION ALL SELECT 'validated', 'clean_validation', 'CRITICAL',
+  count(*) || ' validated records still have rejection reasons' FROM validated WHERE k % 3 = 0
+UNION ALL SELECT 'gold', 'delta_read', 'CRITICAL', 'unreadable'
+UNION ALL SELECT 'lost', 'path_exists', 'CRITICAL', 'missing'"""))
+def dq_failing_layers(spark, sf_dir):
+    """Each check that only fails on a broken table, on one: copies in silver, a lost column, reasons that are
+    missing or should not be there, a table that cannot be read and one that is not there."""
+    root, tables = work_folder(spark, "layers"), Layers(spark, sf_dir).tables
+    reason = F.col("rejection_reason")
+    broken = {
+        "silver": tables["bronze"].withColumn("processing_timestamp", F.current_timestamp()),
+        "bronze": tables["bronze"].drop("source_file"),
+        "quarantine": tables["quarantine"].withColumn("rejection_reason", F.when(F.col("k") % 2 == 1, reason)),
+        "validated": tables["validated"].withColumn("rejection_reason", F.when(F.col("k") % 3 == 0, "old")),
+    }
+    for layer, df in broken.items():
+        sinks.write_parquet(df, f"{root}/{layer}")
+    write_named_files(spark.createDataFrame(
+        [("part-0.parquet", 0, "no parquet")], "file_name string, seq int, line string"), f"{root}/gold")
+    examined = check_layers(spark, {layer: f"{root}/{layer}" for layer in [*broken, "gold", "lost"]}, AS_OF)
+    checks = examined[0].checks
+    for layer in examined[1:]:
+        checks = checks.unionByName(layer.checks)
+    wanted = {
+        "silver": "duplicate_order_ids", "bronze": "schema_check", "quarantine": "rejection_reason_completeness",
+        "validated": "clean_validation", "gold": "delta_read", "lost": "path_exists"}
+    picked = F.lit(False)
+    for layer, name in wanted.items():
+        picked = picked | ((F.col("layer") == layer) & (F.col("name") == name))
+    shown = F.when(F.col("name") == "delta_read", "unreadable").when(
+        F.col("name") == "path_exists", "missing").otherwise(F.col("message"))
+    return checks.where(picked).select("layer", "name", "status", shown.alias("message"))
+
+
 def _live_layer(layer: str, label: str) -> str:
     dedup = "" if label != "silver" else """
   UNION ALL SELECT 8, 'Deduplication Applied', 'PASS',
     (b - s) || ' duplicate row(s) removed (' || format('{:.1f}', (b - s) * CAST(100 AS DOUBLE) / b) || '% of Bronze). ' ||
     format('{:,}', s) || ' unique records remain.'
-  FROM (SELECT (SELECT count(*) FROM raw) AS b, (SELECT count(*) FROM silver3) AS s)"""
+  FROM (SELECT (SELECT count(*) FROM tabbed) AS b, (SELECT count(*) FROM silver3) AS s)"""
     return f"""SELECT '{label}' AS layer, x.*, (SELECT count(*) FROM {layer}) AS row_count FROM (
   SELECT 1 AS check_no, 'Row Count' AS name, 'PASS' AS status, format('{{:,}}', count(*)) || ' rows found.' AS message FROM {layer}
   UNION ALL SELECT 2, 'Required Columns Present', 'PASS', 'All required columns found.'
@@ -189,7 +233,7 @@ def _live_layer(layer: str, label: str) -> str:
     CASE WHEN count(*) > 5 THEN ' … and ' || (count(*) - 5) || ' more' ELSE '' END
   FROM (SELECT order_id, count(*) AS n FROM {layer} GROUP BY order_id HAVING count(*) > 1)
   UNION ALL SELECT 4, 'No Null Critical Fields', 'CRITICAL',
-    'order_id: ' || (count(*) - count(order_id)) || ' null/empty | order_date: ' || (count(*) - count(order_date)) || ' null/empty'
+    'order_id: ' || count(CASE WHEN order_id IS NULL OR order_id = chr(9) THEN 1 END) || ' null/empty | order_date: ' || (count(*) - count(order_date)) || ' null/empty'
   FROM {layer}
   UNION ALL SELECT 5, 'No Negative Numeric Values', 'WARNING',
     'unit_price: ' || count(CASE WHEN unit_price < 0 THEN 1 END) || ' negative value(s)' FROM {layer}
@@ -201,23 +245,27 @@ def _live_layer(layer: str, label: str) -> str:
 
 
 @register("dq_live_checks", raw_sql(f"""
-, silver3 AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_date ORDER BY copy_no, k) AS rn FROM raw)
+, tabbed AS (SELECT * REPLACE (CASE WHEN k % 71 = 0 THEN chr(9) ELSE order_id END AS order_id) FROM raw),
+silver3 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_date ORDER BY copy_no, k) AS rn FROM tabbed)
   WHERE rn = 1),
 issues AS (SELECT DISTINCT k // 2000 AS f FROM raw),
 checks AS (
-SELECT 'input' AS layer, x.*, (SELECT count(*) FROM issues) AS row_count FROM (
+SELECT 'input' AS layer, x.*, (SELECT 2 * count(*) FROM issues) AS row_count FROM (
   SELECT 1 AS check_no, 'File Formats' AS name, 'WARNING' AS status,
          count(*) || ' file(s) follow unsupported formats.' AS message FROM issues
-  UNION ALL SELECT 2, 'Data Integrity', 'PASS', 'No corrupted CSVs detected.') AS x
-UNION ALL {_live_layer("raw", "bronze")}
+  UNION ALL SELECT 2, 'Data Integrity', 'CRITICAL', count(*) || ' corrupted file(s) found in input folder.' FROM issues) AS x
+UNION ALL {_live_layer("tabbed", "bronze")}
 UNION ALL {_live_layer("silver3", "silver")})
 SELECT * FROM checks"""))
 def dq_live_checks(spark, sf_dir):
     from lakestrata.operators.dedup import dedup_composite
-    raw = raw_orders(spark, sf_dir)
-    issues = raw.select(F.floor(F.col("k") / 2000).alias("f")).distinct().select(
-        F.format_string(const.ISSUE_UNSUPPORTED[1], F.lit(".txt")).alias("Reason"))
+    """Orders with ids of a tab alone among them, and for each block an unsupported and a corrupted file."""
+    raw = raw_orders(spark, sf_dir).withColumn(
+        "order_id", F.when(F.col("k") % 71 == 0, "\t").otherwise(F.col("order_id")))
+    reasons = F.array(
+        F.format_string(const.ISSUE_UNSUPPORTED[1], F.lit(".txt")), F.format_string(const.ISSUE_BAD_CSV[1], F.lit("x")))
+    issues = raw.select(F.floor(F.col("k") / 2000).alias("f")).distinct().select(F.explode(reasons).alias("Reason"))
     silver = dedup_composite(raw, order_by=ORDER)
     return q.live_checks(issues, raw, silver, ORDER, AS_OF)
 

@@ -4,29 +4,40 @@ from pyspark.sql import functions as F
 
 from lakestrata.plans.batch import Medallion
 from lakestrata.session import work_folder
+from lakestrata.sources.versioned import VersionedTable
 from lakestrata.streaming.ingest import ingest_stream, medallion_stream
 from registry import register
-from registry.filelayer import ALL_KINDS, BATCH_SQL, medallion_tables
-from registry.folder import V1, folder_sql, write_folder
+from registry.filelayer import ALL_KINDS, BATCH_SQL, medallion_tables, priced
+from registry.folder import folder_sql, write_folder
 
 
 @register("stream_bronze_ingest", folder_sql("""
-SELECT order_id, CAST(customer_id AS VARCHAR) AS customer_id, product AS product_name, CAST(quantity AS VARCHAR) AS quantity,
-       order_date, source_file, TRUE AS stamped FROM orders_rows"""))
+, all_rows AS (SELECT * FROM orders_rows UNION ALL SELECT * FROM promo_rows)
+SELECT order_id, CAST(customer_id AS VARCHAR) AS customer_id, product, unit_price, CAST(quantity AS VARCHAR) AS quantity,
+       order_date, discount_code, source_file, TRUE AS stamped, NULL AS issue FROM all_rows
+UNION ALL SELECT DISTINCT 'CRITICAL', NULL, 'N/A', NULL, NULL, 'N/A', NULL, 'broken_' || b || '.json', FALSE,
+  'Corrupted JSON: File could not be parsed. Error: malformed record' FROM blocks WHERE copy_no = 2"""))
 def stream_bronze_ingest(spark, sf_dir):
-    folder = write_folder(spark, sf_dir, ["orders"])
-    bronze, checkpoint = work_folder(spark, "bronze"), work_folder(spark, "stream")
+    """A first layout, then one with a further column, broken and empty files: rows and issues."""
+    folder = write_folder(spark, sf_dir, ["orders", "empty"])
+    root, checkpoint = work_folder(spark, "bronze"), work_folder(spark, "stream")
     for _ in range(2):
-        ingest_stream(spark, folder, bronze, checkpoint, V1).awaitTermination()
-    return spark.read.parquet(bronze).select(
-        "order_id", "customer_id", "product_name", "quantity", "order_date", "source_file",
-        F.col("ingestion_timestamp").isNotNull().alias("stamped"))
+        ingest_stream(spark, folder, root, checkpoint).awaitTermination()
+    write_folder(spark, sf_dir, ["promo", "broken"], folder)
+    for _ in range(2):
+        ingest_stream(spark, folder, root, checkpoint).awaitTermination()
+    rows = VersionedTable(spark, f"{root}/bronze").read()
+    issues = VersionedTable(spark, f"{root}/issues").read().withColumnRenamed("Reason", "issue")
+    return priced(rows.withColumn("stamped", F.col("ingestion_timestamp").isNotNull()).drop("ingestion_timestamp").unionByName(
+        issues.withColumn("stamped", F.lit(False)), allowMissingColumns=True))
 
 
 @register("stream_medallion", BATCH_SQL)
 def stream_medallion(spark, sf_dir):
-    folder = write_folder(spark, sf_dir, ALL_KINDS)
-    root, checkpoint = work_folder(spark, "medallion"), work_folder(spark, "stream")
-    for _ in range(2):
-        medallion_stream(spark, folder, root, checkpoint).awaitTermination()
+    """Two streams with checkpoints of their own fill one medallion; the first loses its state on the way."""
+    root = work_folder(spark, "medallion")
+    one = write_folder(spark, sf_dir, ALL_KINDS[:5])
+    two = write_folder(spark, sf_dir, [*ALL_KINDS[5:], "typed"])
+    for folder, checkpoint in ((one, "a"), (two, "b"), (one, "c"), (two, "b")):
+        medallion_stream(spark, folder, root, f"{root}-{checkpoint}").awaitTermination()
     return medallion_tables(Medallion(spark, root))

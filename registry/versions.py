@@ -62,15 +62,19 @@ def version_as_of(spark, sf_dir):
 @register("commit_history", raw_sql("""
 , n AS (SELECT copy_no, count(*) AS c FROM raw GROUP BY copy_no)
 SELECT CAST(v AS VARCHAR) AS version, 'WRITE' AS operation, '{"mode":"Append"}' AS "operationParameters", TRUE AS "isBlindAppend",
-       TRUE AS timed, (SELECT CAST(sum(c) AS BIGINT) FROM n WHERE copy_no <= v) AS num_rows FROM range(3) AS r(v)
-UNION ALL SELECT 'Pending', 'INGESTION', 'Scanning raw CSVs', TRUE, FALSE, NULL"""))
+       TRUE AS timed, (SELECT CAST(sum(c) AS BIGINT) FROM n WHERE copy_no <= v) AS total_rows,
+       (SELECT c FROM n WHERE copy_no = v) AS num_rows, TRUE AS has_files, TRUE AS has_bytes FROM range(3) AS r(v)
+UNION ALL SELECT 'Pending', 'INGESTION', 'Scanning raw CSVs', TRUE, FALSE, NULL, NULL, NULL, NULL"""))
 def commit_history(spark, sf_dir):
     table = _appended(spark, sf_dir)
-    rows = table.commits().select(F.col("version").cast("string").alias("version"), "num_rows")
+    rows = table.commits().select(
+        F.col("version").cast("string").alias("version"), "total_rows", "num_rows",
+        (F.col("num_files") > 0).alias("has_files"), (F.col("num_bytes") > 0).alias("has_bytes"))
     shown = v.with_pending(table.history())
     return shown.join(rows, "version", "left").select(
         "version", "operation", "operationParameters", "isBlindAppend",
-        F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("timed"), "num_rows")
+        F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$").alias("timed"), "total_rows", "num_rows",
+        "has_files", "has_bytes")
 
 
 @register("restore_version", raw_sql("""
@@ -100,10 +104,10 @@ def version_diff(spark, sf_dir):
 def _day_commits(rows):
     """One commit per day, its time in the middle of the day, versions in day order."""
     days = rows.where(F.col("order_date").try_cast("date").isNotNull()).groupBy("order_date").agg(
-        F.count(F.lit(1)).alias("num_rows"))
+        F.count(F.lit(1)).alias("total_rows"))
     day = F.unix_date(F.col("order_date").cast("date")).cast("bigint")
     return days.select(
-        day.alias("version"), (day * 86_400_000 + F.pmod(day, F.lit(7)) * 60_000).alias("timestamp"), "num_rows")
+        day.alias("version"), (day * 86_400_000 + F.pmod(day, F.lit(7)) * 60_000).alias("timestamp"), "total_rows")
 
 
 _DAY_COMMITS = """

@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = build_session("tests", **{
         "spark.master": "local[4]", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
-        "spark.driver.memory": "4g"})
+        "spark.driver.memory": "4g", "spark.checkpoint.dir": f"/tmp/checkpoints/tests-{uuid.uuid4().hex}"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -48,3 +48,24 @@ def test_inspection_labels_both_sides(spark):
     out = a.record_inspection(valid, bad, ["k"], 3)
     assert rows(out.select("record_state", "k", "rejection_reason")) == [
         ("rejected", 5, "why"), ("valid", 0, None), ("valid", 1, None), ("valid", 2, None)]
+
+
+def test_jobs_write_the_run_log(spark, folder):
+    log = a.RunLog(spark, f"{folder}/runs")
+    assert log.events().count() == 0
+    with log.task("good", "t"):
+        pass
+    try:
+        with log.task("bad", "t"):
+            raise ValueError("why")
+    except ValueError:
+        pass
+    latest = a.run_status_latest(log.events(), order_by=["timestamp", "status"]).where("dag_id = 'good'")
+    assert rows(latest.select("status")) == [("SUCCESS",)]
+    assert rows(log.events().where("dag_id = 'bad'").select("status", "message")) == [("ERROR", "why"), ("RUNNING", "")]
+
+
+def test_log_scan_has_file_and_place(spark, files):
+    path = files(**{"x.log": "a\nerror b\n"})
+    found = a.log_highlights(a.scan_logs(spark, path), order_by=["block", "position"])
+    assert rows(found.where("section = 'highlight'").select("source", "from_end", "line")) == [("x.log", 1, "error b")]

@@ -7,8 +7,9 @@ from lakestrata.plans.batch import Medallion
 from lakestrata.plans.cleaning import clean_job, daily_gold_job
 from lakestrata.plans.live import examine, gold_live, medallion_live
 from lakestrata.sources import files as f
-from lakestrata.sources import sinks, tabular
+from lakestrata.sources import tabular
 from lakestrata.sources.synthetic import generate_orders
+from registry.writing import json_array_lines, write_named_files
 from tests.conftest import plan, rows
 
 HEADER = "order_id,customer_id,product_name,unit_price,quantity,order_date\n"
@@ -28,7 +29,7 @@ def layouts(spark, path, **options):
 
 def test_listing_takes_regular_files_only(spark, files):
     path = files.write({"a.CSV": "id\n1\n", "b.txt": "x", "c": "x", "e.csv": "", "a b+1%[x].json": "{}"})
-    sinks.write_named_files(spark.createDataFrame([("old.csv", 0, "x")], "file_name string, seq int, line string"), f"{path}/processed")
+    write_named_files(spark.createDataFrame([("old.csv", 0, "x")], "file_name string, seq int, line string"), f"{path}/processed")
     got = rows(f.list_files(spark, path).select("file_name", "extension", "supported"))
     assert got == sorted([("a.CSV", ".csv", True), ("b.txt", ".txt", False), ("c", "", False), ("e.csv", ".csv", True),
                           ("a b+1%[x].json", ".json", True)], key=repr)
@@ -54,13 +55,29 @@ def test_header_words_are_matched_inside_cells(spark, files):
     assert got == [("a.csv", True), ("b.csv", True), ("c.csv", False)]
 
 
-def test_first_records_through_spark_agree_with_the_direct_read(spark, files):
+def test_first_records(spark, files):
     path = files.write({
-        "a.csv": "\n\nid,date\n1,2\n", "b.csv": "﻿id,\"x, y\"\n1,2\n".encode(), "c.csv": "1,2", "d.csv": "order_id,revenue\n"})
-    direct = f.csv_heads(f.list_files(spark, path)).select("path", "first_record", "has_more")
-    scanned = f.csv_heads_by_scan(spark, path).select("path", "first_record", "has_more")
-    assert rows(direct) == rows(scanned)
-    assert [r[1] for r in rows(direct)] == [["id", "date"], ["id", "x, y"], ["1", "2"], ["order_id", "revenue"]]
+        "a.csv": "\n\nid,date\n1,2\n", "b.csv": "\ufeffid,\"x, y\"\n1,2\n".encode(), "c.csv": "1,2", "d.csv": "order_id,revenue\n"})
+    heads = f.csv_heads(f.list_files(spark, path)).select("path", "first_record", "has_more")
+    assert [r[1:] for r in rows(heads)] == [
+        (["id", "date"], True), (["id", "x, y"], True), (["1", "2"], False), (["order_id", "revenue"], False)]
+
+
+def test_bad_bytes_are_found_anywhere_and_wide_cells_are_read(spark, files):
+    good = "".join(f"{i},2026-01-01,p\n" for i in range(3000)).encode()
+    path = files.write({
+        "early.csv": b"id,date,product\n1,2026-01-01,caf\xe9\n" + good, "late.csv": b"id,date,product\n" + good + b"1,2026-01-01,caf\xe9\n",
+        "wide.csv": b"id,date,product\n1,2026-01-01," + b"w" * 200_000 + b"\n"})
+    view = medallion_live(spark, path)
+    assert rows(view.issues.select("source_file", "order_id")) == [("early.csv", "PARSE_ERROR"), ("late.csv", "PARSE_ERROR")]
+    assert [len(r[0]) for r in rows(view.bronze.select("product"))] == [200_000]
+
+
+def test_names_with_an_underscore_get_a_disposition(spark, files, folder):
+    path = files.write({"_orders.csv": HEADER, "_SUCCESS": "", ".hidden.csv": "x"})
+    Medallion(spark, folder).run(path)
+    got = rows(f.read_manifest(spark, f"{folder}/manifest").select("disposition", "reason"))
+    assert len(got) == 1 and got[0][0] == "rejected" and f.HIDDEN_NAME in got[0][1]
 
 
 def test_names_for_files_without_header(spark, files):
@@ -160,8 +177,8 @@ def test_gold_live_maps_columns_per_layout(spark, files):
         "a.csv": "OrderID,amount,when_sold\n1,5,2026-01-01\n2,5,bad\n", "b.csv": "Order ID,Date\n1,2026-01-03 10:00:00\n",
         "c.json": '[{"id": "9", "timestamp": "2026-01-01"}]'})
     gold = gold_live(spark, path)
-    assert rows(gold.select(F.col("date").cast("string"), "order_ids", "total_orders", "last_processed")) == [
-        ("2026-01-01", "9", 1, "2026-01-01 00:00:00"), ("2026-01-03", "1", 1, "2026-01-03 10:00:00")]
+    assert rows(gold.select(F.col("date").cast("string"), "total_orders", "last_processed")) == [
+        ("2026-01-01", 1, "2026-01-01 00:00:00"), ("2026-01-03", 1, "2026-01-03 10:00:00")]
 
 
 def test_batch_run_in_steps(spark, files, folder):
@@ -170,12 +187,12 @@ def test_batch_run_in_steps(spark, files, folder):
         "head.csv": HEADER, "n.txt": "x"})
     made = generate_orders(spark, 1000, 200)
     name = F.lit("made.json")
-    sinks.write_named_files(sinks.json_array_lines(made.withColumn("n", F.monotonically_increasing_id()), name, made.columns, ["n"]), path)
+    write_named_files(json_array_lines(made.withColumn("n", F.monotonically_increasing_id()), name, made.columns, ["n"]), path)
     m = Medallion(spark, folder)
     m.run(path)
     assert rows(m.silver.read().select("order_id", "quantity")) == [("1", 1)]
     assert rows(m.quarantine.read().select("rejection_reason")) == [("non_positive_quantity",), ("null_order_id",)]
-    first = {r["file"].rsplit("/", 1)[1]: (r["disposition"], r["reason"]) for r in f.read_manifest(spark, m.manifest).collect()}
+    first = {r["path"].rsplit("/", 1)[1]: (r["disposition"], r["reason"]) for r in f.read_manifest(spark, m.manifest).collect()}
     assert first["made.json"] == ("rejected", "duplicate_ratio") and first["head.csv"] == ("rejected", "empty")
     assert first["a.csv"] == ("processed", None) and first["n.txt"][0] == "unsupported"
 
@@ -187,14 +204,64 @@ def test_batch_run_in_steps(spark, files, folder):
     assert f.read_manifest(spark, m.manifest).count() == 5
 
 
-def test_repeated_transaction_adds_nothing(spark, files, folder):
+@pytest.mark.parametrize("table", ["bronze", "quarantine", "validated", "silver", "gold"])
+def test_run_that_died_between_its_commits_is_finished(spark, files, folder, monkeypatch, table):
     path = files(**{"a.csv": HEADER + "1,9,P,5,1,2026-01-01\n,9,P,5,1,2026-01-01\n"})
-    Medallion(spark, folder).run(path, txn="b-0")
-    # The run died before its manifest entry: the same files come again under the same name.
+    m = Medallion(spark, folder)
+    broken = getattr(m, table)
+    write = "overwrite" if table == "gold" else "append"
+    monkeypatch.setattr(broken, write, lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        m.run(path)
+    files(**{"b.csv": HEADER + "2,9,P,5,1,2026-01-01\n"})
     again = Medallion(spark, folder)
-    again.manifest = f"{folder}/lost-manifest"
-    again.run(path, txn="b-0")
-    assert again.quarantine.read().count() == 1 and again.silver.read().count() == 1
+    assert again.run(path).count() == 2
+    assert rows(again.silver.read().select("order_id")) == [("1",), ("2",)]
+    assert (again.bronze.read().count(), again.quarantine.read().count(), again.validated.read().count()) == (3, 1, 2)
+    assert again.gold.read().first()["total_orders_per_day"] == 2 and again.open_claims() == []
+    assert again.run(path).count() == 0
+
+
+def test_file_delivered_again_under_its_name(spark, files, folder):
+    path = files(**{"orders.csv": HEADER + "1,9,P,5,1,2026-01-01\n"})
+    m = Medallion(spark, folder)
+    m.run(path)
+    files(**{"orders.csv": HEADER + "1,9,P,5,1,2026-01-01\n2,9,P,5,1,2026-01-01\n3,9,P,5,1,2026-01-01\n"})
+    assert m.run(path).count() == 1
+    assert rows(m.silver.read().select("order_id")) == [("1",), ("2",), ("3",)]
+
+
+def test_rows_are_judged_before_they_are_cast(spark, files, folder):
+    quantities = ["5.0", "-2.0", "0.0", "abc", "1.5", "7", ""]
+    path = files(**{"a.csv": HEADER + "".join(f"{i},9,P,5,{q},2026-01-01\n" for i, q in enumerate(quantities)),
+                    "b.csv": HEADER + "".join(f"x{i},9,P,5,{i}.5,2026-01-01\n" for i in range(4))})
+    m = Medallion(spark, folder)
+    m.run(path)
+    assert rows(m.silver.read().select("order_id", "quantity")) == [("0", 5), ("5", 7), ("6", None)]
+    got = rows(m.quarantine.read().where("order_id NOT LIKE 'x%'").select("order_id", "quantity", "rejection_reason"))
+    assert got == [("1", "-2.0", "non_positive_quantity"), ("2", "0.0", "non_positive_quantity"),
+                   ("3", "abc", "invalid_quantity"), ("4", "1.5", "invalid_quantity")]
+    assert m.quarantine.read().where("order_id LIKE 'x%'").count() == 4  # different rows, not copies
+
+
+def test_json_lines_documents_and_what_is_neither(spark, files):
+    path = files(**{
+        "lines.json": "".join('{"id": %d, "date": "2026-01-01"}\n' % i for i in range(10)), "empty.json": "[]",
+        "nulls.json": '[{"id": null, "date": null}]', "trailing.json": '[{"id": 1, "date": "2026-01-01"}] x',
+        "cut.json": '{"id": 1, "date": "2026-01-01"}\n{"id": 2,\n', "pretty.json": '{\n "id": 77,\n "date": "2026-01-01", "n": 1.50\n}\n'})
+    view = medallion_live(spark, path)
+    assert view.bronze.where("source_file = 'lines.json'").count() == 10
+    assert rows(view.bronze.where("source_file = 'pretty.json'").select("order_id", "n")) == [("77", "1.50")]
+    assert rows(view.issues.select("source_file", "order_id")) == [("cut.json", "CRITICAL"), ("trailing.json", "CRITICAL")]
+    assert view.bronze.where("source_file = 'nulls.json'").count() == 1
+    assert tabular.scan_json(spark, path).count() == 12
+
+
+def test_line_breaks_in_cells_are_found(spark, files, folder):
+    path = files(**{"a.csv": HEADER + '1,9,"two\nlines",5,1,2026-01-01\n2,9,P,5,1,2026-01-01\n'})
+    m = Medallion(spark, folder)
+    m.run(path)
+    assert rows(m.bronze.read().select("order_id", "product")) == [("1", "two\nlines"), ("2", "P")]
 
 
 def test_ratio_at_the_limit_passes(spark, files, folder):
@@ -209,8 +276,6 @@ def test_cleaning_jobs(spark, files, folder):
     out = clean_job(spark, path, folder)
     assert rows(out.select("id", "age")) == [(1, 28), (2, 29), (3, 28)]
     assert out.where("processed_time IS NULL").count() == 0
-    single = clean_job(spark, path, folder + "-one", single_file=True)
-    assert len(single.inputFiles()) == 1
     assert rows(daily_gold_job(spark, path).selectExpr("cast(order_date as string)", "total_orders_per_day", "total_revenue_per_day")) == [
         ("2026-01-01", 2, 3.5)]
     bare = files(**{"raw.csv": "id\n1\n2\n"})
@@ -237,10 +302,16 @@ def test_line_breaks_inside_quoted_cells(spark, files):
     assert rows(view.bronze.select("order_id", "product")) == [("1", "two\nlines"), ("2", "x")]
 
 
-def test_staged_rows_are_given_back(spark, files, folder, monkeypatch):
-    from lakestrata.plans import batch
-    used = []
-    monkeypatch.setattr(batch, "work_folder", lambda s, label: used.append(f"{folder}-{label}") or used[-1])
-    Medallion(spark, folder).run(files(**{"a.csv": HEADER + "1,9,P,5,1,2026-01-01\n"}))
-    assert len(used) == 1 and spark.read.parquet(used[0]).count() == 0
+def test_work_tables_are_deleted_also_after_a_failure(spark, files, folder, monkeypatch):
+    from lakestrata.session import Workspace
+    from lakestrata.sources.storage import file_info
+    used, make = [], Workspace.__init__
+    monkeypatch.setattr(Workspace, "__init__", lambda self, *a: (make(self, *a), used.append(self.folder))[0])
+    path = files(**{"a.csv": HEADER + "1,9,P,5,1,2026-01-01\n"})
+    m = Medallion(spark, folder)
+    monkeypatch.setattr(m.silver, "append", lambda *a, **b: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        m.run(path)
+    Medallion(spark, folder).run(path)
+    assert len(used) == 2 and all(file_info(spark, place) is None for place in used)
     assert Medallion(spark, folder).silver.read().count() == 1

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from lakestrata.operators import gold as g
 from lakestrata.operators.rules import date_range_filter
 from lakestrata.sources import sinks
+from lakestrata.sources.tabular import partition_scan
 from tests.conftest import plan, rows
 
 
@@ -15,26 +16,25 @@ def test_daily_gold_counts_ids_and_defaults_revenue(spark):
     assert rows(g.gold_daily(df.withColumn("revenue", F.lit("x")))) == [("d1", 1, 0.0)]
 
 
-def test_heavy_day_is_split_without_losing_ids(spark):
-    """A third of all ids on one day; the parts together list each id once."""
+def test_a_day_is_one_row_whatever_its_size(spark):
+    """A third of all ids on one day."""
     df = spark.range(900).selectExpr(
         "CAST(id AS string) AS order_id",
         "if(id % 3 = 0, '2026-01-01', CAST(date_add(DATE '2026-02-01', CAST(id % 60 AS int)) AS string)) AS order_date")
-    gold = g.gold_daily_ids(df, ids_per_row=20).collect()
-    heavy = [r for r in gold if str(r["date"]) == "2026-01-01"]
-    assert len(heavy) > 10 and all(r["total_orders"] == 300 and r["parts"] == 15 for r in heavy)
-    ids = [x for r in heavy for x in r["order_ids"].split(", ")]
-    assert len(ids) == len(set(ids)) == 300
-    whole = g.gold_daily_ids(df).collect()
-    assert all(r["parts"] == 1 for r in whole) and sum(r["total_orders"] for r in whole) == 900
-    assert rows(g.daily_totals(g.gold_daily_ids(df, ids_per_row=20))) == rows(g.daily_totals(g.gold_daily_ids(df)))
+    daily = g.gold_daily_latest(df)
+    heavy = daily.where("date = DATE '2026-01-01'").collect()
+    assert [(r["total_orders"], r["last_processed"]) for r in heavy] == [(300, "2026-01-01 00:00:00")]
+    assert g.monthly_orders(daily).where("month = DATE '2026-01-01'").first()["total_orders"] == 300
+    ids = g.gold_daily_ids(df)
+    assert ids.count() == ids.distinct().count() == 900
+    assert ids.where("date = DATE '2026-01-01'").count() == 300
 
 
-def test_null_ids_count_as_one_order_but_are_not_listed(spark):
+def test_null_ids_count_as_one_order(spark):
     df = spark.createDataFrame([(None, "2026-01-01"), (None, "2026-01-01"), ("b", "2026-01-01"), ("a", "2026-01-01 05:00:00"), ("c", "x")],
                                "order_id string, order_date string")
-    got = g.gold_daily_ids(df).drop("date", "part", "parts")
-    assert rows(got) == [("a, b", 3, "2026-01-01 05:00:00")]
+    assert rows(g.gold_daily_latest(df).drop("date")) == [(3, "2026-01-01 05:00:00")]
+    assert rows(g.gold_daily_ids(df).select("order_id")) == sorted([("a",), ("b",), (None,)], key=repr)
 
 
 def test_latest_row_decides_the_day(spark):
@@ -78,12 +78,15 @@ def test_funnel_and_summary(spark):
     assert got == {"files": 2, "raw_records": 5, "unique_records": 3, "daily_orders": 3, "duplicates_filtered": 2}
 
 
-def test_partition_numbers(spark):
+def test_partition_numbers(spark, folder):
     df = spark.sql("SELECT date_add(DATE '2026-01-01', CAST(id AS int)) AS date, 2 AS total_orders FROM range(10)")
-    got = g.partition_scan_metrics(df, "2026-01-02", "2026-01-04").first()
-    assert (got["total_partitions"], got["partitions_scanned"], got["filtered_total"], got["scan_pct"], got["savings_pct"], got["pruning"]) == (
-        10, 3, 6, 30.0, 70.0, "PASS")
-    assert g.partition_scan_metrics(df, "2000-01-01", "2030-01-01").first()["pruning"] == "ACTIVE"
+    sinks.write_partitioned(df, folder, by=["date"])
+    got = partition_scan(spark, folder, "date", "2026-01-02", "2026-01-04", "total_orders").first()
+    assert (got["total_partitions"], got["partitions_scanned"], got["filtered_total"], got["scan_pct"], got["pruning"]) == (
+        10, 3, 6, 30.0, "PASS")
+    assert partition_scan(spark, folder, "date", "2000-01-01", "2030-01-01", "total_orders").first()["pruning"] == "ACTIVE"
+    total = g.date_range_total(df, "2026-01-02", "2026-01-04").first()
+    assert (str(total["first_date"]), str(total["last_date"]), total["filtered_total"]) == ("2026-01-01", "2026-01-10", 6)
 
 
 def test_day_folders_prune_a_date_range(spark, folder):

@@ -9,6 +9,7 @@ from lakestrata.operators.gold import gold_daily
 from lakestrata.plans.report import check_layers, layer_report
 from lakestrata.sources import sinks
 from lakestrata.sources.versioned import VersionedTable
+from registry.writing import write_named_files
 
 AS_OF = "2026-03-13"
 
@@ -89,7 +90,7 @@ def test_report_over_stored_layers(spark, bronze, folder):
     sinks.write_parquet(bronze, f"{folder}/bronze")
     VersionedTable(spark, f"{folder}/silver").append(
         dedup_by_key(bronze).withColumn("processing_timestamp", F.current_timestamp()))
-    sinks.write_named_files(spark.createDataFrame(
+    write_named_files(spark.createDataFrame(
         [("x.parquet", 0, "not parquet")], "file_name string, seq int, line string"), f"{folder}/quarantine")
     report = layer_report(spark, folder, AS_OF)
     sinks.write_report(report, f"{folder}/report")

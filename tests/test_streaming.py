@@ -1,33 +1,30 @@
 from lakestrata.plans.batch import Medallion
 from lakestrata.sources.files import read_manifest
+from lakestrata.sources.versioned import VersionedTable
 from lakestrata.streaming.ingest import ingest_stream, medallion_stream
 from tests.conftest import rows
 
 HEADER = "order_id,order_date\n"
 
 
-def test_each_file_is_ingested_once(spark, files, folder):
+def test_each_file_is_ingested_once_by_its_own_layout(spark, files, folder):
     path = files(**{"a.csv": HEADER + "1,2026-01-01\n", "n.txt": "x"})
 
     def run():
-        ingest_stream(spark, path, f"{folder}/bronze", f"{folder}/checkpoint", ["order_id", "order_date"]).awaitTermination()
-        return rows(spark.read.parquet(f"{folder}/bronze").select("order_id", "source_file"))
+        ingest_stream(spark, path, folder, f"{folder}/checkpoint").awaitTermination()
+        return rows(VersionedTable(spark, f"{folder}/bronze").read().select("order_id", "order_date", "source_file"))
 
-    assert run() == [("1", "a.csv")]
-    assert run() == [("1", "a.csv")]
-    files(**{"b.csv": HEADER + "2,2026-01-02\n3,\n"})
-    assert run() == [("1", "a.csv"), ("2", "b.csv"), ("3", "b.csv")]
-
-
-def test_foreign_header_stops_the_stream(spark, files, folder):
-    import pytest
-    path = files(**{"a.csv": "order_date,order_id\n2026-01-01,1\n"})
-    with pytest.raises(Exception):
-        ingest_stream(spark, path, f"{folder}/bronze", f"{folder}/checkpoint", ["order_id", "order_date"]).awaitTermination()
+    assert run() == [("1", "2026-01-01", "a.csv")]
+    assert run() == [("1", "2026-01-01", "a.csv")]
+    files(**{"b.csv": "date,id,code\n2026-01-02,2,X\n,3,Y\n", "bad.json": "[", "c.csv": HEADER + "4,2026-01-04\n"})
+    assert run() == [("1", "2026-01-01", "a.csv"), ("2", "2026-01-02", "b.csv"), ("3", None, "b.csv"), ("4", "2026-01-04", "c.csv")]
+    assert rows(VersionedTable(spark, f"{folder}/bronze").read().where("order_id < 3").select("order_id", "code")) == [("1", None), ("2", "X")]
+    issues = VersionedTable(spark, f"{folder}/issues").read()
+    assert rows(issues.select("source_file")) == [("bad.json",), ("n.txt",)]
 
 
 def test_micro_batches_fill_the_layers(spark, files, folder):
-    path = files(**{"a.csv": HEADER + "1,2026-01-01\n,2026-01-01\n", "z [1].csv": HEADER + "7,2026-01-01\n"})
+    path = files(**{"a.csv": HEADER + "1,2026-01-01\n,2026-01-01\n", "z [1].csv": HEADER + "7,2026-01-01\n", "zero.csv": ""})
 
     def run():
         medallion_stream(spark, path, folder, f"{folder}/checkpoint").awaitTermination()
@@ -38,7 +35,7 @@ def test_micro_batches_fill_the_layers(spark, files, folder):
     files(**{"b.csv": "id,date,discount_code\n1,2026-02-01,X\n2,2026-02-01,Y\n", "bad.json": "["})
     assert run() == ([("1",), ("2",), ("7",)], 1)
     assert run() == ([("1",), ("2",), ("7",)], 1)
-    assert read_manifest(spark, f"{folder}/manifest").count() == 4
+    assert read_manifest(spark, f"{folder}/manifest").count() == 5
 
 
 def test_lost_stream_state_does_not_duplicate(spark, files, folder):
@@ -47,3 +44,13 @@ def test_lost_stream_state_does_not_duplicate(spark, files, folder):
         medallion_stream(spark, path, folder, f"{folder}/{checkpoint}").awaitTermination()
     m = Medallion(spark, folder)
     assert m.silver.read().count() == 1 and m.quarantine.read().count() == 1
+
+
+def test_two_streams_into_one_medallion(spark, files, folder, tmp_path):
+    one = files(**{"a.csv": HEADER + "1,2026-01-01\n"})
+    two = tmp_path / "two"
+    two.mkdir()
+    (two / "b.csv").write_text(HEADER + "2,2026-01-01\n")
+    medallion_stream(spark, one, folder, f"{folder}/one").awaitTermination()
+    medallion_stream(spark, str(two), folder, f"{folder}/two").awaitTermination()
+    assert rows(Medallion(spark, folder).silver.read().select("order_id")) == [("1",), ("2",)]
