@@ -137,15 +137,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     sized = stored(sizes(docs, id_col, text_col, source_col), "mix-sizes")
     whole = ["id", "source", "key"]
-    timed = copies(plan_mix(sized)).groupBy(*whole).agg(F.collect_list("position").alias("__times"))
-    marked = docs.withColumn("__key", F.xxhash64(F.col(text_col)))
+    timed = copies(plan_mix(sized)).groupBy(*[F.col(c).alias(f"__{c}") for c in whole]).agg(
+        F.collect_list("position").alias("__times"))
+    marked = docs.withColumn("__text_key", F.xxhash64(F.col(text_col)))
     if not sized.groupBy(*whole).count().where("count > 1").isEmpty():
-        marked = marked.dropDuplicates([id_col, source_col, "__key"])
+        marked = marked.dropDuplicates([id_col, source_col, "__text_key"])
     joined = marked.join(
-        timed, F.col(id_col).eqNullSafe(timed["id"]) & F.col(source_col).eqNullSafe(timed["source"])
-        & (F.col("__key") == timed["key"]))
-    columns = [docs[f"`{c}`"] for c in docs.columns]
-    return joined.select(*columns, F.explode("__times").alias("__time")).orderBy("__time").drop("__time")
+        timed, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source"))
+        & (F.col("__text_key") == F.col("__key")))
+    due_rows = joined.withColumn("__time", F.explode("__times")).orderBy("__time")
+    return due_rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""
