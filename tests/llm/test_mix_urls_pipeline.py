@@ -100,7 +100,7 @@ URLS = [
     None, "", "no scheme", "http://", "HTTP://WWW.Example.ORG/es/1", "https://example.org/es", "https://example.org/es/x?y#z",
     "https://a.example.org/en/1999", "https://a.example.org/en/2", "https://notexample.org/es/1", "https://x.com/fr/1",
     "https://com/de/5", "https://x.com/de?a=/de/", "https://y.net/fr/1", "https://free-bets.example.net/en/24",
-    "https://garden.example.net/en/24#top", "ftp://h?x", "http://h#y", "https://org", "https://adult-x.example.net/en/31"]
+    "https://garden.example.net/en/24#top", "ftp://h?x", "http://h#y", "https://org", "https://adult-x.example.com/en/31"]
 
 
 def _rule(url):
