@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.frames import fresh, remainder, table
+from lakestrata.llm.frames import fresh, remainder, stored, table
 from lakestrata.llm.tokens import text_bytes
 
 ORDER = 3
@@ -24,6 +24,8 @@ ORDER = 3
 SAMPLE_DOCS = 400
 #: Contexts of two and more bytes are kept if the sample has them so often, in any language.
 LEAST_SEEN = 2
+#: So many ids of the sample are sent to all tasks at most; more are joined by shuffling.
+TOLD = 100_000
 UNDETERMINED = "und"
 #: Bytes scored at once, which bounds the memory of a task whatever the lengths of the texts.
 BLOCK = 1 << 20
@@ -35,7 +37,9 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
         F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
     picked = labelled.select("lang", "id").withColumn("place", F.row_number().over(order))
-    picked = picked.where(F.col("place") <= per_language).select("lang", "id").distinct()
+    picked = stored(picked.where(F.col("place") <= per_language).select("lang", "id").distinct(), "language-sample")
+    if picked.count() <= TOLD:  # few ids find their texts where they lie
+        picked = F.broadcast(picked)
     return labelled.join(picked, ["lang", "id"], "left_semi").select("lang", "text")
 
 
