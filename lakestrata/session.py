@@ -42,7 +42,7 @@ def build_session(app_name: str = "lakestrata", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    In local mode, where the tasks run inside the driver, an unset name is set here. On a cluster it is an error.
+    In local mode, where the tasks run inside the driver, there is a default. On a cluster it must be set.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
@@ -50,7 +50,6 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
         named = f"{LOCAL_WORK}/{context.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 

@@ -1,5 +1,6 @@
 """Writers of input files for the queries."""
 
+import time
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -9,6 +10,10 @@ from pyspark.sql import functions as F
 from lakestrata.sources.storage import open_output
 
 
+#: Seconds spent on writing input files, which a benchmark leaves out.
+spent = 0.0
+
+
 def write_named_files(lines: DataFrame, folder: str) -> int:
     """Write (file_name, seq, line) as text files of those names; returns their number.
 
@@ -30,9 +35,13 @@ def write_named_files(lines: DataFrame, folder: str) -> int:
             stream.close()
         yield pd.DataFrame({"files": [written]})
 
+    global spent
+    start = time.perf_counter()
     gathered = lines.select("file_name", "seq", "line").repartition("file_name")
     done = gathered.sortWithinPartitions("file_name", "seq").mapInPandas(write, "files bigint")
-    return done.agg(F.sum("files").alias("n")).first()["n"]
+    written = done.agg(F.sum("files").alias("n")).first()["n"]
+    spent += time.perf_counter() - start
+    return written
 
 
 def json_array_lines(
