@@ -35,8 +35,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
     """``lang, text`` of at most ``per_language`` documents a language; rows without text or language are left out."""
     labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    picked = labelled.select("lang", "id").withColumn("place", F.row_number().over(order))
+    drawn = labelled.select("lang", "id", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1).alias("draw"))
+    # of a language with many documents only those with a small draw can be among the first
+    sizes = drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    drawn = drawn.join(sizes, "lang").where(F.col("draw") / F.lit(2.0 ** 63) < F.lit(4.0 * per_language) / F.col("size"))
+    order = Window.partitionBy("lang").orderBy("draw", "id")
+    picked = drawn.withColumn("place", F.row_number().over(order))
     picked = stored(picked.where(F.col("place") <= per_language).select("lang", "id").distinct(), "language-sample")
     if picked.count() <= TOLD:  # few ids find their texts where they lie
         picked = F.broadcast(picked)

@@ -20,7 +20,7 @@ WEIGHTS = (5, 2, 1)
 SLOPES = (-0.5, 0.0, 0.5)
 REPEATS = 3
 #: Documents of a source that are put in order together; a larger source has more such groups.
-GROUP = 1 << 16
+GROUP = 1 << 12
 
 
 def n_words(text: Column) -> Column:
