@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.frames import arrow_schema, remainder, stored, table
+from lakestrata.llm.frames import Scratch, arrow_schema, remainder, stored, table
 from lakestrata.llm.tokens import lower_ascii, mix, pieces, span_hashes, text_bytes, word_spans
 
 STATES, CLASSES, PASSES = 6, 256, 4
@@ -263,11 +263,15 @@ def score_texts(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
         held_out.alias("held_out"), F.col(text_col).alias("text"))
     blocks = stored(texts.mapInArrow(_blocks(), _BLOCKS), "lm-blocks")
-    entries = blocks.select("block", "hashes", "counts", "kinds").mapInArrow(
-        _dictionaries, "block long, place int, hash long, n long, kind int")
-    entries = stored(entries, "lm-dictionaries")
-    vocabulary = stored(entries.groupBy("hash", "kind").agg(F.sum("n").alias("n")).where("n > 0"), "lm-counts")
-    by_class = vocabulary.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    with Scratch(spark, "lm-counts") as work:
+        entries = work.table(blocks.select("block", "hashes", "counts", "kinds").mapInArrow(
+            _dictionaries, "block long, place int, hash long, n long, kind int"), "dictionaries")
+        vocabulary = entries.groupBy("hash", "kind").agg(F.sum("n").alias("n")).where("n > 0")
+        vocabulary = work.table(vocabulary, "vocabulary")
+        by_class = vocabulary.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+        back = entries.join(vocabulary, ["hash", "kind"], "left").select(
+            "block", "place", F.coalesce(vocabulary["n"], F.lit(0)).alias("n"))
+        packed = stored(back.groupBy("block").applyInPandas(_pack, "of_block long, known binary"), "lm-known")
     n_ends = docs.where(~held_out).count()
     of_class, words_of_class = np.zeros(CLASSES), np.zeros(CLASSES)
     for row in by_class:
@@ -278,9 +282,6 @@ def score_texts(
     frequency[0] = n_ends
     if params is None:
         params = baum_welch(blocks, Params.start(states, CLASSES, frequency), passes)
-    back = entries.join(vocabulary, ["hash", "kind"], "left").select(
-        "block", "place", F.coalesce(vocabulary["n"], F.lit(0)).alias("n"))
-    packed = stored(back.groupBy("block").applyInPandas(_pack, "of_block long, known binary"), "lm-known")
     shared = spark.sparkContext.broadcast((params, n_train, n_kinds, n_ends, of_class, words_of_class))
     joined = blocks.join(packed, F.col("block") == F.col("of_block"), "left")
     scores = joined.select("docs", "held_out", "ends", "classes", "words", "known").mapInArrow(_score(shared), _SCORED)
