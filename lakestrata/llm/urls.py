@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm.frames import lower_ascii, table
+from lakestrata.session import work_folder
 
 #: (verdict, host and the beginning of the path). A rule holds for the host and all of its subdomains.
 RULES = (
@@ -121,7 +122,11 @@ def train(spark: SparkSession, labelled: tuple = LABELLED, buckets: int = BUCKET
     urls = spark.createDataFrame([(u, float(y)) for u, y in labelled], "url string, label double")
     host, path = url_parts(F.col("url"))
     rows = features(urls.select(host.alias("host"), path.alias("path"), "label").coalesce(1), buckets)
-    return LogisticRegression(regParam=0.01, maxIter=50, standardization=False).fit(rows)
+    fitted = LogisticRegression(regParam=0.01, maxIter=50, standardization=False).fit(rows)
+    # a fitted model drags its training summary, and with it the session, into every task; a stored one does not
+    path = work_folder(spark, "url-model")
+    fitted.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def judge_urls(

@@ -140,6 +140,16 @@ def test_rules_and_the_model_for_the_rest(spark, model):
     assert urls.judge_urls(empty, model).count() == 0
 
 
+def test_model_works_in_a_session_that_observes_metrics(spark, model):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    pages = spark.createDataFrame([(1, "https://h.example.net/en/1")], "page_id long, url string")
+    assert urls.judge_urls(pages, urls.train(spark)).count() == urls.judge_urls(pages, model).count() == 1
+    assert len(urls.judge_urls(pages, urls.train(spark)).collect()) == 1
+
+
 def test_model_learns_its_table_and_tells_hosts_apart(spark, model):
     table = spark.createDataFrame([(u, y) for u, y in urls.LABELLED], "url string, label int")
     rows = urls.judge_urls(table, model, rules=()).collect()
