@@ -266,11 +266,12 @@ def score_texts(
     with Scratch(spark, "lm-counts") as work:
         entries = work.table(blocks.select("block", "hashes", "counts", "kinds").mapInArrow(
             _dictionaries, "block long, place int, hash long, n long, kind int"), "dictionaries")
-        vocabulary = entries.groupBy("hash", "kind").agg(F.sum("n").alias("n")).where("n > 0")
+        vocabulary = entries.groupBy("hash").agg(F.sum("n").alias("n"), F.min("kind").alias("kind")).where("n > 0")
         vocabulary = work.table(vocabulary, "vocabulary")
         by_class = vocabulary.groupBy("kind").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
-        back = entries.join(vocabulary, ["hash", "kind"], "left").select(
-            "block", "place", F.coalesce(vocabulary["n"], F.lit(0)).alias("n"))
+        known = vocabulary.select("hash", F.col("n").alias("known"))
+        back = entries.select("block", "place", "hash").join(known, "hash", "left").select(
+            "block", "place", F.coalesce("known", F.lit(0)).alias("n"))
         packed = stored(back.groupBy("block").applyInPandas(_pack, "of_block long, known binary"), "lm-known")
     n_ends = docs.where(~held_out).count()
     of_class, words_of_class = np.zeros(CLASSES), np.zeros(CLASSES)
