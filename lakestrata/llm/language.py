@@ -20,11 +20,11 @@ from lakestrata.llm.frames import fresh, remainder, stored, table
 from lakestrata.llm.tokens import text_bytes
 
 ORDER = 3
-#: The classifier is fitted on at most so many whole documents of each language, drawn by a hash of the id.
+#: The classifier is fitted on at most so many whole documents of each language, drawn by a hash of id and text.
 SAMPLE_DOCS = 400
 #: Contexts of two and more bytes are kept if the sample has them so often, in any language.
 LEAST_SEEN = 2
-#: So many ids of the sample are sent to all tasks at most; more are joined by shuffling.
+#: So many keys of the sample are sent to all tasks at most; more are joined by shuffling.
 TOLD = 100_000
 UNDETERMINED = "und"
 #: Bytes scored at once, which bounds the memory of a task whatever the lengths of the texts.
@@ -32,19 +32,25 @@ BLOCK = 1 << 20
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = SAMPLE_DOCS) -> DataFrame:
-    """``lang, text`` of at most ``per_language`` documents a language; rows without text or language are left out."""
+    """``lang, text`` of at most ``per_language`` documents a language; rows without text or language are left out.
+
+    Documents are told apart by id and text together, so null ids and repeated ids are as good as any other;
+    rows that are equal in both are one document.
+    """
     labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    drawn = labelled.select("lang", "id", F.shiftrightunsigned(F.xxhash64(F.col("id").cast("string")), 1).alias("draw"))
+        F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("key"),
+        F.col(text_col).alias("text"))
+    drawn = labelled.select("lang", "key").distinct().withColumn("draw", F.shiftrightunsigned("key", 1))
     # of a language with many documents only those with a small draw can be among the first
     sizes = drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     drawn = drawn.join(sizes, "lang").where(F.col("draw") / F.lit(2.0 ** 63) < F.lit(4.0 * per_language) / F.col("size"))
-    order = Window.partitionBy("lang").orderBy("draw", "id")
+    order = Window.partitionBy("lang").orderBy("draw", "key")
     picked = drawn.withColumn("place", F.row_number().over(order))
-    picked = stored(picked.where(F.col("place") <= per_language).select("lang", "id").distinct(), "language-sample")
-    if picked.count() <= TOLD:  # few ids find their texts where they lie
+    picked = stored(picked.where(F.col("place") <= per_language).select("lang", "key"), "language-sample")
+    if picked.count() <= TOLD:  # few keys find their texts where they lie
         picked = F.broadcast(picked)
-    return labelled.join(picked, ["lang", "id"], "left_semi").select("lang", "text")
+    found = labelled.join(picked, ["lang", "key"], "left_semi")
+    return found.dropDuplicates(["lang", "key"]).select("lang", "text")
 
 
 def count_contexts(order: int):

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from lakestrata.llm import anchors, exact, hmm, hosts, jaccard, language, passages, pieces, substrings, tokens
 
@@ -452,3 +453,15 @@ def test_encoding_of_tables(docs, texts, none, vocabulary):
     lengths = {r.doc_id: len(r.ids) for r in encoded.collect()}
     assert all(lengths[r.doc_id] == r.n_tokens for r in tripped)
     assert pieces.encode(none, vocabulary).count() == 0 and pieces.round_trip(none, vocabulary).count() == 0
+
+
+def test_language_sample_of_null_and_repeated_ids(spark):
+    rows = [(None if i % 3 == 0 else i // 2, f"the text number {i}", "en" if i % 2 else "de") for i in range(60)]
+    df = spark.createDataFrame([*rows, *rows[:9]], "doc_id long, text string, lang string")
+    for size in (3, 1000):
+        got = language.sample(df, "doc_id", "text", "lang", size).collect()
+        assert Counter(r.lang for r in got) == {"en": min(size, 30), "de": min(size, 30)}
+        assert {(r.text, r.lang) for r in got} <= {(t, x) for _, t, x in rows} and len({r.text for r in got}) == len(got)
+    nobody = df.withColumn("doc_id", F.lit(None).cast("long"))
+    assert language.sample(nobody, "doc_id", "text", "lang", 5).count() == 10
+    assert language.train(nobody).languages == ["de", "en"]
