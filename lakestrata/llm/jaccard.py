@@ -343,14 +343,13 @@ def region_edges(texts: DataFrame, each: DataFrame, width: int, percent: int, wo
     return starred.unionByName(pairs.select(F.col("short_1").alias("short"), F.col("short_2").alias("other"))).distinct()
 
 
-def similar_groups(
+def grouped_rows(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT,
     limit: int = REGION_SHINGLES,
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+    """One row per document: ``id, key, size, component, component_id``; ``key`` is a hash of the text.
 
-    Null, empty and blank texts have the empty set and are linked with nothing. Rows that repeat an id are
-    told apart only by their text; a null id is never a component's id unless all of its ids are null.
+    ``component`` tells groups apart whatever their ids are; it is null for texts without words.
     """
     spark = docs.sparkSession
     texts = docs.select(
@@ -376,18 +375,39 @@ def similar_groups(
         "component", F.coalesce("component", "node"))
     named = stored(named, "linked-classes")
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    own = named.join(least, "component").select("digest", "component_id")
-    return each.join(own, "digest", "left").select(
+    own = named.join(least, "component").select("digest", "component", "component_id")
+    return each.join(own, "digest", "left").select("id", "key", "size", "component", "component_id")
+
+
+def similar_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: int = PERCENT,
+    limit: int = REGION_SHINGLES,
+) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``.
+
+    Null, empty and blank texts have the empty set and are linked with nothing. Rows that repeat an id are
+    told apart only by their text; a null id is never a component's id unless all of its ids are null.
+    """
+    return grouped_rows(docs, id_col, text_col, width, percent, limit).select(
         F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                 percent: int = PERCENT) -> DataFrame:
-    """The document with the smallest id of each component, whole and once; documents without words all stay."""
-    groups = similar_groups(docs, id_col, text_col, width, percent)
-    kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    found = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    """The document with the smallest id of each component, whole and once; documents without words all stay.
+
+    Documents are told apart by id and text: a null id comes after all others, and of equal ids the text with the
+    smallest hash stays. Rows that are equal in both are one document.
+    """
+    rows = grouped_rows(docs, id_col, text_col, width, percent)
+    # the smallest id of a group is null only if all are, so that nulls are last
+    least = rows.where("component IS NOT NULL AND id <=> component_id").groupBy("component").agg(
+        F.min("component_id").alias("id"), F.min("key").alias("key"))
+    kept = least.select("id", "key").unionByName(rows.where("component IS NULL").select("id", "key").distinct())
+    kept = kept.select(F.col("id").alias("__kept"), F.col("key").alias("__key"))
+    found = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept"))
+                      & (F.xxhash64(F.col(text_col)) == F.col("__key")), "left_semi")
     return found.dropDuplicates([id_col, text_col])
 
 

@@ -465,3 +465,15 @@ def test_language_sample_of_null_and_repeated_ids(spark):
     nobody = df.withColumn("doc_id", F.lit(None).cast("long"))
     assert language.sample(nobody, "doc_id", "text", "lang", 5).count() == 10
     assert language.train(nobody).languages == ["de", "en"]
+
+
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    groups = [[" ".join(f"{g}w{i}" for i in range(60)) + end for end in ("", " one", " two")] for g in "abcd"]
+    ids = [(None, 5, 9), (None, None, None), (5, 5, 7), (None, 8, None)]
+    rows = [(i, t) for texts, own in zip(groups, ids) for i, t in zip(own, texts)]
+    df = spark.createDataFrame([*rows, *rows, (None, None), (None, ""), (3, " ")], "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in jaccard.one_of_each(df).collect()]
+    words = [(i, t) for i, t in kept if words_of(t)]
+    assert sorted(t[0] for _, t in words) == list("abcd") and len(kept) == 7
+    assert {t[0]: i for i, t in words} == {"a": 5, "b": None, "c": 5, "d": 8}
+    assert set(kept) - set(words) == {(None, None), (None, ""), (3, " ")}
