@@ -1,6 +1,7 @@
 """The queries of this subpackage and, where SQL can express them, the same in DuckDB's SQL."""
 
-from lakestrata.llm import exact, hmm, hosts, jaccard, language, mixing, passages, pieces, substrings, urls
+from lakestrata.llm import (
+    codes, exact, hmm, hosts, jaccard, language, merkle, mixing, passages, pieces, secrets, substrings, urls)
 
 QUERIES = {
     "op1_source_mix": mixing.query,
@@ -13,6 +14,9 @@ QUERIES = {
     "op8_sentencepiece": pieces.query,
     "op9_exact_dedup": exact.query,
     "op10_passage_dedup": passages.query,
+    "op11_merkle_manifest": merkle.query,
+    "op12_secret_scan": secrets.query,
+    "op13_vector_codes": codes.query,
 }
 ORACLES = {
     "op1_source_mix": mixing.ORACLE,
@@ -20,4 +24,7 @@ ORACLES = {
     "op6_jaccard_join": jaccard.ORACLE,
     "op9_exact_dedup": exact.ORACLE,
     "op10_passage_dedup": passages.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
+    "op12_secret_scan": secrets.ORACLE,
+    "op13_vector_codes": codes.ORACLE,
 }
