@@ -39,6 +39,17 @@ def fresh(name: str, taken: Sequence[str]) -> str:
     return name
 
 
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns called ``c0``, ``c1`` and on, so that added ones cannot clash, and these names by the old."""
+    named = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.select(*[F.col(f"`{c}`").alias(new) for c, new in named.items()]), named
+
+
+def given_names(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns that ``plain_names(like)`` gave names to, under their own names again; no others."""
+    return df.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(like.columns)])
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

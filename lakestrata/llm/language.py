@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.frames import fresh, remainder, stored, table
+from lakestrata.llm.frames import Scratch, fresh, given_names, plain_names, remainder, stored, table
 from lakestrata.llm.tokens import text_bytes
 
 ORDER = 3
@@ -29,13 +29,17 @@ TOLD = 100_000
 UNDETERMINED = "und"
 #: Bytes scored at once, which bounds the memory of a task whatever the lengths of the texts.
 BLOCK = 1 << 20
+#: Bytes of the sample that a task counts.
+COUNTED = 16 << 20
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = SAMPLE_DOCS) -> DataFrame:
+def sample(
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = SAMPLE_DOCS, keep=stored,
+) -> DataFrame:
     """``lang, text`` of at most ``per_language`` documents a language; rows without text or language are left out.
 
     Documents are told apart by id and text together, so null ids and repeated ids are as good as any other;
-    rows that are equal in both are one document.
+    rows that are equal in both are one document. ``keep`` writes a work table.
     """
     labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("key"),
@@ -46,7 +50,7 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
     drawn = drawn.join(sizes, "lang").where(F.col("draw") / F.lit(2.0 ** 63) < F.lit(4.0 * per_language) / F.col("size"))
     order = Window.partitionBy("lang").orderBy("draw", "key")
     picked = drawn.withColumn("place", F.row_number().over(order))
-    picked = stored(picked.where(F.col("place") <= per_language).select("lang", "key"), "language-sample")
+    picked = keep(picked.where(F.col("place") <= per_language).select("lang", "key"), "language-sample")
     if picked.count() <= TOLD:  # few keys find their texts where they lie
         picked = F.broadcast(picked)
     found = labelled.join(picked, ["lang", "key"], "left_semi")
@@ -54,23 +58,34 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
 
 
 def count_contexts(order: int):
-    """A task function: (lang, text) to how often each byte follows each context."""
+    """A task function: (lang, text) to how often each byte follows each context, summed over all batches."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
-            for lang in sorted(set(langs)):
+            for lang in set(langs):
                 data, offsets = text_bytes(batch.column(1).filter(pa.array(langs == lang)))
                 place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
                 code = np.zeros(len(data), np.int64)
                 for k in range(order + 1):
                     code[k:] += data[:len(data) - k].astype(np.int64) << (8 * k)
-                    codes, n = np.unique(code[place >= k], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(codes)), pa.array(np.full(len(codes), k, np.int32)),
-                         pa.array(codes), pa.array(n.astype(np.int64))], ["lang", "depth", "code", "n"])
+                    found = np.unique(code[place >= k], return_counts=True)
+                    held[lang, k] = _added(held[lang, k], found) if (lang, k) in held else found
+        for (lang, k), (codes, n) in sorted(held.items()):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(codes)), pa.array(np.full(len(codes), k, np.int32)),
+                 pa.array(codes), pa.array(n.astype(np.int64))], ["lang", "depth", "code", "n"])
     return count
 
 
+def _added(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of two sorted lists of codes, as one."""
+    codes, place = np.unique(np.concatenate([one[0], two[0]]), return_inverse=True)
+    n = np.zeros(len(codes), np.int64)
+    np.add.at(n, place, np.concatenate([one[1], two[1]]))
+    return codes, n
+
+
 @dataclass
 class Model:
     """What tasks need: byte classes, the node of each context, and the cost of each class in each node."""
@@ -129,11 +144,20 @@ def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = SAMPLE_DOCS,
 ) -> Model:
-    """Counts contexts of a bounded sample of the labelled ``docs`` and freezes them. The label set is small."""
-    drawn = sample(docs, id_col, text_col, lang_col, per_language)
-    counts = drawn.mapInArrow(count_contexts(ORDER), "lang string, depth int, code long, n long")
-    counts = counts.groupBy("lang", "depth", "code").agg(F.sum("n").alias("n"))
-    return build_model([tuple(r) for r in counts.collect()])
+    """Counts contexts of a bounded sample of the labelled ``docs`` and freezes them. The label set is small.
+
+    As many tasks count as the sample has bytes for, however many hold a piece of it, so that the number of counts
+    follows the sample alone.
+    """
+    with Scratch(docs.sparkSession, "language-texts") as work:
+        drawn = work.table(sample(docs, id_col, text_col, lang_col, per_language, work.table), "drawn")
+        return build_model([tuple(r) for r in _counts(drawn).collect()])
+
+
+def _counts(drawn: DataFrame) -> DataFrame:
+    size = drawn.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counts = drawn.coalesce(size // COUNTED + 1).mapInArrow(count_contexts(ORDER), "lang string, depth int, code long, n long")
+    return counts.groupBy("lang", "depth", "code").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -215,8 +239,6 @@ def keep_known_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The documents in one of the learned languages; the rest (no letter, or nothing like them) go."""
     held_out = remainder(id_col, 4) == 2
     model = train(docs.where(~held_out), id_col, text_col, lang_col)
-    names = docs.columns
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    judged = predict(inner, model, f"c{names.index(text_col)}")
-    return judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("bits") <= REJECT_BITS)).select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    inner, named = plain_names(docs)
+    judged = predict(inner, model, named[text_col])
+    return given_names(judged.where((F.col("lang_pred") != UNDETERMINED) & (F.col("bits") <= REJECT_BITS)), docs)

@@ -477,3 +477,18 @@ def test_one_of_each_with_null_and_repeated_ids(spark):
     assert sorted(t[0] for _, t in words) == list("abcd") and len(kept) == 7
     assert {t[0]: i for i, t in words} == {"a": 5, "b": None, "c": 5, "d": 8}
     assert set(kept) - set(words) == {(None, None), (None, ""), (3, " ")}
+
+
+def test_contexts_are_counted_once_per_task_in_tasks_that_follow_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text number {i} " * 3, "en" if i % 2 else "de") for i in range(60)],
+                                 "doc_id long, text string, lang string").repartition(30)
+    drawn = language.stored(language.sample(docs, "doc_id", "text", "lang", 400), "drawn")
+    counted = drawn.coalesce(1).mapInArrow(language.count_contexts(3), "lang string, depth int, code long, n long")
+    assert counted.count() == counted.select("lang", "depth", "code").distinct().count()
+    want = Counter()
+    for r in drawn.collect():
+        data = r.text.encode()
+        for k in range(4):
+            want.update((r.lang, k, int.from_bytes(data[i - k:i + 1], "big")) for i in range(k, len(data)))
+    got = {(r.lang, r.depth, r.code): r.n for r in language._counts(drawn).collect()}
+    assert got == want
