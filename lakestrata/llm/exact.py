@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.frames import stored, without_spaces
+from lakestrata.llm.frames import given_names, plain_names, stored, without_spaces
 
 #: Counters per Misra-Gries summary. Every digest of at least ``2 / COUNTERS`` of all rows is found, and no
 #: more than ``COUNTERS`` digests are ever broadcast.
@@ -94,14 +94,15 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows that repeat both the id and the text are one document: the first that Spark meets stays.
     """
-    groups = exact_groups(docs, id_col, text_col, counters).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__digest"))
-    digest = F.sha2(without_spaces(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
-    marked = docs.withColumn("__digest_of", digest)
-    kept = marked.join(
-        groups, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest_of") == F.col("__digest")),
+    kept = exact_groups(docs, id_col, text_col, counters).where("kept").select(
+        F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_digest"))
+    inner, named = plain_names(docs)
+    text = F.coalesce(F.col(named[text_col]), F.lit(""))
+    marked = inner.withColumn("digest", F.sha2(without_spaces(text).cast("binary"), 256))
+    found = marked.join(
+        kept, F.col(named[id_col]).cast("long").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")),
         "left_semi")
-    return kept.dropDuplicates([id_col, "__digest_of"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return given_names(found.dropDuplicates([named[id_col], "digest"]), docs)
 
 
 ORACLE = r"""

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.components import components
-from lakestrata.llm.frames import Scratch, arrow_schema, stored, table
+from lakestrata.llm.frames import Scratch, arrow_schema, given_names, plain_names, stored, table
 from lakestrata.llm.tokens import lower_ascii, mix, pieces, span_hashes, text_bytes, window_hashes, word_spans
 
 SHINGLE = 5
@@ -405,17 +405,17 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = rows.where("component IS NOT NULL AND id <=> component_id").groupBy("component").agg(
         F.min("component_id").alias("id"), F.min("key").alias("key"))
     kept = least.select("id", "key").unionByName(rows.where("component IS NULL").select("id", "key").distinct())
-    kept = kept.select(F.col("id").alias("__kept"), F.col("key").alias("__key"))
-    found = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept"))
-                      & (F.xxhash64(F.col(text_col)) == F.col("__key")), "left_semi")
-    return found.dropDuplicates([id_col, text_col])
+    kept = kept.select(F.col("id").alias("kept_id"), F.col("key").alias("kept_key"))
+    inner, named = plain_names(docs)
+    found = inner.join(kept, F.col(named[id_col]).cast("long").eqNullSafe(F.col("kept_id"))
+                       & (F.xxhash64(F.col(named[text_col])) == F.col("kept_key")), "left_semi")
+    return given_names(found.dropDuplicates([named[id_col], named[text_col]]), docs)
 
 
 ORACLE = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
-]+') AS w FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
   FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM words WHERE len(w) > 0)),

@@ -12,7 +12,7 @@ ranges, gives the training order.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.frames import stored, table
+from lakestrata.llm.frames import given_names, plain_names, stored, table
 from lakestrata.llm.tokens import WORD
 
 WEIGHTS = (5, 2, 1)
@@ -137,16 +137,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     sized = stored(sizes(docs, id_col, text_col, source_col), "mix-sizes")
     whole = ["id", "source", "key"]
-    timed = copies(plan_mix(sized)).groupBy(*[F.col(c).alias(f"__{c}") for c in whole]).agg(
-        F.collect_list("position").alias("__times"))
-    marked = docs.withColumn("__text_key", F.xxhash64(F.col(text_col)))
+    timed = copies(plan_mix(sized)).groupBy(*[F.col(c).alias(f"due_{c}") for c in whole]).agg(
+        F.collect_list("position").alias("times"))
+    inner, named = plain_names(docs)
+    marked = inner.withColumn("text_key", F.xxhash64(F.col(named[text_col])))
     if not sized.groupBy(*whole).count().where("count > 1").isEmpty():
-        marked = marked.dropDuplicates([id_col, source_col, "__text_key"])
+        marked = marked.dropDuplicates([named[id_col], named[source_col], "text_key"])
     joined = marked.join(
-        timed, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source"))
-        & (F.col("__text_key") == F.col("__key")))
-    due_rows = joined.withColumn("__time", F.explode("__times")).orderBy("__time")
-    return due_rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+        timed, F.col(named[id_col]).eqNullSafe(F.col("due_id")) & F.col(named[source_col]).eqNullSafe(F.col("due_source"))
+        & (F.col("text_key") == F.col("due_key")))
+    return given_names(joined.withColumn("time", F.explode("times")).orderBy("time"), docs)
 
 
 ORACLE = r"""
