@@ -15,9 +15,9 @@ from lakestrata.operators.gold import gold_daily
 from lakestrata.plans.live import examine, read_files
 from lakestrata.session import Workspace
 from lakestrata.sources import files as files_
-from lakestrata.sources.storage import delete_folder, list_folder
+from lakestrata.sources.daily import DailyGold
+from lakestrata.sources.runs import KeyedTable, RunTable
 from lakestrata.sources.tabular import POSITION
-from lakestrata.sources.versioned import VersionedTable
 
 # Staged columns that are not data of the file.
 _ADDED = [*POSITION, "source_file", "rejection_reason", "ingestion_timestamp", "quarantined"]
@@ -27,25 +27,29 @@ BATCH_RULES = (*rules_.REJECTION_RULES, *rules_.conversion_rules())
 class Medallion:
     """The tables of one medallion below a root folder.
 
-    A run claims its files before it writes anything, and records their dispositions when all is written. A run
-    that died left an open claim; the next one finishes it first, with the same files under the same name, and
-    a table that has a commit of that name is left as it is. So every row arrives once. One run at a time.
+    A run writes its rows under a name of its own into each layer, and records the dispositions of its files last, in
+    one file. Only recorded runs are in any reading, so a run that died has changed nothing; its files are taken again
+    by the next one. A run reads the keys of silver that lie in the range of its own, and of gold the days it
+    touches; its work grows with what is new. One run at a time.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.bronze, self.quarantine, self.validated, self.silver, self.gold = (
-            VersionedTable(spark, f"{self.root}/{layer}") for layer in const.LAYERS)
+    def __init__(self, spark: SparkSession, root: str, key: str = "order_id", buckets: int = 32):
+        self.spark, self.root, self.key = spark, root.rstrip("/"), key
         self.manifest = f"{self.root}/manifest"
-        self.claims = f"{self.root}/claims"
+        self.bronze, self.quarantine, self.validated = (
+            RunTable(spark, f"{self.root}/{layer}", self.recorded) for layer in const.LAYERS[:3])
+        self.silver = KeyedTable(spark, f"{self.root}/{const.LAYERS[3]}", key, buckets, self.recorded)
+        self.gold = DailyGold(spark, f"{self.root}/{const.LAYERS[4]}", self.recorded)
+
+    def recorded(self) -> DataFrame:
+        """The runs whose rows count."""
+        return files_.read_manifest(self.spark, self.manifest).select("run").distinct()
 
     def run(
         self,
         input_path: str | list[str],
         rules: Sequence[rules_.Rule] = BATCH_RULES,
         fill: Mapping[str, float] | None = None,
-        key: str = "order_id",
         order_by: Sequence[str] | None = None,
         required: Sequence[str] = const.REQUIRED_COLUMNS,
         ratio: float = const.GATE_RATIO,
@@ -56,65 +60,31 @@ class Medallion:
 
         ``input_path`` is a folder, or a list of file names. A file is known by path, size and time.
         """
-        def finish(run: str, files: DataFrame, resumed: bool) -> None:
-            with Workspace(self.spark, "medallion") as work:
-                self._finish(run, files, resumed, work, rules, fill, key, order_by, required, ratio, ragged, multi_line)
-            delete_folder(self.spark, self._claim_folder(run))
-
-        runs = []
-        for run, claimed in self.open_claims():
-            finish(run, claimed, True)
-            runs.append(run)
         listed = (files_.list_files(self.spark, input_path) if isinstance(input_path, str)
                   else files_.named_files(self.spark, input_path))
         pending = files_.pending_files(listed, files_.read_manifest(self.spark, self.manifest))
+        run = uuid.uuid4().hex
         if not pending.isEmpty():
-            run = uuid.uuid4().hex
-            finish(run, self.claim(run, pending), False)
-            runs.append(run)
-        return files_.read_manifest(self.spark, self.manifest).where(F.col("run").isin(runs)).select(
+            with Workspace(self.spark, "medallion") as work:
+                self._take(run, work.table(pending, "pending"), work, rules, fill, order_by, required, ratio, ragged, multi_line)
+        return files_.read_manifest(self.spark, self.manifest).where(F.col("run") == run).select(
             *files_.FILE_KEY, "disposition", "reason")
 
-    # --- claims ---
-
-    def _claim_folder(self, run: str) -> str:
-        return f"{self.claims}/run={run}"
-
-    def claim(self, run: str, files: DataFrame) -> DataFrame:
-        """Record that a run takes these files, and return them as recorded."""
-        files.write.parquet(self._claim_folder(run))
-        return self.spark.read.schema(files.schema).parquet(self._claim_folder(run))
-
-    def open_claims(self) -> list[tuple[str, DataFrame]]:
-        """Runs that have not ended, with their files. A claim that was not written whole has changed nothing yet."""
-        found = []
-        for info in list_folder(self.spark, self.claims):
-            parts = {part.path.rsplit("/", 1)[-1] for part in list_folder(self.spark, info.path)}
-            if "_SUCCESS" in parts:
-                found.append((info.path.rsplit("run=", 1)[1], self.spark.read.parquet(info.path)))
-            else:
-                delete_folder(self.spark, info.path)
-        return found
+    def vacuum(self) -> list[str]:
+        """Delete what runs that died have left; returns their names."""
+        tables = (self.bronze, self.quarantine, self.validated, self.silver)
+        return sorted({run for table in tables for run in table.vacuum()})
 
     # --- one run ---
 
-    def _finish(
-        self, run, files, resumed, work, rules, fill, key, order_by, required, ratio, ragged, multi_line
-    ) -> None:
-        """Everything between a claim and the dispositions.
+    def _take(self, run, files, work, rules, fill, order_by, required, ratio, ragged, multi_line) -> None:
+        """Everything between the listing and the dispositions.
 
         The readable files are parsed once into a staged table of text, split by whether a row is rejected. The
         file gate and all layers are taken from that table. Rows are judged as text and cast afterwards, so
         no value is lost before a rule has seen it. The rows of files that fail the gate are left out by an
         anti join against those few files, which is not planned at all if none fails.
         """
-        changed = files.join(files_.named_files(self.spark, [r["path"] for r in files.select("path").toLocalIterator()]
-                                                ).select(*files_.FILE_KEY), files_.FILE_KEY, "left_anti") if resumed else None
-        if changed is not None and not changed.isEmpty():
-            changed = work.table(changed, "changed")
-            files = files.join(changed.select("path"), "path", "left_anti").select(*files.columns)
-        else:
-            changed = None
         examined, records = examine(files, keep=work.table)
         header_only = F.coalesce(F.col("has_header") & ~F.col("has_more"), F.lit(False))
         readable = examined.where(F.col("issue").isNull() & ~header_only)
@@ -132,33 +102,25 @@ class Medallion:
             rejected = gate.where(F.col("reason").isNotNull()).select(F.col("path").alias("source_path"))
             if not rejected.isEmpty():
                 staged = staged.join(rejected, "source_path", "left_anti")
-            self._load(staged.drop("source_path"), fill, key, order_by, run, resumed)
-        dispositions = self._dispositions(examined, header_only, gate)
-        if changed is not None:
-            dispositions = dispositions.unionByName(changed.select(
-                *files_.FILE_KEY, F.lit("rejected").alias("disposition"), F.lit("changed").alias("reason")))
-        files_.record_dispositions(dispositions, self.manifest, run)
-
-    def _load(self, staged: DataFrame, fill, key, order_by, run: str, resumed: bool) -> None:
+            self._load(staged.drop("source_path"), fill, order_by, run)
+        files_.record_dispositions(self._dispositions(examined, header_only, gate), self.manifest, run)
+
+    def _load(self, staged: DataFrame, fill, order_by, run: str) -> None:
         if staged.isEmpty():
             return
-        self.bronze.append(staged.drop("quarantined", "rejection_reason", *POSITION), run, resumed)
+        self.bronze.write(staged.drop("quarantined", "rejection_reason", *POSITION), run)
         bad = staged.where(F.col("quarantined")).drop("quarantined", *POSITION)
         if not bad.isEmpty():
-            self.quarantine.append(bad, run, resumed)
+            self.quarantine.write(bad, run)
         good = cast_known(staged.where(~F.col("quarantined")).drop("quarantined", "rejection_reason"))
-        self.validated.append(good.drop(*POSITION), run, resumed)
+        self.validated.write(good.drop(*POSITION), run)
         # a column to be filled is there whatever files came together
         fill = {"revenue": 0.0} if fill is None else fill
         good = with_defaults(good, {name: F.lit(value) for name, value in fill.items()})
-        clean = dedup_by_key(good, key, order_by or POSITION).drop(*POSITION)
-        if self.silver.latest_version() >= 0:
-            # of all silver keys only those of this run matter
-            known = self.silver.read().select(key).join(clean.select(key), key, "left_semi")
-            clean = clean.join(known, key, "left_anti").select(*clean.columns)
-        self.silver.append(add_processing_time(fill_constant(clean, fill) if fill else clean), run, resumed)
-        silver = self.silver.read()
-        self.gold.overwrite(gold_daily(silver, as_day("order_date"), key), run, resumed)
+        clean = dedup_by_key(good, self.key, order_by or POSITION).drop(*POSITION)
+        new = self.silver.without_known(clean)
+        self.silver.write(add_processing_time(fill_constant(new, fill) if fill else new), run)
+        self.gold.apply(gold_daily(self.silver.written(run), as_day("order_date"), self.key), run)
 
     def _dispositions(self, examined: DataFrame, header_only, gate: DataFrame) -> DataFrame:
         unsupported = ~F.col("supported")

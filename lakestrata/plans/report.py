@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata import constants as const
 from lakestrata.operators.quality import LayerChecks, check_layer, quality_report
+from lakestrata.plans.batch import Medallion
+from lakestrata.sources.storage import file_info
 from lakestrata.sources.versioned import VersionedTable
 
 
 def open_layer(spark: SparkSession, path: str) -> DataFrame:
-    """A versioned table if the folder has commits, plain Parquet otherwise."""
+    """A layer of a medallion, a versioned table if the folder has commits, plain Parquet otherwise."""
+    root, _, layer = path.rstrip("/").rpartition("/")
+    if layer in const.LAYERS and file_info(spark, f"{root}/manifest") is not None:
+        return getattr(Medallion(spark, root), layer).read()
     table = VersionedTable(spark, path)
     return table.read() if table.latest_version() >= 0 else spark.read.parquet(path)
 

@@ -261,11 +261,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def record_dispositions(dispositions: DataFrame, path: str, run: str) -> None:
-    """Append the dispositions of a run, those it recorded before left out; files themselves are never moved."""
-    before = read_manifest(dispositions.sparkSession, path).where(F.col("run") == run).select("path")
-    dispositions.join(before, "path", "left_anti").select(
+    """Append the dispositions of a run as one file, so that they appear together; files themselves are never moved."""
+    dispositions.select(
         *FILE_KEY, "disposition", F.col("reason").cast("string").alias("reason"), F.lit(run).alias("run"),
-        F.current_timestamp().alias("handled_at")).write.mode("append").parquet(path)
+        F.current_timestamp().alias("handled_at")).coalesce(1).write.mode("append").parquet(path)
 
 
 def pending_files(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -1,4 +1,7 @@
-"""File streams: every new file is taken exactly once."""
+"""File streams: every new file is taken exactly once, files that hold nothing included."""
+
+import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,10 +11,9 @@ from lakestrata.plans.batch import Medallion
 from lakestrata.plans.live import examine, read_files
 from lakestrata.session import Workspace
 from lakestrata.sources import files as files_
+from lakestrata.sources.runs import RunTable
 from lakestrata.sources.tabular import POSITION
-from lakestrata.sources.versioned import VersionedTable
-
-LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+from lakestrata.streaming.arrivals import folder_stream
 
 
 def _trigger(writer, interval: str | None):
@@ -19,17 +21,33 @@ def _trigger(writer, interval: str | None):
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
-def _new_names(spark: SparkSession, input_path: str, files_per_batch: int | None) -> DataFrame:
-    """The names of new files as a stream."""
-    reader = spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(input_path).select("path")
+def _names(files: DataFrame, at_once: int | None) -> Iterator[list[str]]:
+    """The names of files in order, so many at a time, as scans need them on the driver."""
+    part: list[str] = []
+    for row in files.select("path").orderBy("path").toLocalIterator():
+        part.append(row["path"])
+        if len(part) == at_once:
+            yield part
+            part = []
+    if part:
+        yield part
+
+
+class BronzeTables:
+    """``root/bronze`` (rows as text), ``root/issues`` and ``root/handled``, the files that were taken; all by run.
+
+    A run writes ``handled`` last, in one file; rows and issues of a run that did not come so far are in no reading.
+    """
 
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.handled = spark, RunTable(spark, f"{root}/handled")
+        self.bronze, self.issues = (RunTable(spark, f"{root}/{name}", self.recorded) for name in ("bronze", "issues"))
 
-def _names(batch: DataFrame) -> list[str]:
-    """The names of one micro-batch, as a scan needs them on the driver."""
-    return [row["path"] for row in batch.toLocalIterator()]
+    def recorded(self) -> DataFrame:
+        return self.handled.runs() if self.handled.exists() else self.spark.createDataFrame([], "run string")
+
+    def new_files(self, listed: DataFrame) -> DataFrame:
+        return files_.pending_files(listed, self.handled.read()) if self.handled.exists() else listed
 
 
 def ingest_stream(
@@ -38,29 +56,32 @@ def ingest_stream(
 ) -> StreamingQuery:
     """New files into ``root/bronze`` as text, and what is wrong with files into ``root/issues``.
 
-    The stream carries names. A micro-batch reads its files by their own layouts and appends by name, so a
-    column that comes late is null before, and a file that cannot be read is an issue and stops nothing.
-    Commits bear the query's id and the batch's number, so a replayed batch adds nothing.
+    A micro-batch reads its new files by their own layouts and writes by name, so a column that comes late is null
+    before, and a file that cannot be read, or holds nothing, is an issue and stops nothing. What was taken is recorded
+    when all of it is written, so a batch that is played again takes only what is not recorded.
     """
-    bronze, issues = VersionedTable(spark, f"{root}/bronze"), VersionedTable(spark, f"{root}/issues")
+    tables = BronzeTables(spark, root)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        paths = _names(batch)
-        if not paths:
-            return
-        txn = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+    def take(paths: list[str]) -> None:
+        run = uuid.uuid4().hex
         with Workspace(spark, "ingest") as work:
-            examined, records = examine(files_.named_files(spark, paths), keep=work.table)
+            taken = work.table(files_.named_files(spark, paths), "files")
+            examined, records = examine(taken, keep=work.table)
             found = files_.file_issues(examined)
             if not found.isEmpty():
-                issues.append(found, txn)
+                tables.issues.write(found, run)
             rows = read_files(spark, examined.where(F.col("issue").isNull()), records, **options)
             if rows is not None:
-                bronze.append(rows.drop("source_path", *POSITION).withColumn(
-                    "ingestion_timestamp", F.current_timestamp()), txn)
+                tables.bronze.write(rows.drop("source_path", *POSITION).withColumn(
+                    "ingestion_timestamp", F.current_timestamp()), run)
+            tables.handled.write(taken.select(*files_.FILE_KEY).coalesce(1), run)
 
-    writer = _new_names(spark, input_path, files_per_batch).writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint)
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        listed = files_.named_files(spark, [name for part in _names(batch, None) for name in part])
+        for paths in _names(tables.new_files(listed), files_per_batch):
+            take(paths)
+
+    writer = folder_stream(spark, input_path).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 
@@ -71,19 +92,16 @@ def medallion_stream(
 ) -> StreamingQuery:
     """Each micro-batch of new files runs through the batch medallion.
 
-    The stream only carries file names; the manifest, not the stream's own state, decides which of them are new.
-    Files without content and names with an underscore give the stream no record, so those of the folder
-    that have no disposition yet are added to each micro-batch.
+    The stream only tells that the folder has changed and what it holds; the manifest, not the stream's own state,
+    decides which files are new. Every file gets a disposition, whatever its size and name.
     """
     medallion = Medallion(spark, root)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        paths = _names(batch)
-        if paths:
-            unseen = files_.list_files(spark, input_path).where(
-                (F.col("length") == 0) | F.col("file_name").startswith("_"))
-            medallion.run([*paths, *_names(unseen)], **options)
-
-    writer = _new_names(spark, input_path, files_per_batch).writeStream.foreachBatch(handle).option(
-        "checkpointLocation", checkpoint)
+        listed = files_.named_files(spark, [name for part in _names(batch, None) for name in part])
+        pending = files_.pending_files(listed, files_.read_manifest(spark, medallion.manifest))
+        for paths in _names(pending, files_per_batch):
+            medallion.run(paths, **options)
+
+    writer = folder_stream(spark, input_path).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()

@@ -20,4 +20,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from registry import (  # noqa: F401
-        columns, dedup, filelayer, gold, jobs, quality, rules, scalars, scans, streams, versions)
+        columns, dedup, filelayer, gold, increments, jobs, quality, rules, scalars, scans, streams, versions)

@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.plans.batch import Medallion
 from lakestrata.session import work_folder
-from lakestrata.sources.versioned import VersionedTable
-from lakestrata.streaming.ingest import ingest_stream, medallion_stream
+from lakestrata.streaming.ingest import BronzeTables, ingest_stream, medallion_stream
 from registry import register
 from registry.filelayer import ALL_KINDS, BATCH_SQL, medallion_tables, priced
 from registry.folder import folder_sql, write_folder
@@ -16,7 +15,9 @@ from registry.folder import folder_sql, write_folder
 SELECT order_id, CAST(customer_id AS VARCHAR) AS customer_id, product, unit_price, CAST(quantity AS VARCHAR) AS quantity,
        order_date, discount_code, source_file, TRUE AS stamped, NULL AS issue FROM all_rows
 UNION ALL SELECT DISTINCT 'CRITICAL', NULL, 'N/A', NULL, NULL, 'N/A', NULL, 'broken_' || b || '.json', FALSE,
-  'Corrupted JSON: File could not be parsed. Error: malformed record' FROM blocks WHERE copy_no = 2"""))
+  'Corrupted JSON: File could not be parsed. Error: malformed record' FROM blocks WHERE copy_no = 2
+UNION ALL SELECT DISTINCT 'EMPTY', NULL, 'N/A', NULL, NULL, 'N/A', NULL, 'empty_' || b || '.csv', FALSE,
+  'Corrupted Data: File is empty or has no rows.' FROM blocks"""))
 def stream_bronze_ingest(spark, sf_dir):
     """A first layout, then one with a further column, broken and empty files: rows and issues."""
     folder = write_folder(spark, sf_dir, ["orders", "empty"])
@@ -26,8 +27,8 @@ def stream_bronze_ingest(spark, sf_dir):
     write_folder(spark, sf_dir, ["promo", "broken"], folder)
     for _ in range(2):
         ingest_stream(spark, folder, root, checkpoint).awaitTermination()
-    rows = VersionedTable(spark, f"{root}/bronze").read()
-    issues = VersionedTable(spark, f"{root}/issues").read().withColumnRenamed("Reason", "issue")
+    tables = BronzeTables(spark, root)
+    rows, issues = tables.bronze.read(), tables.issues.read().withColumnRenamed("Reason", "issue")
     return priced(rows.withColumn("stamped", F.col("ingestion_timestamp").isNotNull()).drop("ingestion_timestamp").unionByName(
         issues.withColumn("stamped", F.lit(False)), allowMissingColumns=True))
 

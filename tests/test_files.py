@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,26 +201,39 @@ def test_batch_run_in_steps(spark, files, folder):
     files(**{"b.csv": HEADER + "1,9,P,5,7,2026-02-01\n3,9,P,,1,2026-02-01\n"})
     assert m.run(path).count() == 1
     assert rows(m.silver.read().select("order_id", "quantity", "unit_price")) == [("1", 1, 5.0), ("3", 1, None)]
-    assert m.silver.latest_version() == 1 and m.quarantine.latest_version() == 0
+    assert m.silver.runs().count() == 2 and m.quarantine.runs().count() == 1
     assert m.run(path).count() == 0
     assert f.read_manifest(spark, m.manifest).count() == 5
 
 
-@pytest.mark.parametrize("table", ["bronze", "quarantine", "validated", "silver", "gold"])
-def test_run_that_died_between_its_commits_is_finished(spark, files, folder, monkeypatch, table):
+@pytest.mark.parametrize("table", ["bronze", "quarantine", "validated", "silver", "gold", "manifest"])
+def test_run_that_died_has_changed_nothing(spark, files, folder, monkeypatch, table):
     path = files(**{"a.csv": HEADER + "1,9,P,5,1,2026-01-01\n,9,P,5,1,2026-01-01\n"})
+    Medallion(spark, folder).run(path)
+    files(**{"b.csv": HEADER + "2,9,P,5,1,2026-01-01\n,9,P,5,1,2026-01-01\n5,9,P,5,1,2026-01-07\n"})
     m = Medallion(spark, folder)
-    broken = getattr(m, table)
-    write = "overwrite" if table == "gold" else "append"
-    monkeypatch.setattr(broken, write, lambda *a, **b: 1 / 0)
-    with pytest.raises(ZeroDivisionError):
-        m.run(path)
-    files(**{"b.csv": HEADER + "2,9,P,5,1,2026-01-01\n"})
+
+    def content(m):
+        return (rows(m.silver.read().select("order_id")), m.bronze.read().count(), m.quarantine.read().count(),
+                m.validated.read().count(), rows(m.gold.read().select(F.col("order_date").cast("string"), "total_orders_per_day")))
+
+    before = content(m)
+    with monkeypatch.context() as patch:
+        if table == "manifest":
+            patch.setattr(f, "record_dispositions", lambda *a: 1 / 0)
+        else:  # the layer is written, and then the run dies
+            write = getattr(getattr(m, table), "apply" if table == "gold" else "write")
+            patch.setattr(getattr(m, table), "apply" if table == "gold" else "write", lambda *a: (write(*a), 1 / 0))
+        with pytest.raises(ZeroDivisionError):
+            m.run(path)
     again = Medallion(spark, folder)
-    assert again.run(path).count() == 2
-    assert rows(again.silver.read().select("order_id")) == [("1",), ("2",)]
-    assert (again.bronze.read().count(), again.quarantine.read().count(), again.validated.read().count()) == (3, 1, 2)
-    assert again.gold.read().first()["total_orders_per_day"] == 2 and again.open_claims() == []
+    assert content(again) == before == ([("1",)], 2, 1, 1, [("2026-01-01", 1)])
+    (Path(path) / "b.csv").unlink()  # what the dead run touched need not be touched again
+    files(**{"c.csv": HEADER + "3,9,P,5,1,2026-01-01\n"})
+    assert again.run(path).count() == 1
+    assert content(again) == ([("1",), ("3",)], 3, 1, 2, [("2026-01-01", 2)])
+    assert len(again.vacuum()) == 1 and again.vacuum() == []
+    assert content(again) == ([("1",), ("3",)], 3, 1, 2, [("2026-01-01", 2)])
     assert again.run(path).count() == 0
 
 
@@ -309,9 +324,9 @@ def test_work_tables_are_deleted_also_after_a_failure(spark, files, folder, monk
     monkeypatch.setattr(Workspace, "__init__", lambda self, *a: (make(self, *a), used.append(self.folder))[0])
     path = files(**{"a.csv": HEADER + "1,9,P,5,1,2026-01-01\n"})
     m = Medallion(spark, folder)
-    monkeypatch.setattr(m.silver, "append", lambda *a, **b: 1 / 0)
+    monkeypatch.setattr(m.silver, "write", lambda *a, **b: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         m.run(path)
     Medallion(spark, folder).run(path)
-    assert len(used) == 2 and all(file_info(spark, place) is None for place in used)
+    assert len(used) == 3 and all(file_info(spark, place) is None for place in used)
     assert Medallion(spark, folder).silver.read().count() == 1
