@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from lakestrata import constants as const
 from lakestrata.functions.text import decoded_path, file_name_of, ratio_pct, tidy_name
 from lakestrata.operators.columns import alias_names, conform, tidy_layout
+from lakestrata.session import materialize
+from lakestrata.sources import jsonparts
 from lakestrata.sources.files import list_files, named_files, scan_names
 from lakestrata.sources.storage import list_folder, open_input
 
@@ -174,7 +176,7 @@ def _read_document(path: str) -> tuple[list[dict] | None, str | None]:
         text = bytes(content).decode("utf-8-sig")
         if not text.strip():
             return None, _NO_JSON
-        found = json.loads(text, parse_int=str, parse_float=str, parse_constant=str)
+        found = jsonparts.parse_record(text)
     except (ValueError, RecursionError):
         return None, _BAD_JSON
     found = found if isinstance(found, list) else [found]
@@ -189,20 +191,25 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for path in batch.column(0).to_pylist():
             records, problem = _read_document(path)
-            rows = [list((str(k).encode("utf-8", "replace").decode(), _as_text(v)) for k, v in r.items())
-                    for r in records or []] or [None]
+            rows = [_pairs(r) for r in records or []] or [None]
             yield pa.RecordBatch.from_arrays([
                 pa.array([path] * len(rows)), pa.array([0] * len(rows), pa.int64()), pa.array(range(len(rows)), pa.int64()),
                 pa.array(rows, kind), pa.array([problem] * len(rows), pa.string())],
                 ["path", "_block", "_seq", "fields", "problem"])
 
 
-def json_records(spark: SparkSession, files: DataFrame) -> DataFrame:
+def _pairs(record: dict) -> list[tuple[str, str | None]]:
+    return [(str(k).encode("utf-8", "replace").decode(), _as_text(v)) for k, v in record.items()]
+
+
+def json_records(spark: SparkSession, files: DataFrame, stretch: int = jsonparts.STRETCH) -> DataFrame:
     """Records of the listed JSON files: ``path, _block, _seq, fields, problem``, values as text.
 
     A file in which every line that is not blank is an object holds records line by line, and is split like any
-    text. Any other one is a document, read whole by one task: an object, or an array of objects, and nothing
-    behind it. A file without a record is one row whose ``problem`` tells what is wrong, if anything is.
+    text. Any other one is a document: an object, or an array of objects, and nothing behind it. A document larger
+    than a ``stretch`` that begins with a bracket is read by many tasks, others by one each. A file without a record
+    has a row without fields, whose ``problem`` tells what is wrong, if anything is; beside such a row a large array may
+    have records that precede or follow the wrong place, so a file with a ``problem`` is left out as a whole.
     """
     names = scan_names(files)
     plain = F.regexp_replace("value", "^\ufeff", "")
@@ -212,12 +219,21 @@ def json_records(spark: SparkSession, files: DataFrame) -> DataFrame:
     # a line of a document may be an object, but not all of them unless there is only this one
     kinds = lines.groupBy("path").agg(F.bool_and(F.json_object_keys("value").isNotNull()).alias("lines"))
     by_line = kinds.where("lines").select("path")
-    listed = files.select("path")
-    documents = listed.join(by_line, "path", "left_anti").mapInArrow(_read_documents, JSON_SCHEMA)
+    listed = files.select("path", "length").join(by_line, "path", "left_anti")
     parsed = lines.join(by_line, "path", "left_semi").select(
         "path", "_block", F.monotonically_increasing_id().alias("_seq"),
         F.from_json("value", "map<string,string>").alias("fields"), F.lit(None).cast("string").alias("problem"))
-    return documents.unionByName(parsed)
+    if not has_large(files, stretch):
+        return listed.select("path").mapInArrow(_read_documents, JSON_SCHEMA).unionByName(parsed)
+    large = jsonparts.arrays(listed.where(F.col("length") > stretch))
+    documents = listed.select("path").join(large.select("path"), "path", "left_anti").mapInArrow(_read_documents, JSON_SCHEMA)
+    arrays = jsonparts.array_records(large, JSON_SCHEMA, _pairs, jsonparts.parse_record, _BAD_JSON, stretch)
+    return documents.unionByName(arrays).unionByName(parsed)
+
+
+def has_large(files: DataFrame, stretch: int) -> bool:
+    """Whether a listed file is larger than a stretch; a look at the listing."""
+    return not files.where(F.col("length") > stretch).isEmpty()
 
 
 def json_columns(records: DataFrame, apply_aliases: bool = True) -> DataFrame:
@@ -239,12 +255,16 @@ def json_columns(records: DataFrame, apply_aliases: bool = True) -> DataFrame:
 
 
 def scan_json(
-    spark: SparkSession, path: str | list[str], types: dict[str, str] | None = None
+    spark: SparkSession, path: str | list[str], types: dict[str, str] | None = None, stretch: int = jsonparts.STRETCH,
 ) -> DataFrame:
     """The declared columns of all JSON records that parse, of a folder, a file or some files."""
     types = types or const.DECLARED_TYPES
     files = list_files(spark, path) if isinstance(path, str) else named_files(spark, path)
-    records = json_records(spark, files.where(F.col("extension") == ".json")).where(F.col("fields").isNotNull())
+    files = files.where(F.col("extension") == ".json")
+    records = json_records(spark, files, stretch)
+    if has_large(files, stretch):  # what is wrong with a large array may be found behind some of its records
+        records = materialize(records, "json-records")
+        records = records.join(records.where(F.col("problem").isNotNull()).select("path").distinct(), "path", "left_anti")
     # Keys are bound as they are, without aliases.
-    return records.select(*[
+    return records.where(F.col("fields").isNotNull()).select(*[
         F.element_at("fields", F.lit(name)).try_cast(kind).alias(name) for name, kind in types.items()])
