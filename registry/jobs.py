@@ -7,6 +7,7 @@ from lakestrata import constants as const
 from lakestrata.operators import audit as a
 from lakestrata.session import work_folder
 from lakestrata.sources.synthetic import synthetic_orders as synthetic_orders_
+from lakestrata.sources.tails import log_tails
 from registry import register
 from registry.dirty import table
 from registry.writing import write_named_files
@@ -14,7 +15,7 @@ from registry.writing import write_named_files
 _WORDS = "|".join(const.LOG_KEYWORDS)
 
 
-@register("log_highlights", f"""
+_HIGHLIGHTS = f"""
 WITH lines AS (
   SELECT event_type AS source, 'task ' || user_id || ' ' || CASE WHEN event_id % 9 = 0 THEN 'Failed' ELSE 'done' END ||
          ' on ' || props AS line, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS from_end
@@ -23,9 +24,11 @@ recent AS (SELECT * FROM lines WHERE from_end <= 500),
 hits AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY from_end) AS n FROM recent
          WHERE regexp_matches(upper(line), '{_WORDS}'))
 SELECT source, 'highlight' AS section, from_end, line FROM hits WHERE n <= 15
-UNION ALL SELECT source, 'tail', from_end, line FROM recent WHERE from_end <= 40""")
-def log_highlights(spark, sf_dir):
-    """Event types as task logs: files with a line per event, read by file and place."""
+UNION ALL SELECT source, 'tail', from_end, line FROM recent WHERE from_end <= 40"""
+
+
+def _write_logs(spark, sf_dir):
+    """Event types as task logs: a line per event."""
     state = F.when(F.col("event_id") % 9 == 0, "Failed").otherwise("done")
     place = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
     lines = table(spark, sf_dir, "events").select(
@@ -33,7 +36,20 @@ def log_highlights(spark, sf_dir):
         F.concat(F.lit("task "), F.col("user_id"), F.lit(" "), state, F.lit(" on "), F.col("props")).alias("line"))
     folder = work_folder(spark, "logs")
     write_named_files(lines, folder)
-    found = a.log_highlights(a.scan_logs(spark, folder), order_by=["block", "position"])
+    return folder
+
+
+@register("log_highlights", _HIGHLIGHTS)
+def log_highlights(spark, sf_dir):
+    """Logs read whole, by file and place."""
+    found = a.log_highlights(a.scan_logs(spark, _write_logs(spark, sf_dir)), order_by=["block", "position"])
+    return found.withColumn("source", F.regexp_replace("source", r"\.log$", ""))
+
+
+@register("log_tail_highlights", _HIGHLIGHTS)
+def log_tail_highlights(spark, sf_dir):
+    """The same of the last lines alone, read from the ends of the files."""
+    found = a.log_highlights(log_tails(spark, _write_logs(spark, sf_dir)), order_by=["position"])
     return found.withColumn("source", F.regexp_replace("source", r"\.log$", ""))
 
 
