@@ -37,7 +37,7 @@ class RunTable:
     # --- reading ---
 
     def schema(self) -> T.StructType | None:
-        """All columns that any run has written, older ones first; None before the first write.
+        """All columns that any run has written, in the order of the names of runs; None before the first write.
 
         There are as many schemas as different ones were written, kept beside the rows so that no footers are merged.
         """
@@ -46,7 +46,8 @@ class RunTable:
         kept = self.spark.read.schema(f"{_SCHEMAS}, {RUN} string").parquet(self.schemas)
         merged: dict[str, T.DataType] = {}
         # the first run of each schema decides the order of columns
-        for row in kept.groupBy("schema_json").agg(F.min(RUN).alias("first")).orderBy("first").collect():
+        found = kept.groupBy("schema_json").agg(F.min(RUN).alias("first")).collect()
+        for row in sorted(found, key=lambda r: r["first"]):
             for field in T.StructType.fromJson(json.loads(row["schema_json"])):
                 if merged.setdefault(field.name, field.dataType) != field.dataType:
                     raise ValueError(f"column {field.name} has two types: {merged[field.name]} and {field.dataType}")
