@@ -74,6 +74,17 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/data/version={v}" for v in versions])
 
+    def contents(self, version: int | None = None) -> tuple[list[int], int]:
+        """The versions whose data a version (the latest by default) is made of, and its number of rows."""
+        commit = self._commit(version)
+        if commit is None:
+            raise FileNotFoundError(f"no such version of {self.path}: {version}")
+        return _versions(commit), commit["total_rows"]
+
+    def written_by(self, version: int) -> DataFrame:
+        """The rows that one commit wrote."""
+        return self._rows([version], T.StructType.fromJson(json.loads(self._commit(version)["schema_json"])))
+
     def wrote(self, txn: str) -> bool:
         """Whether a commit of that transaction name exists."""
         return not self.commits().where(F.col("txn") == txn).isEmpty()

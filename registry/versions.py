@@ -8,6 +8,7 @@ from lakestrata.operators.audit import record_inspection as record_inspection_
 from lakestrata.operators.rules import split_quarantine
 from lakestrata.session import work_folder
 from lakestrata.sources import versioned as v
+from lakestrata.sources.profiles import Profiles
 from registry import register
 from registry.dirty import AS_OF, ORDER, layers_sql, raw_orders, raw_sql
 
@@ -187,3 +188,36 @@ def record_inspection(spark, sf_dir):
     valid, rejected = split_quarantine(raw_orders(spark, sf_dir))
     return record_inspection_(valid, rejected, ORDER).select(
         "record_state", "order_id", "product", "order_date", "k", "copy_no", "rejection_reason")
+
+
+_PROFILED = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"]
+
+
+def _profile_sql(version: int, where: str, name: str) -> str:
+    low, high = (f"CAST({end}({name}) AS DOUBLE)" if name != "o_orderpriority" else "CAST(NULL AS DOUBLE)" for end in ("min", "max"))
+    return (f"SELECT {version} AS version, '{name}' AS \"column\", count(*) AS rows, count(*) - count({name}) AS nulls, "
+            f"{low} AS low, {high} AS high, count(DISTINCT {name}) AS distinct_values, TRUE AS within FROM profiled WHERE {where}")
+
+
+@register("version_profile", """WITH profiled AS (
+SELECT o_orderkey, CASE WHEN o_orderkey % 37 <> 0 THEN o_custkey END AS o_custkey, o_totalprice, o_orderpriority FROM orders)
+""" + "\nUNION ALL ".join(
+    _profile_sql(version, where, name) for version, where in enumerate(["o_orderkey % 3 = 0", "o_orderkey % 3 < 2", "o_orderkey % 3 = 2"])
+    for name in _PROFILED))
+def version_profile(spark, sf_dir):
+    """Profiles of three versions from sketches; ``within`` tells whether the exact number of values is inside the bounds."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 37 != 0, F.col("o_custkey")).alias("o_custkey"), "o_totalprice", "o_orderpriority")
+    versioned = v.VersionedTable(spark, work_folder(spark, "profiled"))
+    k = F.col("o_orderkey") % 3
+    versioned.append(orders.where(k == 0))
+    versioned.append(orders.where(k == 1))
+    versioned.overwrite(orders.where(k == 2))
+    profiles = Profiles(versioned)
+    found = []
+    for version in range(3):
+        exact = q.column_profile(versioned.read(version)).select("column", "distinct_values")
+        found.append(profiles.profile(version).withColumnRenamed("distinct_values", "estimate").join(exact, "column").select(
+            F.lit(version).alias("version"), "column", "rows", "nulls", "low", "high", "distinct_values",
+            F.col("distinct_values").between(F.col("distinct_from"), F.col("distinct_to")).alias("within")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
