@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.sources.storage import locate
+from lakestrata.sources.storage import read_range
 
 #: Bytes of a stretch; larger files are read in stretches.
 STRETCH = 4 << 20
@@ -49,18 +49,12 @@ def scan(data: bytes, state: int) -> tuple[np.ndarray, np.ndarray, int]:
     return at, np.where(opens[at], 1, -1), end
 
 
-def _read(path: str, at: int, length: int) -> bytes:
-    system, inner = locate(path)
-    with system.open_input_file(inner) as stream:
-        return stream.read_at(length, at)
-
-
 def _sum_up(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, at in batch[["path", "at"]].itertuples(index=False):
-                data = _read(path, at, length)
+                data = read_range(path, at, length)
                 row = [path, at]
                 for state in range(3):
                     _, deeper, end = scan(data, state)
@@ -84,7 +78,7 @@ def records_of(path: str, at: int, length: int, state: int, depth: int, parse) -
     """The records that begin in a stretch, and whether they, and all between them, are as they should be."""
     more = 0
     while True:
-        data = _read(path, at, length + more)
+        data = read_range(path, at, length + more)
         whole = len(data) < length + more  # nothing comes behind
         found, sound, enough = _cut(data, at == 0, length, state, depth, whole)
         if enough or whole:
@@ -137,7 +131,7 @@ def _cut(data: bytes, first: bool, length: int, state: int, depth: int, whole: b
 
 def _begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        first = [_read(path, 0, 1 << 16).removeprefix(b"\xef\xbb\xbf").lstrip(b" \t\r\n")[:1] for path in batch["path"]]
+        first = [read_range(path, 0, 1 << 16).removeprefix(b"\xef\xbb\xbf").lstrip(b" \t\r\n")[:1] for path in batch["path"]]
         yield batch[[byte == b"[" for byte in first]]
 
 
@@ -146,15 +140,16 @@ def arrays(files: DataFrame) -> DataFrame:
     return files.select("path", "length").mapInPandas(_begin, "path string, length bigint")
 
 
-def array_records(files: DataFrame, schema: str, row_of, parse, problem: str, length: int = STRETCH) -> DataFrame:
+def array_records(files: DataFrame, schema: str, row_of, parse, problem: str, length: int, tasks: int) -> DataFrame:
     """Staged records (``path, _block, _seq, fields, problem``) of listed files (``path, length``) that hold an array.
 
     ``parse`` turns the text of a record into a dict and ``row_of`` that into key-value pairs. Each file also has a row
-    without fields, and one with the ``problem`` for every stretch that has one.
+    without fields, and one with the ``problem`` for every stretch that has one. The number of ``tasks`` is given, as
+    adaptive execution would leave rows as small as those of stretches to one.
     """
     stretches = files.select("path", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.greatest(F.col("length") - 1, F.lit(0)).cast("bigint"), F.lit(length).cast("bigint"))).alias("at"))
-    spread = stretches.repartition(F.col("path"), F.col("at"))
+    spread = stretches.repartition(tasks)
     begins = spread.mapInPandas(_sum_up(length), _SUMS).groupBy("path").applyInPandas(_follow, _BEGINS)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +167,7 @@ def array_records(files: DataFrame, schema: str, row_of, parse, problem: str, le
                         pa.array(range(len(rows)), pa.int64()), pa.array(rows, kind), pa.array(said, pa.string())],
                         ["path", "_block", "_seq", "fields", "problem"])
 
-    return begins.repartition(F.col("path"), F.col("at")).mapInArrow(read, schema)
+    return begins.repartition(tasks).mapInArrow(read, schema)
 
 
 def parse_record(text: str):

@@ -62,6 +62,13 @@ def open_input(path: str):
     return filesystem.open_input_stream(inner)
 
 
+def read_range(path: str, at: int, length: int) -> bytes:
+    """Up to ``length`` bytes of a file from a place on; fewer where it ends."""
+    system, inner = locate(path)
+    with system.open_input_file(inner) as stream:
+        return stream.read_at(length, at)
+
+
 def open_output(path: str):
     filesystem, inner = locate(path)
     filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)

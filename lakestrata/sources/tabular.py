@@ -12,7 +12,7 @@ from lakestrata import constants as const
 from lakestrata.functions.text import decoded_path, file_name_of, ratio_pct, tidy_name
 from lakestrata.operators.columns import alias_names, conform, tidy_layout
 from lakestrata.session import materialize
-from lakestrata.sources import jsonparts
+from lakestrata.sources import csvparts, jsonparts
 from lakestrata.sources.files import list_files, named_files, scan_names
 from lakestrata.sources.storage import list_folder, open_input
 
@@ -65,21 +65,30 @@ def scan_csv_layout(
     apply_aliases: bool = True,
     with_position: bool = False,
     multi_line: bool = False,
+    stretch: int = csvparts.STRETCH,
 ) -> DataFrame:
     """CSV files that share one layout, all values as text.
 
     Names are tidied, the first of each repeated name is kept, and aliases are applied. Short rows are
     padded with nulls. Over-long rows are cut (``ragged="pad"``) or left out (``ragged="skip"``). Blank
     lines are not rows, and a byte order mark is not part of the first name. ``multi_line`` allows line
-    breaks inside quoted cells; a file is then read by one task, so it is off unless asked for.
+    breaks inside quoted cells; a file larger than a ``stretch`` is then read by many tasks (one, if its lines end with
+    carriage returns alone), others by one each, so it is off unless asked for.
     """
     slots = [f"_c{i}" for i in range(len(columns))]
     names = slots + ([_OVERFLOW] if ragged == "skip" else [])
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     rows = spark.read.schema(schema).option("header", has_header).option(
         "escape", '"').option("multiLine", multi_line).csv(paths)
+    large = csvparts.large_files(spark, paths, stretch) if multi_line else []
+    parts = [file for file in large if file["line_end"] != "\r"]
+    if parts:
+        unsplit = [file["path"] for file in large if file["line_end"] == "\r"]
+        rows = rows.where((F.col("_metadata.file_size") <= stretch) | decoded_path("_metadata.file_path").isin(unsplit))
     rows = _with_position(rows.withColumn("source_file", decoded_path("_metadata.file_name")).withColumn(
         "source_path", decoded_path("_metadata.file_path")), with_position)
+    if parts:
+        rows = rows.unionByName(_csv_parts(spark, parts, schema, has_header, with_position, stretch))
     if ragged == "skip":
         rows = rows.where(F.col(_OVERFLOW).isNull())
     layout = tidy_layout(columns)
@@ -90,6 +99,18 @@ def scan_csv_layout(
         "source_file", "source_path", *(POSITION if with_position else []))
 
 
+def _csv_parts(
+    spark: SparkSession, files: Sequence, schema: T.StructType, has_header: bool, with_position: bool, stretch: int
+) -> DataFrame:
+    """The rows of large files with line breaks in cells, as the reader gives those of small ones."""
+    records = csvparts.csv_records(spark, files, stretch, has_header)
+    cells = F.from_csv("record", schema.simpleString()[len("struct<"):-1].replace(":", " "), {"escape": '"'})
+    rows = records.withColumn("cells", cells).select(
+        *[F.col("cells")[name].alias(name) for name in schema.names], file_name_of("path").alias("source_file"),
+        F.col("path").alias("source_path"), F.col("path").alias("_file"), "_block", "_seq")
+    return rows if with_position else rows.drop(*POSITION)
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by column name; a column that a frame lacks is null there."""
     result = frames[0]
@@ -135,7 +156,7 @@ def scan_csv_groups(
     spark: SparkSession, groups: Sequence, ragged: str = "pad", with_position: bool = False,
     multi_line: bool = False,
 ) -> DataFrame | None:
-    """The files of some layouts. Those with line breaks in cells are read whole, by a task each."""
+    """The files of some layouts. Of those with line breaks in cells, small ones are read by a task each."""
     frames = [
         scan_csv_layout(spark, group["paths"], group["columns"], group["has_header"], ragged,
                         with_position=with_position, multi_line=multi_line or bool(group["multi_line"]))
@@ -223,17 +244,19 @@ def json_records(spark: SparkSession, files: DataFrame, stretch: int = jsonparts
     parsed = lines.join(by_line, "path", "left_semi").select(
         "path", "_block", F.monotonically_increasing_id().alias("_seq"),
         F.from_json("value", "map<string,string>").alias("fields"), F.lit(None).cast("string").alias("problem"))
-    if not has_large(files, stretch):
+    number = large_stretches(files, stretch)
+    if not number:
         return listed.select("path").mapInArrow(_read_documents, JSON_SCHEMA).unionByName(parsed)
     large = jsonparts.arrays(listed.where(F.col("length") > stretch))
     documents = listed.select("path").join(large.select("path"), "path", "left_anti").mapInArrow(_read_documents, JSON_SCHEMA)
-    arrays = jsonparts.array_records(large, JSON_SCHEMA, _pairs, jsonparts.parse_record, _BAD_JSON, stretch)
+    arrays = jsonparts.array_records(large, JSON_SCHEMA, _pairs, jsonparts.parse_record, _BAD_JSON, stretch, number)
     return documents.unionByName(arrays).unionByName(parsed)
 
 
-def has_large(files: DataFrame, stretch: int) -> bool:
-    """Whether a listed file is larger than a stretch; a look at the listing."""
-    return not files.where(F.col("length") > stretch).isEmpty()
+def large_stretches(files: DataFrame, stretch: int) -> int:
+    """How many stretches the listed files have that are larger than one; a look at the listing."""
+    return files.where(F.col("length") > stretch).agg(
+        F.coalesce(F.sum(F.ceil(F.col("length") / F.lit(stretch))), F.lit(0))).first()[0]
 
 
 def json_columns(records: DataFrame, apply_aliases: bool = True) -> DataFrame:
@@ -262,7 +285,7 @@ def scan_json(
     files = list_files(spark, path) if isinstance(path, str) else named_files(spark, path)
     files = files.where(F.col("extension") == ".json")
     records = json_records(spark, files, stretch)
-    if has_large(files, stretch):  # what is wrong with a large array may be found behind some of its records
+    if large_stretches(files, stretch):  # what is wrong with a large array may be found behind some of its records
         records = materialize(records, "json-records")
         records = records.join(records.where(F.col("problem").isNotNull()).select("path").distinct(), "path", "left_anti")
     # Keys are bound as they are, without aliases.

@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakestrata.sources import files as f
 from lakestrata.sources import jsonparts, tabular
@@ -39,7 +40,7 @@ def _parts(path, size, length):
         part, good = jsonparts.records_of(path, at, length, state, depth, jsonparts.parse_record)
         found += [tabular._pairs(r) for r in part]
         sound &= good
-        _, deeper, state = jsonparts.scan(jsonparts._read(path, at, length), state)
+        _, deeper, state = jsonparts.scan(jsonparts.read_range(path, at, length), state)
         depth += int(deeper.sum())
     return found, sound
 
@@ -90,4 +91,5 @@ def test_large_arrays_are_read_by_many_tasks(spark, files):
     columns = ["path", "map_entries(fields) AS fields"]
     assert rows(got.where(keep).selectExpr(*columns)) == rows(whole.where(keep).selectExpr(*columns))
     assert got.where("path LIKE '%/0.json'").select("_block").distinct().count() > 5
+    assert got.where("path LIKE '%/0.json'").select(F.spark_partition_id().alias("p")).distinct().count() > 5
     assert rows(tabular.scan_json(spark, path, {"id": "string"}, stretch)) == rows(tabular.scan_json(spark, path, {"id": "string"}))
