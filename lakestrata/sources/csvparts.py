@@ -22,7 +22,7 @@ from lakestrata.functions.text import decoded_path
 from lakestrata.sources.storage import read_range
 
 #: Bytes of a stretch; larger files are read in stretches.
-STRETCH = 16 << 20
+STRETCH = 8 << 20
 OUTSIDE, INSIDE, QUOTED = 0, 1, 2
 RECORDS = "path string, _block bigint, _seq bigint, record string"
 _SUMS = "path string, at bigint, two boolean, blank boolean, end0 int, end1 int, end2 int"
@@ -134,7 +134,9 @@ def _sum_up(stretch: int):
             for path, at, two in batch[["path", "at", "two"]].itertuples(index=False):
                 data = _stretch(path, at, stretch)
                 blank = not data[1:].strip(b"\r\n" if two else b"\n")
-                rows.append((path, at, two, blank, *[quoted_parts(data, state)[1] for state in (OUTSIDE, INSIDE, QUOTED)]))
+                outside, inside = (quoted_parts(data, state)[1] for state in (OUTSIDE, INSIDE))
+                quoted = quoted_parts(data, QUOTED)[1] if data[1:2] == b'"' else outside
+                rows.append((path, at, two, blank, outside, inside, quoted))
             yield pd.DataFrame(rows, columns=_columns(_SUMS))
     return run
 

@@ -83,3 +83,16 @@ def gold_partitioned(spark, sf_dir):
     return picked.select(
         F.col("order_date").cast("string").alias("order_date"), "total_orders_per_day",
         F.round("total_revenue_per_day", 2).alias("total_revenue_per_day"))
+
+
+@register("csv_quoted_breaks", """SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+o_orderpriority || chr(10) || 'said "' || o_custkey || '",' || chr(10) AS note, CAST(o_custkey AS VARCHAR) AS customer_id FROM orders""")
+def csv_quoted_breaks(spark, sf_dir):
+    """Every order with line breaks, quotes and commas in a cell, read back in stretches that begin anywhere."""
+    note = F.concat("o_orderpriority", F.lit('\nsaid "'), "o_custkey", F.lit('",\n'))
+    folder = work_folder(spark, "breaks")
+    table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), note.alias("note"), F.col("o_custkey").alias("customer_id")).write.csv(
+            folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    columns = ["order_id", "note", "customer_id"]
+    return tabular.scan_csv_layout(spark, folder, columns, True, multi_line=True, stretch=1 << 16).select(*columns)
