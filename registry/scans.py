@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.operators.rules import date_range_filter
 from lakestrata.session import work_folder
-from lakestrata.sources import files, sinks, tabular
+from lakestrata.sources import files, footers, sinks, tabular
 from registry import register
 from registry.dirty import Layers, layers_sql, raw_orders, raw_sql, table
 from registry.folder import folder_sql, write_folder
@@ -96,3 +96,19 @@ def csv_quoted_breaks(spark, sf_dir):
             folder, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     columns = ["order_id", "note", "customer_id"]
     return tabular.scan_csv_layout(spark, folder, columns, True, multi_line=True, stretch=1 << 16).select(*columns)
+
+
+@register("footer_totals", """SELECT o_orderpriority AS priority, count(*) AS rows, count(o_orderkey) AS order_id_held, min(o_orderkey) AS order_id_low,
+max(o_orderkey) AS order_id_high, count(*) AS order_date_held, CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS order_date_low,
+CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS order_date_high, count(CASE WHEN o_orderkey % 37 <> 0 THEN 1 END) AS customer_held
+FROM orders GROUP BY o_orderpriority""")
+def footer_totals(spark, sf_dir):
+    """Rows, days and keys of a partitioned table, told by the footers of its files."""
+    folder = work_folder(spark, "footers")
+    k = F.col("o_orderkey")
+    sinks.write_partitioned(table(spark, sf_dir, "orders").select(
+        k.alias("order_id"), F.col("o_orderdate").cast("date").alias("order_date"),
+        F.when(k % 37 != 0, F.col("o_custkey").cast("string")).alias("customer"), F.col("o_orderpriority").alias("priority")),
+        folder, by=["priority"])
+    found = footers.footer_totals(spark, folder, by=["priority"])
+    return found.withColumns({name: F.col(name).cast("string") for name in ("order_date_low", "order_date_high")})
