@@ -30,3 +30,20 @@ def test_the_newest_row_wins_across_batches_restarts_and_late_rows(spark, folder
     assert [r for r in got if r[0] in "af"] == [("a", "02-25", 2, "new")]
     changes = latest.changes.read()
     assert changes.where("key = 'a'").count() == 2  # only rows that beat the newest are handed on
+
+
+def test_many_keys_share_a_row_of_state(spark, folder):
+    """A row of state per key took some milliseconds of trips for each."""
+    latest, n = LatestRows(spark, f"{folder}/out", "id", "at", ["n"]), 20_000
+    events = spark.range(n).selectExpr("cast(id as string) AS id", "timestamp'2026-01-05' + make_dt_interval(0, 0, 0, id % 7) AS at",
+                                       "cast(id % 3 as int) AS n", "'x' AS note")
+    later = events.where("id % 10 < 2").selectExpr("id", "if(id % 10 = 0, at, at - interval 1 hour) AS at", "n + 1 AS n", "'y' AS note")
+    for part in (events, later):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(SCHEMA).parquet(f"{folder}/in")
+        latest.start(stream, f"{folder}/checkpoint", "10 days", partitions=2, groups=16).awaitTermination()
+    found = latest.read(SCHEMA)
+    assert found.count() == n and found.where("note = 'y'").count() == n // 10
+    assert latest.changes.read().count() == n + n // 10
+    state = spark.read.format("statestore").option("stateVarName", "newest").load(f"{folder}/checkpoint")
+    assert state.count() == 16
