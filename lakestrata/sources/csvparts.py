@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions.text import decoded_path
+from lakestrata.sources.files import scan_files
 from lakestrata.sources.storage import read_range
 
 #: Bytes of a stretch; larger files are read in stretches.
@@ -121,7 +122,9 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def large_files(spark: SparkSession, paths: str | list[str], stretch: int) -> list:
     """``path, length, line_end`` of the files that are larger than a stretch; the listing alone tells which."""
-    listed = spark.read.format("binaryFile").load(paths).select(
+    reader = spark.read.format("binaryFile")
+    scan = reader.load(paths) if isinstance(paths, str) else scan_files(spark, paths, reader.load)
+    listed = scan.select(
         decoded_path("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"))
     return listed.where(F.col("length") > stretch).mapInPandas(
         _describe, "path string, length bigint, line_end string").collect()

@@ -1,7 +1,9 @@
 """Single files by the names Spark uses: their metadata on the driver, their content in tasks."""
 
+import os
 import re
-from collections.abc import Iterator
+import stat
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
@@ -26,11 +28,28 @@ def _info(status) -> FileInfo:
     return FileInfo(name, status.getLen(), status.getModificationTime(), status.isFile())
 
 
+def _local_info(path: str) -> FileInfo | None:
+    """Metadata of one local file, as Hadoop tells it; asking Hadoop takes a call to the JVM for each value."""
+    try:
+        found = os.stat(path)
+    except (FileNotFoundError, NotADirectoryError):
+        return None
+    return FileInfo(f"file:{path}", found.st_size, found.st_mtime_ns // 1_000_000, not stat.S_ISDIR(found.st_mode))
+
+
 def list_folder(spark: SparkSession, folder: str) -> Iterator[FileInfo]:
     """What lies directly in a folder, metadata only; nothing for a folder that does not exist."""
     place, system = _opened(spark, folder)
     if not system.exists(place):
         return
+    if system.getUri().getScheme() == "file" and system.getFileStatus(place).isDirectory():
+        inner = system.makeQualified(place).toUri().getPath().rstrip("/")
+        with os.scandir(inner or "/") as entries:
+            for entry in entries:
+                info = _local_info(f"{inner}/{entry.name}")
+                if info is not None:
+                    yield info
+        return
     found = system.listStatusIterator(place)
     while found.hasNext():
         yield _info(found.next())
@@ -42,6 +61,15 @@ def file_info(spark: SparkSession, path: str) -> FileInfo | None:
     return _info(system.getFileStatus(place)) if system.exists(place) else None
 
 
+def file_infos(spark: SparkSession, paths: Sequence[str]) -> Iterator[FileInfo]:
+    """Metadata of many files; those that are not there are left out."""
+    for path in paths:
+        local = re.match("^file:/+(.*)$", path, re.DOTALL)
+        info = _local_info("/" + local.group(1)) if local else file_info(spark, path)
+        if info is not None:
+            yield info
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     place, system = _opened(spark, folder)
     system.delete(place, True)

@@ -13,7 +13,7 @@ from lakestrata.functions.text import decoded_path, file_name_of, ratio_pct, tid
 from lakestrata.operators.columns import alias_names, conform, tidy_layout
 from lakestrata.session import materialize
 from lakestrata.sources import csvparts, jsonparts
-from lakestrata.sources.files import list_files, named_files, scan_names
+from lakestrata.sources.files import list_files, named_files, scan_files, scan_names, spread
 from lakestrata.sources.storage import list_folder, open_input
 
 POSITION = ["_file", "_block", "_seq"]
@@ -78,8 +78,8 @@ def scan_csv_layout(
     slots = [f"_c{i}" for i in range(len(columns))]
     names = slots + ([_OVERFLOW] if ragged == "skip" else [])
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = spark.read.schema(schema).option("header", has_header).option(
-        "escape", '"').option("multiLine", multi_line).csv(paths)
+    reader = spark.read.schema(schema).option("header", has_header).option("escape", '"').option("multiLine", multi_line)
+    rows = reader.csv(paths) if isinstance(paths, str) else scan_files(spark, paths, reader.csv)
     large = csvparts.large_files(spark, paths, stretch) if multi_line else []
     parts = [file for file in large if file["line_end"] != "\r"]
     if parts:
@@ -234,7 +234,7 @@ def json_records(spark: SparkSession, files: DataFrame, stretch: int = jsonparts
     """
     names = scan_names(files)
     plain = F.regexp_replace("value", "^\ufeff", "")
-    lines = spark.read.text(names).select(
+    lines = scan_files(spark, names, spark.read.text).select(
         decoded_path("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
         plain.alias("value")).where(F.trim("value") != "")
     # a line of a document may be an object, but not all of them unless there is only this one
@@ -246,9 +246,10 @@ def json_records(spark: SparkSession, files: DataFrame, stretch: int = jsonparts
         F.from_json("value", "map<string,string>").alias("fields"), F.lit(None).cast("string").alias("problem"))
     number = large_stretches(files, stretch)
     if not number:
-        return listed.select("path").mapInArrow(_read_documents, JSON_SCHEMA).unionByName(parsed)
+        return spread(listed.select("path"), len(names)).mapInArrow(_read_documents, JSON_SCHEMA).unionByName(parsed)
     large = jsonparts.arrays(listed.where(F.col("length") > stretch))
-    documents = listed.select("path").join(large.select("path"), "path", "left_anti").mapInArrow(_read_documents, JSON_SCHEMA)
+    documents = spread(listed.select("path").join(large.select("path"), "path", "left_anti"), len(names)).mapInArrow(
+        _read_documents, JSON_SCHEMA)
     arrays = jsonparts.array_records(large, JSON_SCHEMA, _pairs, jsonparts.parse_record, _BAD_JSON, stretch, number)
     return documents.unionByName(arrays).unionByName(parsed)
 

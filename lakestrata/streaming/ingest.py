@@ -23,14 +23,10 @@ def _trigger(writer, interval: str | None):
 
 def _names(files: DataFrame, at_once: int | None) -> Iterator[list[str]]:
     """The names of files in order, so many at a time, as scans need them on the driver."""
-    part: list[str] = []
-    for row in files.select("path").orderBy("path").toLocalIterator():
-        part.append(row["path"])
-        if len(part) == at_once:
-            yield part
-            part = []
-    if part:
-        yield part
+    paths = files.select("path").orderBy("path").toArrow().column("path").to_pylist()
+    step = at_once or max(len(paths), 1)
+    for at in range(0, len(paths), step):
+        yield paths[at:at + step]
 
 
 class BronzeTables:
@@ -52,13 +48,14 @@ class BronzeTables:
 
 def ingest_stream(
     spark: SparkSession, input_path: str, root: str, checkpoint: str,
-    interval: str | None = None, files_per_batch: int | None = 1000, **options,
+    interval: str | None = None, files_per_batch: int | None = None, **options,
 ) -> StreamingQuery:
     """New files into ``root/bronze`` as text, and what is wrong with files into ``root/issues``.
 
     A micro-batch reads its new files by their own layouts and writes by name, so a column that comes late is null
     before, and a file that cannot be read, or holds nothing, is an issue and stops nothing. What was taken is recorded
-    when all of it is written, so a batch that is played again takes only what is not recorded.
+    when all of it is written, so a batch that is played again takes only what is not recorded. All files that have come
+    are taken at once, as a take has a price of its own, whatever it holds, unless ``files_per_batch`` says how many.
     """
     tables = BronzeTables(spark, root)
 
@@ -87,13 +84,14 @@ def ingest_stream(
 
 def medallion_stream(
     spark: SparkSession, input_path: str, root: str, checkpoint: str,
-    interval: str | None = None, files_per_batch: int | None = 1000,
+    interval: str | None = None, files_per_batch: int | None = None,
     **options,
 ) -> StreamingQuery:
     """Each micro-batch of new files runs through the batch medallion.
 
     The stream only tells that the folder has changed and what it holds; the manifest, not the stream's own state,
-    decides which files are new. Every file gets a disposition, whatever its size and name.
+    decides which files are new. Every file gets a disposition, whatever its size and name. All new files are one run of
+    the medallion, unless ``files_per_batch`` says how many.
     """
     medallion = Medallion(spark, root)
 
