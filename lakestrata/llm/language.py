@@ -161,27 +161,29 @@ def _counts(drawn: DataFrame) -> DataFrame:
 
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bits of each text under each language, block by block."""
+    """Bits of each text under each language; beside the texts only what belongs to one block is held."""
     total = np.zeros((len(offsets) - 1, len(model.languages)))
-    cls = model.classes[data]
-    before = []
-    for k in (1, 2, 3):
-        shifted = np.zeros_like(cls)
-        shifted[k:] = cls[:-k]
-        for j in range(k):  # bytes of the text before do not count
-            edge = offsets[:-1] + j
-            shifted[edge[edge < offsets[1:]]] = 0
-        before.append(shifted)
     width = model.nodes.shape[0]
     flat = model.nodes.ravel()
     for at in range(0, len(data), BLOCK):
-        part = slice(at, min(at + BLOCK, len(data)))
-        index = (before[2][part].astype(np.int64) * width + before[1][part]) * width + before[0][part]
-        cost = model.costs[flat[index], cls[part]]
+        stop = min(at + BLOCK, len(data))
         first = np.searchsorted(offsets, at, "right") - 1
-        last = np.searchsorted(offsets, part.stop, "left")
+        last = np.searchsorted(offsets, stop, "left")
+        lead = min(at, ORDER)
+        cls = model.classes[data[at - lead:stop]]
+        starts = offsets[:-1][np.searchsorted(offsets[:-1], at - lead):last] - (at - lead)
+        index = np.zeros(len(cls) - lead, np.int64)
+        for k in range(ORDER, 0, -1):
+            before = np.zeros_like(cls)
+            before[k:] = cls[:-k]
+            for j in range(k):  # bytes of the text before do not count
+                edge = starts + j
+                before[edge[edge < len(cls)]] = 0
+            index *= width
+            index += before[lead:]
+        cost = model.costs[flat[index], cls[lead:]]
         begin = np.maximum(offsets[first:last], at)
-        own = np.flatnonzero(np.minimum(offsets[first + 1:last + 1], part.stop) > begin)
+        own = np.flatnonzero(np.minimum(offsets[first + 1:last + 1], stop) > begin)
         total[first + own] += np.add.reduceat(cost, begin[own] - at, axis=0, dtype=np.float64)
     return total
 

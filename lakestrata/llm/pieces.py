@@ -18,17 +18,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from lakestrata.llm.frames import table
+from lakestrata.llm.tokens import pieces as stretches
 
 MARK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _NEVER = float("inf")
-#: Words whose ids a task remembers between batches.
-REMEMBERED = 200_000
+#: Words whose ids a task remembers between batches, and pairs of pieces it remembers; beyond that it begins anew.
+REMEMBERED, PAIRS = 200_000, 400_000
 
 
 class Vocabulary:
@@ -150,7 +152,7 @@ class Vocabulary:
                     i += 1
                 else:
                     j += 1
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             self.pairs[one, two] = known
         return known
@@ -271,20 +273,16 @@ def _shared(spark, vocabulary: Vocabulary):
     return spark.sparkContext.broadcast(vocabulary)  # as large as the model file
 
 
-#: Texts handled at once, by their bytes.
-_CHARACTERS = 4_000_000
+#: Texts handled at once, by their bytes; words and ids as Python objects take many times as much.
+_BYTES = 1_000_000
 
 
-def _parts(texts: list[str | None]) -> Iterator[list[str | None]]:
-    part, size = [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text or "")
-        if size > _CHARACTERS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def _parts(batch: pa.RecordBatch, text: int | str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Runs of rows with their texts; only those of one run are Python strings at a time."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), np.int64)
+    for first, last in stretches(np.concatenate([[0], np.cumsum(sizes)]), _BYTES):
+        rows = batch.slice(first, last - first)
+        yield rows, rows.column(text).to_pylist()
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -295,12 +293,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", ids_
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, list[int]] = {}
         for batch in batches:
-            at = 0
-            for part in _parts(batch.column(text_col).to_pylist()):
-                ids, offsets = encode_batch(shared.value, part, memory)
+            for rows, texts in _parts(batch, text_col):
+                ids, offsets = encode_batch(shared.value, texts, memory)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-                rows = batch.slice(at, len(part))
-                at += len(part)
                 yield pa.RecordBatch.from_arrays([*rows.columns, lists], [*rows.schema.names, ids_col])
 
     return held.mapInArrow(work, StructType(list(held.schema.fields)).add(ids_col, ArrayType(IntegerType())))
@@ -334,18 +329,16 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, list[int]] = {}
         for batch in batches:
-            at = 0
-            for part in _parts(batch.column(1).to_pylist()):
-                ids, offsets = encode_batch(shared.value, part, memory)
+            for rows, texts in _parts(batch, 1):
+                ids, offsets = encode_batch(shared.value, texts, memory)
                 back = decode_batch(shared.value, ids, offsets)
                 raw = ids.astype("<i4")
                 names = [hashlib.sha256(raw[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(part)), pa.array(np.diff(offsets)), pa.array(names, pa.string()),
+                    rows.column(0), pa.array(np.diff(offsets)), pa.array(names, pa.string()),
                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back], pa.string()),
-                    pa.array([t == (own or "").replace(MARK, " ") for t, own in zip(back, part)])],
+                    pa.array([t == (own or "").replace(MARK, " ") for t, own in zip(back, texts)])],
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
-                at += len(part)
 
     pairs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return pairs.mapInArrow(work, StructType([pairs.schema["doc_id"]]).add("n_tokens", "long").add(

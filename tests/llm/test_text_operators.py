@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -492,3 +493,31 @@ def test_contexts_are_counted_once_per_task_in_tasks_that_follow_the_sample(spar
             want.update((r.lang, k, int.from_bytes(data[i - k:i + 1], "big")) for i in range(k, len(data)))
     got = {(r.lang, r.depth, r.code): r.n for r in language._counts(drawn).collect()}
     assert got == want
+
+
+def test_language_scoring_holds_one_block_beside_the_texts(monkeypatch):
+    monkeypatch.setattr(language, "BLOCK", 1 << 14)
+    rows = [("en", 0, c, 3) for c in b"the cat "[:7]] + [("en", 1, (116 << 8) + 104, 3)]
+    model = language.build_model(rows)
+    data, offsets = tokens.text_bytes(pa.array(["the cat " * 150_000, "", *["hat" * 9] * 40_000]))
+    tracemalloc.start()
+    try:
+        language.code_lengths(model, data, offsets)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < len(data)
+
+
+def test_pieces_take_a_batch_in_short_runs_of_rows(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "_BYTES", 10)
+    monkeypatch.setattr(pieces, "PAIRS", 3)
+    texts = ["one two", None, "three four five six seven", "", "one", "two", "three"]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(7)), "text": texts})
+    runs = list(pieces._parts(batch, "text"))
+    assert len(runs) > 3 and [t for _, part in runs for t in part] == texts
+    assert [i for rows, _ in runs for i in rows.column("id").to_pylist()] == batch.column("id").to_pylist()
+    whole, ends = pieces.encode_batch(vocabulary, texts, {})
+    memory: dict = {}
+    assert [i for _, part in runs for i in pieces.encode_batch(vocabulary, part, memory)[0]] == whole.tolist()
+    assert len(vocabulary.pairs) <= 4
