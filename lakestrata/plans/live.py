@@ -35,7 +35,7 @@ def examine(
     """
     json_files = files.where((F.col("extension") == ".json") & ~F.col("file_name").startswith("_"))
     records = None if json_files.isEmpty() else keep(tabular.json_records(files.sparkSession, json_files), "json-records")
-    return keep(files_.examine_files(files, canonical, records), "examined"), records
+    return keep(files_.examine_files(files, canonical, records, keep), "examined"), records
 
 
 def read_files(

@@ -108,3 +108,22 @@ def test_a_stream_takes_all_that_has_come_at_once(spark, files, folder):
     entries = read_manifest(spark, Medallion(spark, f"{folder}/out").manifest)
     assert (entries.count(), entries.select("run").distinct().count()) == (1001, 1)
     assert BronzeTables(spark, f"{folder}/in").recorded().count() == 1
+
+
+def test_each_csv_file_is_opened_once_for_its_head(spark, files, folder, monkeypatch):
+    path = files(**{f"g_{i:02d}.csv": f"order_id,order_date\n{i},2026-01-01\n" for i in range(20)}, **{"h.csv": ""})
+    opened = spark.sparkContext.accumulator(0)
+    read = f._read_heads
+
+    def counted(batches):
+        for heads in read(batches):
+            opened.add(len(heads))
+            yield heads
+
+    monkeypatch.setattr(f, "_read_heads", counted)
+    examined = f.examine_files(f.list_files(spark, path))
+    assert examined.where("issue IS NULL").count() == 20 and examined.count() == 21
+    assert opened.value == 21
+    monkeypatch.setattr(f, "_read_heads", read)
+    names = f.scan_names(f.list_files(spark, files(**{"\U0001f642[1].csv": "", "～.csv": "", "Z.csv": ""})))
+    assert names == sorted(names, key=str.encode) and any("\\[1\\]" in name for name in names)
